@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqframe.operators.numbering import dense_index, rank_within
+from seqframe.operators.numbering import dense_index, rank_within, salt_chars_for
 
 
 def shuffle_key(seed: int, epoch: int, *cols: str | Column) -> Column:
@@ -27,6 +27,20 @@ def shuffle_key(seed: int, epoch: int, *cols: str | Column) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
+def bucket_sizes(df: DataFrame, bucket_col: str = "bucket") -> dict[int, int]:
+    """Rows per bucket (at most one row per bucket size reaches the driver)."""
+    rows = df.where(F.col(bucket_col).isNotNull()).groupBy(bucket_col).count().collect()
+    return {int(r[bucket_col]): int(r["count"]) for r in rows}
+
+
+def _bucket_case(bucket: Column, values: dict[int, int], default: int = 0) -> Column:
+    expr = None
+    for b, v in sorted(values.items()):
+        cond = bucket == F.lit(b)
+        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
+    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+
+
 def batch_rows(
     df: DataFrame,
     batch_size: int,
@@ -35,7 +49,7 @@ def batch_rows(
     bucket_col: str = "bucket",
     row_col: str = "row_id",
     keep: Sequence[str] = (),
-    salt_chars: int | None = None,
+    sizes: dict[int, int] | None = None,
 ) -> DataFrame:
     """``(epoch, bucket, batch, row_id, rank, *keep)`` for rows that land in a full batch."""
     if batch_size <= 0:
@@ -43,18 +57,20 @@ def batch_rows(
     frame = df.where(F.col(bucket_col).isNotNull()).select(
         row_col, bucket_col, *keep, shuffle_key(seed, epoch, row_col).alias("_key")
     )
-    ranked = rank_within(
-        frame, "_key", [bucket_col], out="rank", tiebreak=[row_col],
-        salt_chars=salt_chars, total_col="_bucket_rows",
-    )
-    bs = F.lit(batch_size)
+    if sizes is None:
+        sizes = bucket_sizes(frame, bucket_col)
+    salt = salt_chars_for(max(sizes.values(), default=0))
+    ranked = rank_within(frame, "_key", [bucket_col], out="rank", tiebreak=[row_col],
+                         salt_chars=salt)
+    # Rows of a bucket that fill whole batches; the rest of the bucket is left out.
+    kept = _bucket_case(F.col(bucket_col), {b: (n // batch_size) * batch_size
+                                            for b, n in sizes.items()})
     return (
-        ranked.withColumn("batch", F.floor(F.col("rank") / bs).cast("long"))
-        .where(F.col("batch") < F.floor(F.col("_bucket_rows") / bs))
+        ranked.where(F.col("rank") < kept)
         .select(
             F.lit(epoch).cast("int").alias("epoch"),
             F.col(bucket_col).cast("int").alias(bucket_col),
-            "batch",
+            F.floor(F.col("rank") / F.lit(batch_size)).cast("long").alias("batch"),
             row_col,
             F.col("rank").cast("long").alias("rank"),
             *keep,
@@ -62,15 +78,43 @@ def batch_rows(
     )
 
 
-def batch_order(rows: DataFrame, seed: int = 42, bucket_col: str = "bucket") -> DataFrame:
-    """``(epoch, bucket, batch, batch_seq)``: a random order of all batches of an epoch."""
-    batches = rows.select("epoch", bucket_col, "batch").distinct()
+def batch_order(
+    spark: SparkSession,
+    sizes: dict[int, int],
+    batch_size: int,
+    seed: int = 42,
+    epoch: int = 0,
+    bucket_col: str = "bucket",
+) -> DataFrame:
+    """``(epoch, bucket, batch, batch_seq)``: a random order of all full batches of an epoch.
+
+    The batches are generated by a distributed ``spark.range`` from the bucket
+    sizes, so the ranked rows are not read again.
+    """
+    full = {b: n // batch_size for b, n in sorted(sizes.items()) if n // batch_size > 0}
+    starts, total = {}, 0
+    for b, nb in full.items():
+        starts[b] = total
+        total += nb
+    ids = spark.range(total)
+    g = F.col("id")
+    bucket = None
+    for b in full:
+        end = starts[b] + full[b]
+        bucket = F.when(g < end, F.lit(b)) if bucket is None else bucket.when(g < end, F.lit(b))
+    bucket = (bucket.otherwise(F.lit(None)) if bucket is not None else F.lit(None)).cast("int")
+    batches = ids.select(bucket.alias(bucket_col), g.alias("_g")).select(
+        F.lit(epoch).cast("int").alias("epoch"),
+        bucket_col,
+        (F.col("_g") - _bucket_case(F.col(bucket_col), starts)).cast("long").alias("batch"),
+    )
     keyed = batches.withColumn(
         "_bkey",
         F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"),
                           F.col(bucket_col).cast("string"), F.col("batch").cast("string"))),
     )
-    ranked = rank_within(keyed, "_bkey", ["epoch"], out="batch_seq", tiebreak=[bucket_col, "batch"])
+    ranked = rank_within(keyed, "_bkey", (), out="batch_seq", tiebreak=[bucket_col, "batch"],
+                         salt_chars=salt_chars_for(total))
     return ranked.select("epoch", bucket_col, "batch", F.col("batch_seq").cast("long"))
 
 

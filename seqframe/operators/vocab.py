@@ -13,27 +13,56 @@ from pyspark.sql import functions as F
 
 from seqframe.operators.numbering import dense_index
 
-# Position weight in the packed first-seen key: key = row_id * 10**18 + pos.
-# decimal(38,0) holds any (bigint row id, position < 10**18) pair exactly and,
-# unlike a struct, keeps min() in a hash aggregate with map-side combine.
+# First-seen order is (row id, position).  A struct min() would force a sort
+# aggregate, so the pair is packed into one number that keeps min() in a hash
+# aggregate with map-side combine:
+# * fast path, a bigint: row * 2**24 + pos, for 0 <= row < 2**39, pos < 2**24;
+# * exact fallback, decimal(38,0): row * 10**18 + pos, for any other element.
+# Only elements outside the fast range pay for decimal arithmetic.
+_POS_BITS = 24
+_ROW_LIMIT = 1 << (63 - _POS_BITS)
 _POS_WEIGHT = 10**18
+_DEC = "decimal(38,0)"
 VOCAB_SCHEMA = "idx INT, term STRING, n BIGINT"
 
 
 def first_seen_key(row_id: Column, pos: Column) -> Column:
-    dec = "decimal(38,0)"
-    return row_id.cast(dec) * F.lit(_POS_WEIGHT).cast(dec) + pos.cast(dec)
+    """Exact decimal key of (row id, position)."""
+    return row_id.cast(_DEC) * F.lit(_POS_WEIGHT).cast(_DEC) + pos.cast(_DEC)
+
+
+def _fits(row_id: Column, pos: Column) -> Column:
+    return (row_id >= 0) & (row_id < F.lit(_ROW_LIMIT)) & (pos < F.lit(1 << _POS_BITS))
+
+
+def _fast_key(row_id: Column, pos: Column) -> Column:
+    return F.shiftleft(row_id, _POS_BITS) + pos.cast("long")
+
+
+def _fast_to_exact(fast: Column) -> Column:
+    row = F.shiftright(fast, _POS_BITS)
+    pos = fast.bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    return first_seen_key(row, pos)
 
 
 def term_counts(df: DataFrame, seq_col: str, row_col: str = "row_id") -> DataFrame:
     """``(term, n, first)`` over all sequence elements; null sequences add nothing."""
+    # posexplode_outer + a filter on the generated position: a plain posexplode
+    # makes the optimizer infer "size(seq) > 0" and push it below the
+    # projections, which would evaluate the sequence expression again.
     exploded = df.select(
-        F.col(row_col).alias("_row"), F.posexplode(F.col(seq_col)).alias("_pos", "term")
-    )
-    return exploded.groupBy("term").agg(
+        F.col(row_col).cast("long").alias("_row"),
+        F.posexplode_outer(F.col(seq_col)).alias("_pos", "term"),
+    ).where(F.col("_pos").isNotNull())
+    row, pos = F.col("_row"), F.col("_pos")
+    fits = _fits(row, pos)
+    agg = exploded.groupBy("term").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(first_seen_key(F.col("_row"), F.col("_pos"))).alias("first"),
+        F.min(F.when(fits, _fast_key(row, pos))).alias("_fast"),
+        F.min(F.when(~fits, first_seen_key(row, pos))).alias("_slow"),
     )
+    first = F.least(_fast_to_exact(F.col("_fast")), F.col("_slow"))
+    return agg.select("term", "n", first.alias("first"))
 
 
 def _order() -> list[Column]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seqframe.functions.labels import with_label_names
 from seqframe.functions.text import DEFAULT_BUCKETS, chars
-from seqframe.operators.batches import assemble_batches, batch_order, batch_rows
+from seqframe.operators.batches import assemble_batches, batch_order, batch_rows, bucket_sizes
 from seqframe.operators.buckets import assign_buckets
 from seqframe.operators.index import index_labels, index_sequences
 from seqframe.operators.vocab import build_label_vocab, build_vocab, freeze_small_vocab
@@ -84,10 +84,16 @@ def preprocess_csv(spark: SparkSession, train_path: str, test_path: str, out_dir
 def character_batches(indexed: DataFrame, batch_size: int = 12,
                       buckets: Sequence[int] = DEFAULT_BUCKETS, seed: int = 42,
                       epoch: int = 0, row_col: str = "row_id") -> DataFrame:
-    """One row per full batch of one epoch, in ``batch_seq`` order keys."""
+    """One row per full batch of one epoch, with its place ``batch_seq`` in the epoch.
+
+    ``indexed`` should be a written (or checkpointed) table: batching reads it
+    more than once.
+    """
     bucketed = assign_buckets(indexed.select(row_col, "X", "Y"), "X", buckets)
-    rows = batch_rows(bucketed, batch_size, seed, epoch, keep=["P", "Y"], row_col=row_col)
-    order = batch_order(rows.select("epoch", "bucket", "batch"), seed)
+    sizes = bucket_sizes(bucketed)
+    rows = batch_rows(bucketed, batch_size, seed, epoch, keep=["P", "Y"], row_col=row_col,
+                      sizes=sizes)
+    order = batch_order(indexed.sparkSession, sizes, batch_size, seed, epoch)
     return assemble_batches(rows, order, row_col=row_col)
 
 

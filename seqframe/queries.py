@@ -37,7 +37,7 @@ from seqframe.operators.vocab import build_label_vocab, vocab_head
 from seqframe.plans import character as C
 from seqframe.plans import token as T
 from seqframe.operators.index import index_labels
-from seqframe.session import scratch_dir
+from seqframe.session import materialize, scratch_dir
 from seqframe.sources.csv import read_headered_csv
 from seqframe.sources.parquet import read_frame, read_vocab
 from seqframe.sources.sinks import write_csv, write_frame, write_vocab
@@ -185,6 +185,12 @@ def _char_bucketed(spark, sf_dir, cap=SMALL_CHAR_CAP, split="train"):
     return assign_buckets(idx, "X", DEFAULT_BUCKETS)
 
 
+def _batch_input(spark, sf_dir):
+    """Bucketed train rows written once: batching reads them several times."""
+    b = _char_bucketed(spark, sf_dir).select("row_id", "bucket", "P", "Y")
+    return materialize(b)
+
+
 def q_bucket_assign(spark, sf_dir):
     b = _char_bucketed(spark, sf_dir, split=None)
     return b.select(F.col("row_id").alias("doc_id"), "length", "bucket", "sliced",
@@ -200,21 +206,24 @@ def q_sliced_count(spark, sf_dir):
 
 
 def _batch_rows(spark, sf_dir, keep=()):
-    return B.batch_rows(_char_bucketed(spark, sf_dir), BATCH, SEED, EPOCH, keep=list(keep))
+    b = _batch_input(spark, sf_dir)
+    sizes = B.bucket_sizes(b)
+    return B.batch_rows(b, BATCH, SEED, EPOCH, keep=list(keep), sizes=sizes), sizes
 
 
 def q_batch_rows(spark, sf_dir):
-    r = _batch_rows(spark, sf_dir)
+    r, _ = _batch_rows(spark, sf_dir)
     return r.select("epoch", "bucket", "batch", F.col("row_id").alias("doc_id"), "rank")
 
 
 def q_batch_order(spark, sf_dir):
-    return B.batch_order(_batch_rows(spark, sf_dir), SEED)
+    sizes = B.bucket_sizes(_char_bucketed(spark, sf_dir))
+    return B.batch_order(spark, sizes, BATCH, SEED, EPOCH)
 
 
 def _batches(spark, sf_dir):
-    rows = _batch_rows(spark, sf_dir, keep=("P", "Y"))
-    order = B.batch_order(rows.select("epoch", "bucket", "batch"), SEED)
+    rows, sizes = _batch_rows(spark, sf_dir, keep=("P", "Y"))
+    order = B.batch_order(spark, sizes, BATCH, SEED, EPOCH)
     return B.assemble_batches(rows, order)
 
 

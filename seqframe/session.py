@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(
@@ -63,3 +63,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder for written tables, inside the checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"scratch-{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the checkpoint folder and cut its lineage.
+
+    Used at stage boundaries where several later jobs read the same derived
+    table (as the preprocessing job's output is read by batching).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -22,8 +22,19 @@ SPLIT_SEED = 7
 TEST_FRACTION = 0.2
 
 
+# Session setting: spread each table over at least this many partitions right
+# after the scan.  Only for inputs stored as a few large row groups (the local
+# test files are one row group each, so one task would do all the text work);
+# a cluster reading many files leaves it unset and pays no extra shuffle.
+MIN_INPUT_PARTITIONS = "spark.seqframe.input.minPartitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    wanted = spark.conf.get(MIN_INPUT_PARTITIONS, None)
+    if wanted and int(wanted) > df.rdd.getNumPartitions():
+        df = df.repartition(int(wanted))
+    return df
 
 
 def lang_code(lang: Column | str) -> Column:
