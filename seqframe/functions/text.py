@@ -89,10 +89,10 @@ def validated_buckets(buckets: Sequence[int]) -> list[int]:
 
 
 def bucket_of(length: Column | str, buckets: Sequence[int]) -> Column:
-    """Smallest bucket >= length, else the largest bucket."""
+    """Smallest bucket >= length, else the largest bucket; null length -> null."""
     bs = validated_buckets(buckets)
     n = _col(length)
-    expr = F.when(n <= bs[0], F.lit(bs[0]))
+    expr = F.when(n.isNull(), F.lit(None)).when(n <= bs[0], F.lit(bs[0]))
     for b in bs[1:-1]:
         expr = expr.when(n <= b, F.lit(b))
     return expr.otherwise(F.lit(bs[-1])).cast("int")
