@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqframe.functions.text import DEFAULT_BUCKETS
+from seqframe.operators.buckets import bucket_counts
 from seqframe.operators.numbering import dense_index, rank_within, salt_chars_for
 
 
@@ -29,8 +31,8 @@ def shuffle_key(seed: int, epoch: int, *cols: str | Column) -> Column:
 
 def bucket_sizes(df: DataFrame, bucket_col: str = "bucket") -> dict[int, int]:
     """Rows per bucket (at most one row per bucket size reaches the driver)."""
-    rows = df.where(F.col(bucket_col).isNotNull()).groupBy(bucket_col).count().collect()
-    return {int(r[bucket_col]): int(r["count"]) for r in rows}
+    rows = df.groupBy(bucket_col).count().collect()
+    return {int(r[bucket_col]): int(r["count"]) for r in rows if r[bucket_col] is not None}
 
 
 def _bucket_case(bucket: Column, values: dict[int, int], default: int = 0) -> Column:
@@ -54,9 +56,9 @@ def batch_rows(
     """``(epoch, bucket, batch, row_id, rank, *keep)`` for rows that land in a full batch."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    frame = df.where(F.col(bucket_col).isNotNull()).select(
-        row_col, bucket_col, *keep, shuffle_key(seed, epoch, row_col).alias("_key")
-    )
+    # Rows without a bucket are dropped by the `kept` lookup after ranking, not
+    # by a filter on the derived bucket column (see buckets.bucket_counts).
+    frame = df.select(row_col, bucket_col, *keep, shuffle_key(seed, epoch, row_col).alias("_key"))
     if sizes is None:
         sizes = bucket_sizes(frame, bucket_col)
     salt = salt_chars_for(max(sizes.values(), default=0))
@@ -153,11 +155,10 @@ def assemble_batches(
     return out
 
 
-def batches_per_epoch(df: DataFrame, batch_size: int, bucket_col: str = "bucket") -> DataFrame:
+def batches_per_epoch(df: DataFrame, batch_size: int,
+                      buckets: Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:
     """``naive`` = floor(rows / batch_size) (can overcount); ``actual`` = full batches."""
-    per_bucket = df.where(F.col(bucket_col).isNotNull()).groupBy(bucket_col).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    per_bucket = bucket_counts(df, buckets)
     bs = F.lit(batch_size)
     return per_bucket.agg(
         F.floor(F.coalesce(F.sum("n"), F.lit(0)) / bs).cast("long").alias("naive"),

@@ -22,14 +22,21 @@ def assign_buckets(
     buckets: Sequence[int] = DEFAULT_BUCKETS,
     out: str = "P",
     pad_value: int = UNSEEN,
+    length_col: str | None = None,
 ) -> DataFrame:
     """Add ``length``, ``bucket``, ``sliced`` and the padded/cut sequence ``out``.
 
-    Rows with a null sequence get null in all four columns.
+    Rows with a null sequence get null in all four columns.  ``length_col``
+    names an existing column holding the sequence length (for instance the
+    size of the characters before indexing), so that counting rows per bucket
+    does not need the indexed sequence itself.
     """
     bs = validated_buckets(buckets)
     seq = F.col(seq_col)
-    length = F.when(seq.isNotNull(), F.size(seq)).cast("int")
+    if length_col:
+        length = F.col(length_col).cast("int")
+    else:
+        length = F.when(seq.isNotNull(), F.size(seq)).cast("int")
     return (
         df.withColumn("length", length)
         .withColumn("bucket", bucket_of(F.col("length"), bs))
@@ -39,16 +46,24 @@ def assign_buckets(
 
 
 def bucket_counts(df: DataFrame, buckets: Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:
-    """``(bucket, n)`` for every bucket size, 0 for empty buckets."""
+    """``(bucket, n)`` for every bucket size, 0 for empty buckets.
+
+    One conditional count per bucket size in a single aggregate, then an
+    unpivot.  There is deliberately no filter or join on the derived ``bucket``
+    column: Catalyst would push the implied ``bucket IS NOT NULL`` below the
+    projections and evaluate the whole sequence expression again inside it.
+    """
     bs = validated_buckets(buckets)
-    spark = df.sparkSession
-    sizes = spark.createDataFrame([(b,) for b in bs], "bucket INT")
-    counts = df.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    # Both sides have at most len(buckets) rows.
-    return sizes.join(F.broadcast(counts), on="bucket", how="left").select(
-        "bucket", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")
+    b = F.col("bucket")
+    wide = df.agg(*[
+        F.coalesce(F.sum(F.when(b == F.lit(size), F.lit(1)).otherwise(F.lit(0))), F.lit(0))
+        .cast("long").alias(f"n{size}")
+        for size in bs
+    ])
+    long = wide.unpivot([], [f"n{size}" for size in bs], "_name", "n")
+    return long.select(
+        F.substring(F.col("_name"), 2, 10).cast("int").alias("bucket"),
+        F.col("n").cast("long").alias("n"),
     )
 
 

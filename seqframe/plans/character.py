@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 from seqframe.functions.labels import with_label_names
@@ -42,13 +43,21 @@ def fit_character_vocab(train: DataFrame, cap: int = CHAR_CAP, text_col: str = "
 
 def fit_label_vocab(train: DataFrame, cap: int | None = CHAR_CAP, label_col: str = "label",
                     row_col: str = "row_id", max_terms: int = 10_000) -> DataFrame:
-    return freeze_small_vocab(build_label_vocab(train, label_col, row_col, cap), max_terms)
+    """Label vocabulary kept as a small local table (at most ``max_terms`` labels).
+
+    Without a cap, asking for ``max_terms + 1`` entries gives the same table
+    whenever it is valid, and lets the bounded top-n path do the numbering.
+    """
+    limit = cap if cap is not None else max_terms + 1
+    return freeze_small_vocab(build_label_vocab(train, label_col, row_col, limit), max_terms)
 
 
 def index_characters(df: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
                      text_col: str = "description", label_col: str = "label") -> DataFrame:
+    """Add ``X``, ``Y`` and ``length`` (characters per text, known before indexing)."""
     with_chars = df.withColumn("_c", chars(text_col))
-    x = index_sequences(with_chars, "_c", vocab, out="X", method="array").drop("_c")
+    x = index_sequences(with_chars, "_c", vocab, out="X", method="array")
+    x = x.withColumn("length", F.when(F.col("_c").isNotNull(), F.size("_c"))).drop("_c")
     return index_labels(x, label_vocab, label_col, "Y")
 
 
@@ -89,7 +98,7 @@ def character_batches(indexed: DataFrame, batch_size: int = 12,
     ``indexed`` should be a written (or checkpointed) table: batching reads it
     more than once.
     """
-    bucketed = assign_buckets(indexed.select(row_col, "X", "Y"), "X", buckets)
+    bucketed = assign_buckets(indexed.select(row_col, "X", "Y"), "X", buckets)  # X is stored
     sizes = bucket_sizes(bucketed)
     rows = batch_rows(bucketed, batch_size, seed, epoch, keep=["P", "Y"], row_col=row_col,
                       sizes=sizes)

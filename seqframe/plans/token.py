@@ -51,7 +51,7 @@ def prepare_tokens(train: DataFrame, test: DataFrame, text_col: str = "descripti
                    label_col: str = "label", row_col: str = "row_id",
                    max_tokens: int = MAX_TOKENS) -> TokenPrepared:
     vocab = fit_token_vocab(train, text_col, row_col, max_tokens)
-    label_vocab = freeze_small_vocab(build_label_vocab(train, label_col, row_col, None), 10_000)
+    label_vocab = freeze_small_vocab(build_label_vocab(train, label_col, row_col, 10_001), 10_000)
     return TokenPrepared(
         index_tokens(train, vocab, label_vocab, text_col, label_col, row_col, max_tokens),
         index_tokens(test, vocab, label_vocab, text_col, label_col, row_col, max_tokens),

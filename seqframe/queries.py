@@ -182,7 +182,7 @@ def _char_bucketed(spark, sf_dir, cap=SMALL_CHAR_CAP, split="train"):
     idx, _, _ = _char_prepared(spark, sf_dir, cap)
     if split:
         idx = idx.where(F.col("split") == split)
-    return assign_buckets(idx, "X", DEFAULT_BUCKETS)
+    return assign_buckets(idx, "X", DEFAULT_BUCKETS, length_col="length")
 
 
 def _batch_input(spark, sf_dir):
@@ -246,7 +246,7 @@ def q_first_batch(spark, sf_dir):
 
 
 def q_batches_per_epoch(spark, sf_dir):
-    return B.batches_per_epoch(_char_bucketed(spark, sf_dir), BATCH)
+    return B.batches_per_epoch(_char_bucketed(spark, sf_dir), BATCH, DEFAULT_BUCKETS)
 
 
 def q_fixed_batches_train(spark, sf_dir):

@@ -61,7 +61,7 @@ def test_seed_and_epoch(spark):
 
 def test_batches_per_epoch_counts(spark):
     b = _bucketed(spark, {3: 11, 6: 11, 12: 3})
-    r = B.batches_per_epoch(b, 12).first()
+    r = B.batches_per_epoch(b, 12, [4, 8, 16]).first()
     assert (r["naive"], r["actual"]) == (2, 0)
 
 

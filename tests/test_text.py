@@ -62,3 +62,18 @@ def test_null_text_stays_null(spark):
     df = spark.createDataFrame([(None,)], "t string")
     r = df.select(tokens("t").alias("k"), F.size(chars("t")).alias("n")).first()
     assert r["k"] is None
+
+
+def test_positive_class_matches_negated_class():
+    import re
+
+    from seqframe.functions.text import TOKEN_RULES, _positive_class
+
+    neg = TOKEN_RULES[0][0]
+    pos = _positive_class(neg)
+    as_python = re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: "\\U%08x" % int(m.group(1), 16), pos)
+    a, b = re.compile(neg), re.compile(as_python)
+    for cp in list(range(0, 0x3000)) + [0xD7FF, 0xE000, 0xFFFD, 0x1F600, 0x10FFFF]:
+        ch = chr(cp)
+        assert bool(a.fullmatch(ch)) == bool(b.fullmatch(ch)), hex(cp)
+    assert _positive_class(r"\s{2,}") == r"\s{2,}"
