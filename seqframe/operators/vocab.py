@@ -136,7 +136,22 @@ def freeze_small_vocab(vocab: DataFrame, max_terms: int) -> DataFrame:
     return vocab.sparkSession.createDataFrame(rows, VOCAB_SCHEMA)
 
 
-def term_of(vocab: DataFrame, idx_col: str, df: DataFrame, out: str = "term") -> DataFrame:
-    """Index -> term through the vocabulary table (left join, unseen -> null)."""
+def term_of(vocab: DataFrame, idx_col: str, df: DataFrame, out: str = "term",
+            broadcast_max_terms: int = 2_000_000, hot_terms: int = 100_000) -> DataFrame:
+    """Index -> term through the vocabulary table; unseen (< 0) -> null.
+
+    The vocabulary is broadcast when its counted size allows.  Otherwise the
+    most frequent entries (the only possible hot keys) are still broadcast,
+    only the tail is shuffle-joined, and negative indices skip the join.
+    """
     inv = vocab.select(F.col("idx").alias(idx_col), F.col("term").alias(out))
-    return df.join(inv, on=idx_col, how="left")
+    if vocab.count() <= broadcast_max_terms:
+        return df.join(F.broadcast(inv), on=idx_col, how="left")
+    idx = F.col(idx_col)
+    unseen = df.where(idx.isNull() | (idx < 0)).withColumn(out, F.lit(None).cast("string"))
+    known = df.where(idx >= 0)
+    first = known.join(F.broadcast(inv.where(idx < hot_terms)), on=idx_col, how="left")
+    hits = first.where(F.col(out).isNotNull())
+    rest = first.where(F.col(out).isNull()).drop(out).join(
+        inv.where(idx >= hot_terms), on=idx_col, how="left")
+    return hits.unionByName(rest).unionByName(unseen)

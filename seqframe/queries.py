@@ -33,7 +33,8 @@ from seqframe.operators.buckets import assign_buckets, bucket_counts, sliced_cou
 from seqframe.operators.evaluate import accuracy
 from seqframe.operators.features import ngram_featurizer
 from seqframe.operators.sample import exact_sample, first_rows, random_row
-from seqframe.operators.vocab import build_label_vocab, vocab_head
+from seqframe.operators.numbering import dense_index
+from seqframe.operators.vocab import build_label_vocab, term_of, vocab_head
 from seqframe.plans import character as C
 from seqframe.plans import token as T
 from seqframe.operators.index import index_labels
@@ -58,6 +59,7 @@ TOKEN_BATCH = 120
 SEED = 42
 EPOCH = 0
 SAMPLE_FRACTION = 0.005
+UNSEEN_TERM = "<unseen>"  # cannot be a token: the first rule removes "<" and ">"
 
 
 # --------------------------------------------------------------------------
@@ -341,6 +343,45 @@ def q_accuracy(spark, sf_dir):
     return accuracy(pred)
 
 
+def _turns(spark, sf_dir):
+    """Conversation turns as a second labelled text source (label = role).
+
+    Row ids follow (conv_id, turn) and are assigned by the distributed dense
+    index, as a reader would number rows in file order.
+    """
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    numbered = dense_index(c, [F.col("conv_id").asc(), F.col("turn").asc()], out="row_id")
+    return numbered.withColumn("split", split_of("row_id"))
+
+
+def q_conv_role_vocab(spark, sf_dir):
+    t = _turns(spark, sf_dir).where(F.col("split") == "train")
+    return build_label_vocab(t, "role", "row_id", CHAR_CAP)
+
+
+def q_conv_token_vocab(spark, sf_dir):
+    t = _turns(spark, sf_dir).where(F.col("split") == "train")
+    return T.fit_token_vocab(t, text_col="text")
+
+
+def q_token_decode(spark, sf_dir):
+    """Index -> term through the token vocabulary; unseen indices decode to null."""
+    a = _labelled(spark, sf_dir)
+    train = a.where(F.col("split") == "train")
+    vocab = T.fit_token_vocab(train)
+    label_vocab = C.fit_label_vocab(train, None)
+    idx = T.index_tokens(a, vocab, label_vocab)
+    pairs = idx.select("row_id", F.posexplode("X").alias("pos", "idx"))
+    named = term_of(vocab, "idx", pairs)
+    out = named.groupBy("row_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("term", F.lit(UNSEEN_TERM))
+                                             .alias("t")))).alias("p"))
+    return out.select(
+        F.col("row_id").alias("doc_id"),
+        F.array_join(F.transform("p", lambda e: e["t"]), "|").alias("tokens"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "char_vocab": q_char_vocab,
     "char_vocab_cap40": q_char_vocab_cap40,
@@ -376,6 +417,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_proba": q_predict_proba,
     "predict_top": q_predict_top,
     "accuracy": q_accuracy,
+    "conv_role_vocab": q_conv_role_vocab,
+    "conv_token_vocab": q_conv_token_vocab,
+    "token_decode": q_token_decode,
 }
 
 
@@ -429,11 +473,11 @@ vocab AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, first) - 1 AS INTEGER)
                  term, CAST(n AS BIGINT) AS n FROM top)"""
 
 
-def _label_vocab_sql(cap: int | None, src: str = "labelled") -> str:
+def _label_vocab_sql(cap: int | None, src: str = "labelled", col: str = "label") -> str:
     limit = f"LIMIT {cap}" if cap is not None else ""
     return f"""
-lg AS (SELECT label AS term, count(*) AS n, min(row_id) AS first FROM {src}
-       WHERE split = 'train' AND label IS NOT NULL GROUP BY label),
+lg AS (SELECT {col} AS term, count(*) AS n, min(row_id) AS first FROM {src}
+       WHERE split = 'train' AND {col} IS NOT NULL GROUP BY {col}),
 ltop AS (SELECT * FROM lg ORDER BY n DESC, first {limit}),
 lvocab AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, first) - 1 AS INTEGER) AS idx,
                   term, CAST(n AS BIGINT) AS n FROM ltop)"""
@@ -538,6 +582,13 @@ SELECT CAST({EPOCH} AS INTEGER) AS epoch, CAST(batch AS BIGINT) AS batch, CAST(s
 FROM ({body}) x"""
 
 
+_TURNS = f"""turns AS (
+  SELECT conv_id, turn, role, text,
+         row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_id,
+         {_SPLIT.replace('doc_id', '(row_number() OVER (ORDER BY conv_id, turn) - 1)')} AS split
+  FROM conversations)"""
+
+
 def _key_sql(col: str) -> str:
     return f"md5(concat_ws('|', '{SEED}', CAST({col} AS VARCHAR)))"
 
@@ -621,4 +672,17 @@ ORDER BY {_key_sql('row_id')}, row_id LIMIT 1""",
     "parquet_round_trip": f"""WITH {_char_index_cte(SMALL_CHAR_CAP)}
 SELECT row_id AS doc_id, Y, {_int_list('X')} AS X FROM indexed""",
     "vocab_round_trip": f"WITH {_char_vocab_cte(CHAR_CAP)} SELECT idx, term, n FROM vocab",
+    "conv_role_vocab": f"""WITH {_TURNS},
+{_label_vocab_sql(CHAR_CAP, 'turns', 'role')}
+SELECT idx, term, n FROM lvocab""",
+    "conv_token_vocab": f"""WITH {_TURNS},
+ts AS (SELECT row_id, {_pad_sql(_token_sql('text'))} AS s FROM turns WHERE split = 'train'),
+{_vocab_sql('ts', None)}
+SELECT idx, term, n FROM vocab""",
+    "token_decode": f"""WITH {_token_vocab_cte()},
+ta AS (SELECT row_id, {_pad_sql(_token_sql('description'))} AS s FROM labelled),
+te AS (SELECT row_id, unnest(s) AS term, unnest(range(len(s))) AS pos FROM ta),
+tj AS (SELECT te.row_id, te.pos, coalesce(v.term, '{UNSEEN_TERM}') AS t
+       FROM te LEFT JOIN vocab v ON te.term = v.term)
+SELECT row_id AS doc_id, string_agg(t, '|' ORDER BY pos) AS tokens FROM tj GROUP BY row_id""",
 }

@@ -67,3 +67,13 @@ def test_head_and_freeze(spark):
     assert [r["term"] for r in vocab_head(v, 2).collect()] == ["b", "a"]
     assert v.schema.simpleString() == "struct<idx:int,term:string,n:bigint>"
     assert v.where(F.col("idx") == 2).first()["term"] == "c"
+
+
+def test_term_of_broadcast_and_split_paths(spark):
+    from seqframe.operators.vocab import term_of
+    v = spark.createDataFrame([(0, "a", 5), (1, "b", 3), (2, "c", 1)], "idx int, term string, n long")
+    df = spark.createDataFrame([(0, 2), (1, -1), (2, 0), (3, 1), (4, None)], "r int, idx int")
+    want = {0: "c", 1: None, 2: "a", 3: "b", 4: None}
+    for kw in ({}, {"broadcast_max_terms": 0, "hot_terms": 1}):
+        got = {row["r"]: row["term"] for row in term_of(v, "idx", df, **kw).collect()}
+        assert got == want
