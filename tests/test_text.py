@@ -26,8 +26,8 @@ def test_tokens_edge_rows(spark):
     assert _one(spark, tokens, "Don't  it's\tx, y!\nz") == [
         "do", "n't", "it", "'s", "x", ",", "y", "!", "z"]
     assert _one(spark, tokens, "IT'S") == ["it's"]
-    assert _one(spark, lambda c: pad_tokens(tokens(c)), "MXNet is awesome. No really...") == (
-        ["mxnet", "is", "awesome", "no", "really"] + ["<padded>"] * 15)
+    assert _one(spark, lambda c: pad_tokens(tokens(c)), "Spark is awesome. No really...") == (
+        ["spark", "is", "awesome", "no", "really"] + ["<padded>"] * 15)
 
 
 def test_pad_cuts_long_sequences(spark):
