@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +33,12 @@ from seqframe.operators import batches as B
 from seqframe.operators.buckets import assign_buckets, bucket_counts, sliced_count
 from seqframe.operators.evaluate import accuracy
 from seqframe.operators.features import ngram_featurizer
-from seqframe.operators.sample import exact_sample, first_rows, random_row
+from seqframe.operators.index import index_labels
 from seqframe.operators.numbering import dense_index
+from seqframe.operators.sample import exact_sample, first_rows, random_row
 from seqframe.operators.vocab import build_label_vocab, term_of, vocab_head
 from seqframe.plans import character as C
 from seqframe.plans import token as T
-from seqframe.operators.index import index_labels
 from seqframe.session import materialize, scratch_dir
 from seqframe.sources.csv import read_headered_csv
 from seqframe.sources.parquet import read_frame, read_vocab
@@ -252,6 +253,14 @@ def q_batches_per_epoch(spark, sf_dir):
 
 
 def q_fixed_batches_train(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    # The fixed-size iterator completes its last batch by default.
+    fb = B.fixed_batches(train, TOKEN_BATCH, shuffle=True, seed=SEED, epoch=EPOCH,
+                         last_batch="pad")
+    return fb.select("epoch", "batch", "slot", F.col("row_id").alias("doc_id"), "pad")
+
+
+def q_fixed_batches_train_discard(spark, sf_dir):
     train = _train(spark, sf_dir)
     fb = B.fixed_batches(train, TOKEN_BATCH, shuffle=True, seed=SEED, epoch=EPOCH,
                          last_batch="discard")
@@ -314,7 +323,6 @@ def q_ngram_features(spark, sf_dir):
     a = _labelled(spark, sf_dir)
     t = T.with_tokens(a)
     feats = ngram_featurizer("T").fit(t).transform(t)
-    from pyspark.ml.functions import vector_to_array
     nnz = F.size(F.filter(vector_to_array("features"), lambda v: v != 0))
     return feats.select(F.col("row_id").alias("doc_id"), nnz.cast("long").alias("n_active"))
 
@@ -406,6 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_batch": q_first_batch,
     "batches_per_epoch": q_batches_per_epoch,
     "fixed_batches_train": q_fixed_batches_train,
+    "fixed_batches_train_discard": q_fixed_batches_train_discard,
     "fixed_batches_test": q_fixed_batches_test,
     "first_rows": q_first_rows,
     "sample_exact": q_sample_exact,
@@ -656,7 +665,8 @@ SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt WHER
 pb AS (SELECT bucket, count(*) AS n FROM bucketed GROUP BY bucket)
 SELECT CAST(coalesce(sum(n), 0) // {BATCH} AS BIGINT) AS naive,
        CAST(coalesce(sum(n // {BATCH}), 0) AS BIGINT) AS actual FROM pb""",
-    "fixed_batches_train": _fixed_sql("train", True, False),
+    "fixed_batches_train": _fixed_sql("train", True, True),
+    "fixed_batches_train_discard": _fixed_sql("train", True, False),
     "fixed_batches_test": _fixed_sql("test", False, True),
     "first_rows": f"""WITH {LABELLED}
 SELECT row_id AS doc_id, label, split FROM labelled ORDER BY row_id LIMIT 5""",

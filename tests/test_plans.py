@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from seqframe.plans.character import character_batches, preprocess_csv
 from seqframe.sources import read_frame, read_vocab
-from seqframe.sources.sinks import write_csv
 
 
 def test_preprocess_job_from_csv(spark):
@@ -30,4 +29,3 @@ def test_preprocess_job_from_csv(spark):
     batches = character_batches(train, batch_size=12, buckets=[32, 64, 128]).collect()
     assert all(b["n_rows"] == 12 for b in batches)
     assert sorted(b["batch_seq"] for b in batches) == list(range(len(batches)))
-    assert write_csv is not None
