@@ -56,6 +56,11 @@ def rank_within(
     may be arbitrarily skewed.  Equal to
     ``row_number() over (partition by partition_cols order by key, tiebreak) - 1``.
     With ``total_col``, also adds the number of rows of the row's group.
+
+    ``partition_cols`` should be stored values (a written or checkpointed
+    table): the join with the offsets implies ``IS NOT NULL`` on them, and
+    Catalyst pushes that filter below any projection that derives them,
+    evaluating the deriving expression again inside the filter.
     """
     parts = list(partition_cols)
     if salt_chars is None:

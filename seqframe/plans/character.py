@@ -6,10 +6,10 @@ is the whole preprocessing job from CSV files to parquet tables.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,10 +34,16 @@ class Prepared:
     label_vocab: DataFrame
 
 
+Splitter = Callable[[Column], Column]
+
+
 def fit_character_vocab(train: DataFrame, cap: int = CHAR_CAP, text_col: str = "description",
-                        row_col: str = "row_id") -> DataFrame:
+                        row_col: str = "row_id", splitter: Splitter = chars) -> DataFrame:
+    """Capped vocabulary of ``splitter(text)`` elements (characters by default)."""
     return freeze_small_vocab(
-        build_vocab(train.select(row_col, chars(text_col).alias("_c")), "_c", row_col, cap), cap
+        build_vocab(train.select(row_col, splitter(F.col(text_col)).alias("_c")), "_c", row_col,
+                    cap),
+        cap,
     )
 
 
@@ -53,9 +59,10 @@ def fit_label_vocab(train: DataFrame, cap: int | None = CHAR_CAP, label_col: str
 
 
 def index_characters(df: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
-                     text_col: str = "description", label_col: str = "label") -> DataFrame:
-    """Add ``X``, ``Y`` and ``length`` (characters per text, known before indexing)."""
-    with_chars = df.withColumn("_c", chars(text_col))
+                     text_col: str = "description", label_col: str = "label",
+                     splitter: Splitter = chars) -> DataFrame:
+    """Add ``X``, ``Y`` and ``length`` (elements per text, known before indexing)."""
+    with_chars = df.withColumn("_c", splitter(F.col(text_col)))
     x = index_sequences(with_chars, "_c", vocab, out="X", method="array")
     x = x.withColumn("length", F.when(F.col("_c").isNotNull(), F.size("_c"))).drop("_c")
     return index_labels(x, label_vocab, label_col, "Y")
@@ -63,13 +70,17 @@ def index_characters(df: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
 
 def prepare_characters(train: DataFrame, test: DataFrame, cap: int = CHAR_CAP,
                        text_col: str = "description", label_col: str = "label",
-                       row_col: str = "row_id") -> Prepared:
-    """Fit both vocabularies on ``train``, then add ``X`` and ``Y`` to both frames."""
-    vocab = fit_character_vocab(train, cap, text_col, row_col)
+                       row_col: str = "row_id", splitter: Splitter = chars) -> Prepared:
+    """Fit both vocabularies on ``train``, then add ``X`` and ``Y`` to both frames.
+
+    ``splitter`` is any ``Column -> Column`` producing an array of strings; the
+    vocabulary must stay within the array-lookup bound (256 entries).
+    """
+    vocab = fit_character_vocab(train, cap, text_col, row_col, splitter)
     label_vocab = fit_label_vocab(train, cap, label_col, row_col)
     return Prepared(
-        index_characters(train, vocab, label_vocab, text_col, label_col),
-        index_characters(test, vocab, label_vocab, text_col, label_col),
+        index_characters(train, vocab, label_vocab, text_col, label_col, splitter),
+        index_characters(test, vocab, label_vocab, text_col, label_col, splitter),
         vocab,
         label_vocab,
     )

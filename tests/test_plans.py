@@ -29,3 +29,17 @@ def test_preprocess_job_from_csv(spark):
     batches = character_batches(train, batch_size=12, buckets=[32, 64, 128]).collect()
     assert all(b["n_rows"] == 12 for b in batches)
     assert sorted(b["batch_seq"] for b in batches) == list(range(len(batches)))
+
+
+def test_pluggable_splitter(spark):
+    from pyspark.sql import functions as F
+
+    from seqframe.plans.character import prepare_characters
+
+    df = spark.createDataFrame(
+        [(0, "a b a", "World"), (1, "b c", "Sports"), (2, "c c d", "World")],
+        "row_id long, description string, label string")
+    words = lambda c: F.split(c, " ")
+    p = prepare_characters(df.where("row_id < 2"), df.where("row_id = 2"), cap=10, splitter=words)
+    assert [r["term"] for r in p.vocab.orderBy("idx").collect()] == ["a", "b", "c"]
+    assert p.test.first()["X"] == [2, 2, -1] and p.test.first()["length"] == 3
