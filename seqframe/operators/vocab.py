@@ -8,6 +8,8 @@ optional cap.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,7 +135,19 @@ def freeze_small_vocab(vocab: DataFrame, max_terms: int) -> DataFrame:
     if len(rows) > max_terms:
         raise ValueError(f"vocabulary has more than {max_terms} terms")
     rows = sorted((tuple(r) for r in rows), key=lambda r: r[0])
-    return vocab.sparkSession.createDataFrame(rows, VOCAB_SCHEMA)
+    return literal_vocab(vocab.sparkSession, rows)
+
+
+def literal_vocab(spark, rows) -> DataFrame:
+    """A small vocabulary ``[(idx, term, n), ...]`` as a JVM-side literal table.
+
+    The rows travel as one JSON string literal parsed by ``from_json``: using
+    the table never starts Python workers (``createDataFrame`` from Python rows
+    would), and building it costs one expression, not one per value.
+    """
+    payload = json.dumps([{"idx": int(i), "term": t, "n": int(n)} for i, t, n in rows])
+    items = F.from_json(F.lit(payload), "array<struct<idx:int,term:string,n:bigint>>")
+    return spark.range(1).select(F.inline(items)).select("idx", "term", "n")
 
 
 def term_of(vocab: DataFrame, idx_col: str, df: DataFrame, out: str = "term",
