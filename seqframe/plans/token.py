@@ -13,6 +13,7 @@ from seqframe.operators.index import index_labels, index_sequences
 from seqframe.operators.model import fit_classifier
 from seqframe.operators.predict import predict_proba
 from seqframe.operators.vocab import build_label_vocab, build_vocab, freeze_small_vocab
+from seqframe.session import materialize
 
 
 @dataclass
@@ -28,11 +29,39 @@ def with_tokens(df: DataFrame, text_col: str = "description", max_tokens: int =
     return df.withColumn(out, pad_tokens(tokens(text_col), max_tokens, pad))
 
 
+def tokenized(df: DataFrame, text_col: str = "description", max_tokens: int = MAX_TOKENS,
+              out: str = "T") -> DataFrame:
+    """``df`` with padded tokens ``out`` in place of the text, written once.
+
+    The 13 rules run over every whole text, the costliest per-row step of the
+    token path.  Fitting and indexing both read the frame, so it is
+    checkpointed: the rules run once per row, and later jobs read short token
+    arrays instead of the text.
+    """
+    return materialize(with_tokens(df, text_col, max_tokens, out=out).drop(text_col))
+
+
+def fit_vocab_from_tokens(t: DataFrame, row_col: str = "row_id", cap: int | None = None,
+                          tokens_col: str = "T") -> DataFrame:
+    """Vocabulary of already tokenized (padded) rows."""
+    return build_vocab(t.select(row_col, tokens_col), tokens_col, row_col, cap)
+
+
 def fit_token_vocab(train: DataFrame, text_col: str = "description", row_col: str = "row_id",
                     max_tokens: int = MAX_TOKENS, cap: int | None = None) -> DataFrame:
     """Counted over padded sequences, so the pad token is an entry too."""
     t = with_tokens(train.select(row_col, text_col), text_col, max_tokens)
-    return build_vocab(t, "T", row_col, cap)
+    return fit_vocab_from_tokens(t, row_col, cap)
+
+
+def index_token_frame(t: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
+                      label_col: str = "label", row_col: str = "row_id",
+                      carry: tuple[str, ...] = (), tokens_col: str = "T") -> DataFrame:
+    """``(row_id, label, Y, *carry, X)`` from already tokenized rows."""
+    t = index_labels(t, label_vocab, label_col, "Y", max_terms=10_000)
+    keep = [label_col, "Y", *carry]
+    return index_sequences(t.select(row_col, tokens_col, *keep), tokens_col, vocab, out="X",
+                           row_col=row_col, carry=keep, method="auto")
 
 
 def index_tokens(df: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
@@ -40,20 +69,19 @@ def index_tokens(df: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
                  row_col: str = "row_id", max_tokens: int = MAX_TOKENS,
                  carry: tuple[str, ...] = ()) -> DataFrame:
     """``(row_id, label, Y, *carry, X)``; the text itself is not carried."""
-    t = with_tokens(df, text_col, max_tokens)
-    t = index_labels(t, label_vocab, label_col, "Y", max_terms=10_000)
-    keep = [label_col, "Y", *carry]
-    return index_sequences(t.select(row_col, "T", *keep), "T", vocab, out="X",
-                           row_col=row_col, carry=keep, method="auto")
+    return index_token_frame(with_tokens(df, text_col, max_tokens), vocab, label_vocab,
+                             label_col, row_col, carry)
 
 
 def prepare_tokens(train: DataFrame, test: DataFrame, text_col: str = "description",
                    label_col: str = "label", row_col: str = "row_id",
                    max_tokens: int = MAX_TOKENS) -> TokenPrepared:
-    vocab = fit_token_vocab(train, text_col, row_col, max_tokens)
-    label_vocab = freeze_small_vocab(build_label_vocab(train, label_col, row_col, 10_001), 10_000)
+    """Fit on ``train``, index both; each text is tokenized once."""
+    tr = tokenized(train, text_col, max_tokens)
+    vocab = fit_vocab_from_tokens(tr, row_col)
+    label_vocab = freeze_small_vocab(build_label_vocab(tr, label_col, row_col, 10_001), 10_000)
     return TokenPrepared(
-        index_tokens(train, vocab, label_vocab, text_col, label_col, row_col, max_tokens),
+        index_token_frame(tr, vocab, label_vocab, label_col, row_col),
         index_tokens(test, vocab, label_vocab, text_col, label_col, row_col, max_tokens),
         vocab,
         label_vocab,

@@ -171,12 +171,17 @@ def q_label_index_missing(spark, sf_dir):
     return out.select(F.col("row_id").alias("doc_id"), "split", "label", "Y")
 
 
-def q_token_index(spark, sf_dir):
-    a = _labelled(spark, sf_dir)
-    train = a.where(F.col("split") == "train")
-    vocab = T.fit_token_vocab(train)
+def _token_indexed(spark, sf_dir, carry=()):
+    """All rows tokenized once; vocabularies fitted on the train rows of that table."""
+    t = T.tokenized(_labelled(spark, sf_dir))
+    train = t.where(F.col("split") == "train")  # a stored column of the checkpoint
+    vocab = T.fit_vocab_from_tokens(train)
     label_vocab = C.fit_label_vocab(train, None)
-    idx = T.index_tokens(a, vocab, label_vocab, carry=("split",))
+    return T.index_token_frame(t, vocab, label_vocab, carry=carry), vocab
+
+
+def q_token_index(spark, sf_dir):
+    idx, _ = _token_indexed(spark, sf_dir, carry=("split",))
     return idx.select(F.col("row_id").alias("doc_id"), "split", "label", "Y",
                       ints_to_string("X").alias("X"))
 
@@ -374,11 +379,7 @@ def q_conv_token_vocab(spark, sf_dir):
 
 def q_token_decode(spark, sf_dir):
     """Index -> term through the token vocabulary; unseen indices decode to null."""
-    a = _labelled(spark, sf_dir)
-    train = a.where(F.col("split") == "train")
-    vocab = T.fit_token_vocab(train)
-    label_vocab = C.fit_label_vocab(train, None)
-    idx = T.index_tokens(a, vocab, label_vocab)
+    idx, vocab = _token_indexed(spark, sf_dir)
     pairs = idx.select("row_id", F.posexplode("X").alias("pos", "idx"))
     named = term_of(vocab, "idx", pairs)
     out = named.groupBy("row_id").agg(

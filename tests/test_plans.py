@@ -43,3 +43,23 @@ def test_pluggable_splitter(spark):
     p = prepare_characters(df.where("row_id < 2"), df.where("row_id = 2"), cap=10, splitter=words)
     assert [r["term"] for r in p.vocab.orderBy("idx").collect()] == ["a", "b", "c"]
     assert p.test.first()["X"] == [2, 2, -1] and p.test.first()["length"] == 3
+
+
+def test_prepare_tokens_matches_plain_python(spark):
+    from seqframe.plans.token import prepare_tokens
+    from tests.reference_model import py_pad, py_tokens, py_vocab
+
+    texts = ["It's a test, isn't it?", "No (really) it's fine!", "a a b", "",
+             "Unseen words, it's here"]
+    labels = ["World", "Sports", "World", "Business", "Sci/Tech"]
+    df = spark.createDataFrame([(i, t, lab) for i, (t, lab) in enumerate(zip(texts, labels))],
+                               "row_id long, description string, label string")
+    p = prepare_tokens(df.where("row_id < 4"), df.where("row_id >= 4"))
+    vocab = py_vocab([py_pad(py_tokens(t)) for t in texts[:4]], None)
+    assert [tuple(r) for r in p.vocab.orderBy("idx").collect()] == vocab
+    index = {t: i for i, t, _ in vocab}
+    got = {r["row_id"]: (r["X"], r["Y"]) for r in p.train.unionByName(p.test).collect()}
+    names = {"World": 0, "Sports": 1, "Business": 2}
+    want = {i: ([index.get(x, -1) for x in py_pad(py_tokens(t))], names.get(labels[i], -1))
+            for i, t in enumerate(texts)}
+    assert got == want
