@@ -77,3 +77,11 @@ def test_positive_class_matches_negated_class():
         ch = chr(cp)
         assert bool(a.fullmatch(ch)) == bool(b.fullmatch(ch)), hex(cp)
     assert _positive_class(r"\s{2,}") == r"\s{2,}"
+
+
+def test_tokens_outside_the_basic_plane(spark):
+    # Supplementary-plane characters are single code points for the first
+    # rule's class, as in Python.
+    for text in ["Hi \U0001F600 there, it's ok!", "x\U00010000y\U0010FFFFz",
+                 "émigré's café (déjà) vu?", "Tab\tand nbsp\nline"]:
+        assert _one(spark, tokens, text) == py_tokens(text)
