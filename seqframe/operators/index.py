@@ -7,10 +7,11 @@ Two physical strategies, picked by the vocabulary's (checked) size:
   projection: no shuffle, stays in codegen, works on streaming frames.
 * join path (large vocabularies: tokens): ``posexplode_outer`` -> left join with
   the vocabulary -> regroup by row in position order.  The vocabulary is
-  broadcast when its size allows.  Past that bound, the most frequent terms
-  (whose counts make them the only possible hot keys) are still broadcast and
-  only the tail goes through a shuffle join, where no single term can hold
-  more than a small share of the rows.
+  broadcast when its counted terms and bytes allow.  Past those bounds, the
+  most frequent terms (whose counts make them the only possible hot keys) are
+  still broadcast, each of bounded length, and only the tail goes through a
+  shuffle join, where no single term can hold more than a small share of the
+  rows.
 """
 
 from __future__ import annotations
@@ -21,14 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.functions.text import UNSEEN
-from seqframe.operators.vocab import vocab_terms
+from seqframe.operators.vocab import (
+    BROADCAST_MAX_BYTES,
+    BROADCAST_MAX_TERMS,
+    HOT_TERMS,
+    fits_broadcast,
+    hot_entry,
+    vocab_terms,
+)
 
 # Largest vocabulary looked up by array scan (per element cost is linear).
 ARRAY_MAX_TERMS = 256
-# Largest vocabulary sent whole to every task as a broadcast hash table.
-BROADCAST_MAX_TERMS = 2_000_000
-# Frequent terms broadcast on the join path when the vocabulary is larger.
-HOT_TERMS = 100_000
 
 
 def _terms_array(terms: Sequence[str]) -> Column:
@@ -73,6 +77,7 @@ def index_sequences(
     method: str = "auto",
     array_max_terms: int = ARRAY_MAX_TERMS,
     broadcast_max_terms: int = BROADCAST_MAX_TERMS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
     hot_terms: int = HOT_TERMS,
 ) -> DataFrame:
     """Add ``out`` = indices of ``seq_col``; null sequence -> null, [] -> [].
@@ -91,7 +96,7 @@ def index_sequences(
             return df.withColumn(out, index_with_terms(seq_col, terms, unseen))
         if method == "array":
             raise ValueError(f"vocabulary has more than {array_max_terms} terms; use the join path")
-    n_terms = vocab.count()
+    small = fits_broadcast(vocab, broadcast_max_terms, broadcast_max_bytes)
     if carry is None:
         carry = [c for c in df.columns if c not in (seq_col, row_col)]
     carry = list(carry)
@@ -103,11 +108,12 @@ def index_sequences(
         F.posexplode_outer(F.col(seq_col)).alias("_pos", "term"),
     )
     vocab_kv = vocab.select("term", F.col("idx").alias("_idx"))
-    if n_terms <= broadcast_max_terms:
+    if small:
         looked_up = exploded.join(F.broadcast(vocab_kv), on="term", how="left")
     else:
-        hot = vocab.where(F.col("idx") < hot_terms).select("term", F.col("idx").alias("_hot"))
-        tail = vocab.where(F.col("idx") >= hot_terms).select("term", F.col("idx").alias("_idx"))
+        is_hot = hot_entry(F.col("idx"), F.col("term"), hot_terms)
+        hot = vocab.where(is_hot).select("term", F.col("idx").alias("_hot"))
+        tail = vocab.where(~is_hot).select("term", F.col("idx").alias("_idx"))
         first = exploded.join(F.broadcast(hot), on="term", how="left")
         hits = first.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", "_idx")
         misses = first.where(F.col("_hot").isNull()).drop("_hot")

@@ -150,22 +150,54 @@ def literal_vocab(spark, rows) -> DataFrame:
     return spark.range(1).select(F.inline(items)).select("idx", "term", "n")
 
 
+# Broadcast bounds of vocabulary lookups.  Both the number of terms and their
+# bytes are checked: a token can be as long as a text without spaces.
+BROADCAST_MAX_TERMS = 2_000_000
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+# Past those bounds, the most frequent terms (the only possible hot keys) are
+# still broadcast, each at most HOT_TERM_MAX_BYTES long: at most ~100 MB.
+HOT_TERMS = 100_000
+HOT_TERM_MAX_BYTES = 1024
+
+
+def fits_broadcast(vocab: DataFrame, max_terms: int = BROADCAST_MAX_TERMS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the vocabulary's counted terms and term bytes are within the bounds."""
+    r = vocab.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes"),
+    ).first()
+    return int(r["n"]) <= max_terms and int(r["bytes"]) <= max_bytes
+
+
+def hot_entry(idx: Column, term: Column, hot_terms: int = HOT_TERMS,
+              max_term_bytes: int = HOT_TERM_MAX_BYTES) -> Column:
+    """Entries broadcast on the split lookup path (never null, so it partitions)."""
+    return (idx < F.lit(hot_terms)) & (
+        F.coalesce(F.octet_length(term), F.lit(0)) <= F.lit(max_term_bytes)
+    )
+
+
 def term_of(vocab: DataFrame, idx_col: str, df: DataFrame, out: str = "term",
-            broadcast_max_terms: int = 2_000_000, hot_terms: int = 100_000) -> DataFrame:
+            broadcast_max_terms: int = BROADCAST_MAX_TERMS,
+            broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+            hot_terms: int = HOT_TERMS) -> DataFrame:
     """Index -> term through the vocabulary table; unseen (< 0) -> null.
 
-    The vocabulary is broadcast when its counted size allows.  Otherwise the
-    most frequent entries (the only possible hot keys) are still broadcast,
-    only the tail is shuffle-joined, and negative indices skip the join.
+    The vocabulary is broadcast when its counted size and bytes allow.
+    Otherwise the most frequent entries (the only possible hot keys) are still
+    broadcast, only the tail is shuffle-joined, and negative indices skip the
+    join.
     """
     inv = vocab.select(F.col("idx").alias(idx_col), F.col("term").alias(out))
-    if vocab.count() <= broadcast_max_terms:
+    if fits_broadcast(vocab, broadcast_max_terms, broadcast_max_bytes):
         return df.join(F.broadcast(inv), on=idx_col, how="left")
     idx = F.col(idx_col)
+    hot = hot_entry(idx, F.col(out), hot_terms)
     unseen = df.where(idx.isNull() | (idx < 0)).withColumn(out, F.lit(None).cast("string"))
     known = df.where(idx >= 0)
-    first = known.join(F.broadcast(inv.where(idx < hot_terms)), on=idx_col, how="left")
+    first = known.join(F.broadcast(inv.where(hot)), on=idx_col, how="left")
     hits = first.where(F.col(out).isNotNull())
     rest = first.where(F.col(out).isNull()).drop(out).join(
-        inv.where(idx >= hot_terms), on=idx_col, how="left")
+        inv.where(~hot), on=idx_col, how="left")
     return hits.unionByName(rest).unionByName(unseen)

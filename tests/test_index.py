@@ -76,3 +76,31 @@ def test_label_codes_and_unseen_labels(spark):
 def test_label_name_from_string_code(spark):
     df = spark.createDataFrame([("2",), ("NA",)], "c string")
     assert [r[0] for r in df.select(label_name("c")).collect()] == ["Sports", None]
+
+
+def test_byte_bound_also_decides_the_broadcast(spark):
+    from seqframe.operators.vocab import fits_broadcast
+
+    vocab = _vocab(spark)
+    assert fits_broadcast(vocab, max_terms=2, max_bytes=2)
+    assert not fits_broadcast(vocab, max_terms=2, max_bytes=1)
+    out = index_sequences(_frame(spark), "s", vocab, method="join",
+                          broadcast_max_bytes=1, hot_terms=1)
+    assert _by_row(out) == EXPECTED
+
+
+def test_long_frequent_terms_stay_out_of_the_hot_broadcast(spark):
+    from seqframe.operators.vocab import hot_entry, term_of
+
+    long_term = "w" * 2000
+    vocab = spark.createDataFrame([(0, long_term, 9), (1, "a", 5), (2, None, 1), (3, "z", 1)],
+                                  "idx int, term string, n long")
+    hot = {r["idx"] for r in vocab.where(hot_entry(F.col("idx"), F.col("term"), 3)).collect()}
+    assert hot == {1, 2}
+    seqs = spark.createDataFrame([(0, long_term), (1, "a"), (2, "q")], "row_id long, s string")
+    x = _by_row(index_sequences(seqs.select("row_id", F.array("s").alias("s")), "s", vocab,
+                                method="join", broadcast_max_terms=0, hot_terms=3))
+    assert x == {0: [0], 1: [1], 2: [-1]}
+    pairs = spark.createDataFrame([(0, 0), (1, 3), (2, -1), (3, 7)], "row_id long, idx int")
+    named = term_of(vocab, "idx", pairs, broadcast_max_terms=0, hot_terms=3)
+    assert _by_row(named, "term") == {0: long_term, 1: "z", 2: None, 3: None}
