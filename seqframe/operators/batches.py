@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqframe.functions.text import DEFAULT_BUCKETS
+from seqframe.functions.text import DEFAULT_BUCKETS, validated_buckets
 from seqframe.operators.buckets import bucket_counts
 from seqframe.operators.numbering import dense_index, rank_within, salt_chars_for
 
@@ -155,6 +155,26 @@ def assemble_batches(
     return out
 
 
+def default_bucket_key(buckets: Sequence[int] = DEFAULT_BUCKETS) -> int:
+    """The largest bucket size: the sequence length a model is first laid out for."""
+    return validated_buckets(buckets)[-1]
+
+
+def batch_layout(batches: DataFrame, buckets: Sequence[int] = DEFAULT_BUCKETS,
+                 bucket_col: str = "bucket") -> DataFrame:
+    """Per batch of ``assemble_batches``: data shape (rows x bucket length), label
+    shape (rows) and the default bucket key."""
+    rows = F.col("n_rows").cast("long")
+    return batches.select(
+        "epoch",
+        "batch_seq",
+        bucket_col,
+        F.array(rows, F.col("seq_len").cast("long")).alias("data_shape"),
+        F.array(rows).alias("label_shape"),
+        F.lit(default_bucket_key(buckets)).cast("int").alias("default_bucket_key"),
+    )
+
+
 def batches_per_epoch(df: DataFrame, batch_size: int,
                       buckets: Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:
     """``naive`` = floor(rows / batch_size) (can overcount); ``actual`` = full batches."""

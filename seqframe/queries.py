@@ -249,6 +249,14 @@ def q_batches(spark, sf_dir):
     return _batch_report(_batches(spark, sf_dir))
 
 
+def q_batch_layout(spark, sf_dir):
+    lay = B.batch_layout(_batches(spark, sf_dir), DEFAULT_BUCKETS)
+    return lay.select("epoch", "batch_seq", "bucket",
+                      F.array_join("data_shape", ",").alias("data_shape"),
+                      F.array_join("label_shape", ",").alias("label_shape"),
+                      "default_bucket_key")
+
+
 def q_first_batch(spark, sf_dir):
     return _batch_report(_batches(spark, sf_dir).where(F.col("batch_seq") == 0))
 
@@ -413,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_order": q_batch_order,
     "batches": q_batches,
     "first_batch": q_first_batch,
+    "batch_layout": q_batch_layout,
     "batches_per_epoch": q_batches_per_epoch,
     "fixed_batches_train": q_fixed_batches_train,
     "fixed_batches_train_discard": q_fixed_batches_train_discard,
@@ -662,6 +671,10 @@ SELECT epoch, bucket, batch, row_id AS doc_id, rank FROM brows""",
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
     "first_batch": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt WHERE batch_seq = 0""",
+    "batch_layout": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
+SELECT epoch, batch_seq, bucket, CAST(n_rows AS VARCHAR) || ',' || CAST(seq_len AS VARCHAR) AS data_shape,
+       CAST(n_rows AS VARCHAR) AS label_shape, CAST({max(DEFAULT_BUCKETS)} AS INTEGER) AS default_bucket_key
+FROM bt""",
     "batches_per_epoch": f"""WITH {_bucketed_cte()},
 pb AS (SELECT bucket, count(*) AS n FROM bucketed GROUP BY bucket)
 SELECT CAST(coalesce(sum(n), 0) // {BATCH} AS BIGINT) AS naive,

@@ -86,3 +86,15 @@ def test_shuffle_key_matches_python_md5(spark):
     df = spark.createDataFrame([(7,)], "row_id long")
     got = df.select(B.shuffle_key(42, 0, "row_id")).first()[0]
     assert got == hashlib.md5(b"42|0|7").hexdigest()
+
+
+def test_default_bucket_key_and_layout(spark):
+    from seqframe.operators.batches import batch_layout, default_bucket_key
+
+    sizes = [64, 32, 1024, 128]
+    assert default_bucket_key(sizes) == 1024 and sizes == [64, 32, 1024, 128]
+    b = spark.createDataFrame([(0, 3, 64, 12, 64), (0, 0, 32, 5, 32)],
+                              "epoch int, batch_seq long, bucket int, n_rows int, seq_len int")
+    rows = {r["batch_seq"]: r for r in batch_layout(b, sizes).collect()}
+    assert rows[3]["data_shape"] == [12, 64] and rows[3]["label_shape"] == [12]
+    assert rows[0]["data_shape"] == [5, 32] and rows[0]["default_bucket_key"] == 1024
