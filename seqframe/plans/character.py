@@ -9,21 +9,25 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from seqframe.functions.labels import with_label_names
 from seqframe.functions.text import DEFAULT_BUCKETS, chars
 from seqframe.operators.batches import assemble_batches, batch_order, batch_rows, bucket_sizes
 from seqframe.operators.buckets import assign_buckets
 from seqframe.operators.index import index_labels, index_sequences
+from seqframe.operators.model import fit_classifier
+from seqframe.operators.predict import predict_proba
 from seqframe.operators.vocab import build_label_vocab, build_vocab, freeze_small_vocab
 from seqframe.sources.csv import read_labelled_csv
 from seqframe.sources.sinks import write_frame, write_vocab
 
 # The vocabulary cap of the character path (characters and labels).
 CHAR_CAP = 200
+# Character n-gram sizes of the character-path classifier.
+CHAR_NGRAMS = (1, 2, 3)
 
 
 @dataclass
@@ -117,6 +121,22 @@ def character_batches(indexed: DataFrame, batch_size: int = 12,
     return assemble_batches(rows, order, row_col=row_col)
 
 
+def _index_strings(df: DataFrame, row_col: str, x_col: str = "X") -> DataFrame:
+    """``(row_col, Y, S)``: the character indices as strings, [] for a null text."""
+    s = F.coalesce(F.transform(x_col, lambda x: x.cast("string")), F.array().cast("array<string>"))
+    return df.select(row_col, "Y", s.alias("S"))
+
+
+def train_and_score_characters(train: DataFrame, test: DataFrame, label_names: Sequence[str],
+                               row_col: str = "row_id", ns: Sequence[int] = CHAR_NGRAMS,
+                               **fit_args) -> tuple[PipelineModel, DataFrame]:
+    """The character training job on prepared rows (``X``, ``Y``): fit the n-gram
+    classifier on ``train``, probabilities and top class for ``test``."""
+    model = fit_classifier(_index_strings(train, row_col), "S", "Y", ns=ns, **fit_args)
+    pred = predict_proba(model, _index_strings(test, row_col), label_names, row_col, keep=["Y"])
+    return model, pred
+
+
 def label_frame(df: DataFrame, code_col: str = "indexed_label") -> DataFrame:
     """Code -> name (drops the code)."""
     return with_label_names(df, code_col, "label")
@@ -124,6 +144,7 @@ def label_frame(df: DataFrame, code_col: str = "indexed_label") -> DataFrame:
 
 __all__ = [
     "CHAR_CAP",
+    "CHAR_NGRAMS",
     "Prepared",
     "character_batches",
     "fit_character_vocab",
@@ -132,5 +153,6 @@ __all__ = [
     "label_frame",
     "prepare_characters",
     "preprocess_csv",
+    "train_and_score_characters",
 ]
 

@@ -364,6 +364,16 @@ def q_accuracy(spark, sf_dir):
     return accuracy(pred)
 
 
+def q_char_accuracy(spark, sf_dir):
+    """Character training job: classifier on the prepared character rows, scored on test."""
+    idx, _, label_vocab = _char_prepared(spark, sf_dir, CHAR_CAP)
+    split = F.col("split")
+    _, pred = C.train_and_score_characters(idx.where(split == "train"),
+                                           idx.where(split == "test"),
+                                           T.label_names_of(label_vocab))
+    return accuracy(pred)
+
+
 def _turns(spark, sf_dir):
     """Conversation turns as a second labelled text source (label = role).
 
@@ -436,6 +446,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_proba": q_predict_proba,
     "predict_top": q_predict_top,
     "accuracy": q_accuracy,
+    "char_accuracy": q_char_accuracy,
     "conv_role_vocab": q_conv_role_vocab,
     "conv_token_vocab": q_conv_token_vocab,
     "token_decode": q_token_decode,

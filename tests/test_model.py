@@ -31,3 +31,21 @@ def test_classifier_beats_majority(spark):
     majority = test.groupBy("label").count().agg(F.max("count")).first()[0] / acc["n"]
     assert acc["accuracy"] > majority
     assert acc["n_unlabelled"] == 0
+
+
+def test_character_classifier_on_prepared_rows(spark):
+    from seqframe.plans.character import prepare_characters, train_and_score_characters
+    from tests.conftest import SF_SMALL
+
+    a = _labelled(spark, SF_SMALL)
+    p = prepare_characters(a.where(F.col("split") == "train"), a.where(F.col("split") == "test"))
+    names = T.label_names_of(p.label_vocab)
+    _, pred = train_and_score_characters(p.train, p.test, names)
+    rows = pred.collect()
+    assert len(rows) == p.test.count()
+    for r in rows:
+        assert abs(sum(s["p"] for s in r["probs"]) - 1.0) < 1e-9
+        assert r["top"]["idx"] == r["prediction"] and r["top"]["label"] == names[r["prediction"]]
+    acc = accuracy(pred).first()
+    majority = p.test.groupBy("label").count().agg(F.max("count")).first()[0] / acc["n"]
+    assert acc["accuracy"] > majority
