@@ -26,8 +26,10 @@ from seqframe.sources.sinks import write_frame, write_vocab
 
 # The vocabulary cap of the character path (characters and labels).
 CHAR_CAP = 200
-# Character n-gram sizes of the character-path classifier.
-CHAR_NGRAMS = (1, 2, 3)
+# Character n-gram sizes of the character-path classifier.  The classifier
+# caches its training rows; with n = 1, 2 a row holds about 200 active features
+# (about the size of its text), with trigrams added about 720 (3.6x the text).
+CHAR_NGRAMS = (1, 2)
 
 
 @dataclass
