@@ -74,3 +74,11 @@ def test_join_path_broadcasts_a_vocabulary_of_checked_size(spark):
     plan = _plan(index_sequences(_docs(spark), "C", vocab, method="join"))
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_token_indexing_reads_tokens_not_text(spark):
+    # The 13 rules run once, into the checkpointed token table; indexing and
+    # decoding read that table and never apply the rules again.
+    for name in ("token_index", "token_decode"):
+        assert "regexp_replace" not in _plan(entry.queries()[name](spark, SF_SMALL))
+    assert "regexp_replace" in _plan(entry.queries()["tokens"](spark, SF_SMALL))
