@@ -77,3 +77,13 @@ def test_term_of_broadcast_and_split_paths(spark):
     for kw in ({}, {"broadcast_max_terms": 0, "hot_terms": 1}):
         got = {row["r"]: row["term"] for row in term_of(v, "idx", df, **kw).collect()}
         assert got == want
+
+
+def test_literal_vocab_keeps_awkward_terms(spark):
+    from seqframe.operators.vocab import literal_vocab
+
+    rows = [(0, '"', 9), (1, "\\", 8), (2, "\n", 7), (3, "\U0001F600", 6), (4, "", 5),
+            (5, None, 4), (6, "'s", 3), (7, "\\(", 2)]
+    out = literal_vocab(spark, rows)
+    assert out.schema.simpleString() == "struct<idx:int,term:string,n:bigint>"
+    assert sorted(tuple(r) for r in out.collect()) == rows
