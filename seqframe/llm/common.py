@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqframe.session import scratch_dir
 from seqframe.sources.testdata import table
 
 #: Words are runs of anything but ASCII white space (contract of several operators).
@@ -36,3 +37,14 @@ def slices_for(n_rows: int) -> int:
 def source_key(source: Column) -> Column:
     """A join and group key that keeps null apart from every text, so nulls join."""
     return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new parquet table in the checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, but compressed and with column pruning for
+    later readers.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
