@@ -26,11 +26,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqframe.llm.common import SPACE_WORD, n_words, read, slices_for, source_key
+from seqframe.llm.common import (
+    DOCUMENT_COLUMNS,
+    SPACE_WORD,
+    n_words,
+    read,
+    slices_for,
+    source_key,
+)
 from seqframe.session import materialize
 
 SEED = 17
 MAX_EPOCHS = 3
+#: A word with the white space before it; joined again they are the text's beginning.
+LEADING_WORD = r"[\x20\x09-\x0D]*" + SPACE_WORD
 
 
 def targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -96,6 +105,23 @@ def mix(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS,
         *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry) if c != "doc_id"])
 
 
+def apply_mix(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The mixed documents: one row per whole pass, one with the first words for a partial one.
+
+    Documents without words, or beyond their source's cut, have no row.
+    """
+    taken = mix(docs, seed, max_epochs, carry=DOCUMENT_COLUMNS).where("taken > 0")
+    passes = taken.withColumn("_i", F.explode(F.expr("sequence(1L, ceil(taken / size))")))
+    part = F.col("taken") - (F.col("_i") - 1) * F.col("size")
+    words = F.regexp_extract_all("text", F.lit(LEADING_WORD), F.lit(0))
+    text = F.when(part >= F.col("size"), F.col("text")).otherwise(
+        F.array_join(F.slice(words, F.lit(1), part.cast("int")), ""))
+    return passes.withColumn("_whole", part >= F.col("size")).withColumn("text", text).select(
+        "doc_id", "text", "lang", "source",
+        F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.length("text")).cast("long").alias(
+            "n_chars"))
+
+
 def op6_mix(spark, sf_dir):
     return mix(read(spark, sf_dir, "documents"))
 
