@@ -11,12 +11,11 @@ this falls quickly (1e-8 at 0.9).
 * A combination is formed only from sub-keys that another class shares, so documents without any
   similar partner drop out before the T * T expansion.
 * Candidates are confirmed on the full sets, from the words themselves.  Within a table's bucket pairs
-  are not listed: in round one each member is compared with the bucket's smallest member (hub).
-  Buckets whose members are then all in one component need nothing more: components, not links,
-  are the result.  In later rounds the members of the other buckets are compared with up to
-  ``HUBS`` hubs of another component at once; hubs are then done and leave.  So every pair that shares
-  a bucket is either compared or already known to be connected, and a bucket that holds a third of all
-  rows costs one comparison per row, spread over all tasks.
+  are not listed: each member is compared with the bucket's smallest member (hub), one comparison
+  per row however large the bucket.  Buckets whose members are then all in one component need
+  nothing more: components, not links, are the result.  Of the other buckets, only pairs in different
+  components that pass two exact bounds on their overlap are compared (``_open_pairs``).  So every
+  pair that shares a bucket is compared, known to be connected, or proved not to be linked.
 
 Null and empty texts (no words) have no set and are linked with nothing.  A null id never
 is a component's smallest; rows with a null id and no other member get a null component and are
@@ -31,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.llm.common import DOCUMENT_COLUMNS, read, store
@@ -41,7 +40,6 @@ SHINGLE = 4
 PERCENT = 80
 T = 12  # sub-keys per collection
 R = 2  # minhashes per sub-key
-HUBS = 16
 BROADCAST_IDS = 2_000_000
 
 _UPPER_TO_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -65,9 +63,9 @@ def shingles(words: list) -> set[tuple]:
     return set(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
 
 
-def similar(a: set, b: set, percent: int = PERCENT) -> bool:
-    both = len(a & b)
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def similar(both: int, a: int, b: int, percent: int = PERCENT) -> bool:
+    """Sets of sizes ``a`` and ``b`` with ``both`` in common reach the threshold."""
+    return 100 * both >= percent * (a + b - both)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -140,17 +138,55 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                        strict=True):
             if v != last:
                 last, hub = v, shingles(hub_words.split(b" "))
-            out.append(similar(shingles(words.split(b" ")), hub))
+            own = shingles(words.split(b" "))
+            both = len(own & hub)
+            out.append((both, similar(both, len(own), len(hub))))
+        both, linked = zip(*out, strict=True) if out else ((), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("u"), batch.column("v"), pa.array(out)], ["u", "v", "linked"])
+            [batch.column("u"), batch.column("v"), pa.array(both, pa.int64()),
+             pa.array(linked, pa.bool_())], ["u", "v", "both", "linked"])
 
 
-def _compare(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """``u, v, linked`` of distinct pairs ``u, v``; pairs of too different sizes fail at once."""
+def _hash(shingle: tuple) -> int:
+    d = hashlib.blake2b(b" ".join(shingle), digest_size=8).digest()
+    return int.from_bytes(d, "little", signed=True)
+
+
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of a class's distinct shingles; equal hashes only ever loosen the bound on links."""
+    for batch in batches:
+        for k, words in zip(batch.column("k").to_pylist(), batch.column("words").to_pylist(),
+                            strict=True):
+            s = [_hash(x) for x in shingles(words.split(b" "))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * len(s), pa.binary()), pa.array(s, pa.int64())], ["k", "s"])
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the shingles that only one of a class and its pivot has."""
+    last, pivot = None, set()
+    for batch in batches:
+        out = []
+        for v, words, pivot_words in zip(*(batch.column(c).to_pylist() for c in ("v", "w", "hub_w")),
+                                         strict=True):
+            if v != last:
+                last, pivot = v, shingles(pivot_words.split(b" "))
+            out.append([_hash(x) for x in shingles(words.split(b" ")) ^ pivot])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("u"), pa.array(out, pa.list_(pa.int64()))], ["k", "apart"])
+
+
+def _joined(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``u, v, w, hub_w``: pairs with both sides' words."""
     a = words.select(F.col("k").alias("u"), F.col("words").alias("w"))
     b = words.select(F.col("k").alias("v"), F.col("words").alias("hub_w"))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "w", "hub_w").mapInArrow(
-        _confirm, "u binary, v binary, linked boolean")
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "w", "hub_w")
+
+
+def _compare(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``u, v, both, linked`` of distinct pairs ``u, v``: shared shingles, and the verdict."""
+    return _joined(pairs, words).mapInArrow(
+        _confirm, "u binary, v binary, both long, linked boolean")
 
 
 def _tables(live: DataFrame) -> DataFrame:
@@ -174,35 +210,97 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     buckets = _tables(live).groupBy("t").agg(
         F.min("k").alias("hub"), F.min_by("n", "k").alias("hub_n"), F.count(F.lit(1)).alias("c")
     ).where("c > 1")
-    members = store(_tables(live).join(buckets, "t").select("t", "k", "n", "hub", "hub_n", "c"),
-                    "buckets")
+    # Buckets are told apart by their hub only: all pairs of a hub's buckets are settled together.
+    members = store(
+        _tables(live).join(buckets, "t").select("k", "n", "hub", "hub_n").distinct(), "members")
     needed = store(members.select("k").distinct(), "needed")
     words = _words(docs, classes, needed)
     near = f"100 * least(n, hub_n) >= {PERCENT} * greatest(n, hub_n)"
-    pairs = members.where(f"k <> hub and {near}").select(
-        F.col("k").alias("u"), F.col("hub").alias("v")).distinct()
-    done = store(_compare(pairs, words), "compared")
-    rest = members.where("c > 2 and k <> hub").select("t", "k", "n")
+    first = store(_compare(members.where(f"k <> hub and {near}").select(
+        F.col("k").alias("u"), F.col("hub").alias("v")), words), "compared")
+    links = first.where("linked").select("u", "v")
+    known = members.join(first.select(F.col("u").alias("k"), F.col("v").alias("hub"), "both"),
+                         ["k", "hub"], "left").withColumn(
+        "both", F.when(F.col("k") == F.col("hub"), F.col("n")).otherwise(F.col("both")))
+    # A member's pivot: of the hubs it was compared with, the one with the most links.
+    degree = links.groupBy(F.col("v").alias("hub")).agg(F.count(F.lit(1)).alias("_d"))
+    pivots = known.where("both is not null").join(degree, "hub").groupBy("k").agg(
+        F.max(F.struct("_d", "hub", "both")).alias("_p")).select(
+        "k", F.col("_p.hub").alias("pivot"), F.col("_p.both").alias("shared"))
+    known = known.join(pivots, "k", "left")
+    pairs = _open_pairs(known, components(links), words)
+    if pairs is None:
+        return links
+    return store(links.unionByName(_compare(pairs, words).where("linked").select("u", "v")), "links")
+
+
+def _open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataFrame | None:
+    """Pairs ``u, v`` of a hub's members, in different components, that may still be linked.
+
+    ``members`` has ``k, n, hub, hub_n``, ``both`` shingles shared with the hub (null if never
+    compared), ``pivot`` and ``shared`` (the same for the best-linked of the member's hubs).  Exact
+    bounds leave few pairs:
+
+    * A class whose shingles occur in no other open class for more than a fifth has no link left.
+    * With ``a = |x - h|``, ``m = |h - x|`` for a common hub or pivot ``h``, and ``own`` shingles that
+      no other class has, ``|x - y| >= max(own_x, a_x - a_y) + max(0, m_y - m_x)``.  Copies with edits
+      of their own are far apart by this measure when one of them is not linked with ``h``.
+    * Members of one pivot carry their difference from it; two differences give the size of the
+      members' own difference, ``|dx| + |dy| - 2 |dx & dy|``, without their words.
+    """
+    rows = members.join(labels, F.col("k") == F.col("node"), "left").select(
+        "k", "n", "hub", "hub_n", "both", "pivot", "shared", F.coalesce("label", "k").alias("c"))
+    rows = store(_still_open(rows), "open")
     while True:
-        labels = components(done.where("linked").select("u", "v"))
-        rest = rest.select("t", "k", "n").join(
-            labels, F.col("k") == F.col("node"), "left").select(
-            "t", "k", "n", F.coalesce("label", "k").alias("c"))
-        open_ = rest.groupBy("t").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(
-            "_x <> _y").select("t")
-        rest = store(rest.join(open_, "t"), "open")
-        if rest.isEmpty():
-            return done.where("linked").select("u", "v")
-        # The filter on the rank keeps HUBS rows per bucket before the shuffle, too.
-        hubs = rest.withColumn("_r", F.row_number().over(Window.partitionBy("t").orderBy("k"))).where(
-            F.col("_r") <= HUBS).select("t", F.col("k").alias("hub"), F.col("n").alias("hub_n"),
-                                        F.col("c").alias("hub_c"))
-        hubs = store(hubs, "hubs")
-        pairs = rest.join(hubs, "t").where(f"k > hub and c <> hub_c and {near}").select(
-            F.col("k").alias("u"), F.col("hub").alias("v")).distinct()
-        pairs = pairs.join(done.select("u", "v"), ["u", "v"], "left_anti")
-        done = store(done.unionByName(_compare(pairs, words)), "compared")
-        rest = rest.join(hubs.select("t", F.col("hub").alias("k")), ["t", "k"], "left_anti")
+        size = rows.select("k").distinct().count()
+        if not size:
+            return None
+        own = words.join(rows.select("k").distinct(), "k", "left_semi").mapInArrow(
+            _hashes, "k binary, s long").groupBy("s").agg(
+            F.count(F.lit(1)).alias("c"), F.min("k").alias("k")).where("c = 1").groupBy("k").agg(
+            F.count(F.lit(1)).alias("own"))
+        rows = rows.drop("own").join(own, "k", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        rows = store(_still_open(rows.where(f"100 * (n - own) >= {PERCENT} * n")), "open")
+        if rows.select("k").distinct().count() > 0.9 * size:
+            break
+    to = rows.where("pivot is not null").select(F.col("k").alias("u"), F.col("pivot").alias("v"))
+    apart = _joined(to.distinct(), words).mapInArrow(_differences, "k binary, apart array<long>")
+    rows = store(rows.join(apart, "k", "left"), "open")
+
+    def possible(both: str) -> str:
+        """The bound with what both members share with one class."""
+        more = lambda p, q: (  # noqa: E731  at least so many shingles of p are not in q
+            f"(greatest({p}.own, coalesce({p}.n - {p}.{both} - {q}.n + {q}.{both}, 0))"
+            f" + greatest(0, coalesce({p}.{both} - {q}.{both}, 0)))")
+        return f"100 * (x.n - {more('x', 'y')}) >= {PERCENT} * (x.n + {more('y', 'x')})"
+
+    close = f"100 * least(x.n, y.n) >= {PERCENT} * greatest(x.n, y.n) and x.c <> y.c"
+    # Members of one pivot meet once, whatever number of hubs they share.
+    own = rows.where("pivot is not null").groupBy("pivot", "k").agg(
+        *[F.first(c).alias(c) for c in ("n", "c", "own", "shared", "apart")])
+    center = rows.where("pivot is not null").select("pivot").distinct().join(
+        labels, F.col("pivot") == F.col("node"), "left").select(
+        "pivot", F.coalesce("label", "pivot").alias("_h"))
+    own = store(own.join(center, "pivot").withColumn("settled", F.col("c") == F.col("_h")), "pivots")
+    same = own.alias("x").join(own.alias("y"), F.expr(
+        f"x.pivot = y.pivot and {close} and not x.settled and (x.k < y.k or y.settled) "
+        f"and {possible('shared')} and {100 - PERCENT} * (x.n + y.n) >= {100 + PERCENT} * "
+        "(size(x.apart) + size(y.apart) - 2 * size(array_intersect(x.apart, y.apart)))"))
+    other = rows.drop("apart").alias("x").join(rows.drop("apart").alias("y"), F.expr(
+        f"x.hub = y.hub and {close} and not x.settled and (x.k < y.k or y.settled) "
+        f"and x.k <> x.hub and y.k <> y.hub and not (x.pivot <=> y.pivot and x.pivot is not null) "
+        f"and {possible('both')}"))
+    ends = [F.least("x.k", "y.k").alias("u"), F.greatest("x.k", "y.k").alias("v")]
+    return same.select(*ends).unionByName(other.select(*ends)).distinct()
+
+
+def _still_open(rows: DataFrame) -> DataFrame:
+    """Members of hubs whose members are in several components; ``settled``: in the largest-labelled
+    hub component.  A pair of two settled members needs no comparison."""
+    hubs = rows.groupBy("hub").agg(F.min("c").alias("_x"), F.max("c").alias("_y"),
+                                   F.max(F.when(F.col("k") == F.col("hub"), F.col("c"))).alias("_h"))
+    return rows.drop("settled").join(hubs.where("_x <> _y"), "hub").withColumn(
+        "settled", F.coalesce(F.col("c") == F.col("_h"), F.lit(False))).drop("_x", "_y", "_h")
 
 
 def _words(docs: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
