@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 
 def accuracy(pred: DataFrame, label_col: str = "Y", pred_col: str = "prediction") -> DataFrame:
-    """``(n, n_correct, accuracy, n_unlabelled)``; rows with label -1 are only counted."""
+    """``(n, n_correct, accuracy, n_unlabelled)``; rows with label -1 are only counted.
+
+    Without a labelled row the accuracy is null.
+    """
     labelled = F.col(label_col) >= 0
     return pred.agg(
         F.sum(labelled.cast("long")).alias("n"),
         F.sum((labelled & (F.col(pred_col) == F.col(label_col))).cast("long")).alias("n_correct"),
-        (F.sum((labelled & (F.col(pred_col) == F.col(label_col))).cast("double"))
-         / F.sum(labelled.cast("double"))).alias("accuracy"),
+        F.try_divide(
+            F.sum((labelled & (F.col(pred_col) == F.col(label_col))).cast("double")),
+            F.sum(labelled.cast("double"))).alias("accuracy"),
         F.sum((~labelled).cast("long")).alias("n_unlabelled"),
     )

@@ -61,6 +61,10 @@ def predict_texts(
     row_col: str = "row_id",
     max_tokens: int = 20,
 ) -> DataFrame:
-    """Raw text -> tokens -> padded tokens -> probabilities, for a whole DataFrame."""
-    prepared = df.withColumn("T", pad_tokens(tokens(text_col), max_tokens))
+    """Raw text -> tokens -> padded tokens -> probabilities, for a whole DataFrame.
+
+    A null text has no tokens and gets the class priors.
+    """
+    padded = pad_tokens(tokens(text_col), max_tokens)
+    prepared = df.withColumn("T", F.coalesce(padded, F.array().cast("array<string>")))
     return predict_proba(model, prepared, label_names, row_col)

@@ -88,8 +88,9 @@ def prepare_tokens(train: DataFrame, test: DataFrame, text_col: str = "descripti
     )
 
 
-def label_names_of(label_vocab: DataFrame, max_terms: int = 10_000) -> list[str]:
-    rows = label_vocab.where(F.col("idx") < max_terms).select("idx", "term").collect()
+def label_names_of(label_vocab: DataFrame) -> list[str]:
+    """Every class name in index order; a model has coefficients for each of them anyway."""
+    rows = label_vocab.select("idx", "term").collect()
     return [r["term"] for r in sorted(rows, key=lambda r: r["idx"])]
 
 
@@ -101,9 +102,11 @@ def train_and_score(train: DataFrame, test: DataFrame, label_vocab: DataFrame,
     from seqframe.operators.index import index_label_with_terms
 
     names = label_names_of(label_vocab)
-    tr = with_tokens(train, text_col, max_tokens).withColumn(
+    # A null text has no tokens, hence no n-grams; it is scored by the class priors.
+    no_null = F.coalesce("T", F.array().cast("array<string>"))
+    tr = with_tokens(train, text_col, max_tokens).withColumn("T", no_null).withColumn(
         "Y", index_label_with_terms(label_col, names))
-    te = with_tokens(test, text_col, max_tokens).withColumn(
+    te = with_tokens(test, text_col, max_tokens).withColumn("T", no_null).withColumn(
         "Y", index_label_with_terms(label_col, names))
     model = fit_classifier(tr.select(row_col, "T", "Y"), "T", "Y", **fit_args)
     return model, predict_proba(model, te.select(row_col, "T", "Y"), names, row_col, keep=["Y"])

@@ -8,6 +8,7 @@ setting gets a fresh folder under the system temporary directory.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster needs a shared folder for checkpoints"
             )

@@ -18,7 +18,6 @@ from seqframe.functions.labels import label_name
 from seqframe.functions.text import DEFAULT_BUCKETS, bucket_of, chars, pad_to_bucket
 from seqframe.operators.index import index_label_with_terms, index_with_terms
 from seqframe.operators.vocab import vocab_terms
-from seqframe.session import scratch_dir
 from seqframe.sources.csv import ARTICLE_SCHEMA
 from seqframe.sources.parquet import read_vocab
 
@@ -58,7 +57,13 @@ def start_indexing(
     available_now: bool = True,
     max_terms: int = 256,
 ) -> StreamingQuery:
-    """File stream of articles -> label names -> indexed rows -> parquet files."""
+    """File stream of articles -> label names -> indexed rows -> parquet files.
+
+    ``checkpoint_location`` is required: with a new folder each start, a restarted stream would
+    read every file again and append duplicates.
+    """
+    if checkpoint_location is None:
+        raise ValueError("checkpoint_location is required")
     char_terms = vocab_terms(read_vocab(spark, char_vocab_path), max_terms)
     label_terms = vocab_terms(read_vocab(spark, label_vocab_path), max_terms)
     src = spark.readStream.schema(schema).format(fmt).load(source_dir)
@@ -68,7 +73,7 @@ def start_indexing(
     writer = (
         indexed.writeStream.format("parquet")
         .option("path", sink_dir)
-        .option("checkpointLocation", checkpoint_location or scratch_dir(spark, "stream-ckpt"))
+        .option("checkpointLocation", checkpoint_location)
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer

@@ -49,3 +49,34 @@ def test_character_classifier_on_prepared_rows(spark):
     acc = accuracy(pred).first()
     majority = p.test.groupBy("label").count().agg(F.max("count")).first()[0] / acc["n"]
     assert acc["accuracy"] > majority
+
+
+def test_accuracy_without_labelled_rows_is_null(spark):
+    from seqframe.operators.evaluate import accuracy
+
+    df = spark.createDataFrame([(-1, 0), (-1, 1)], "Y int, prediction int")
+    assert tuple(accuracy(df).first()) == (0, 0, None, 2)
+
+
+def test_null_text_is_trained_and_scored(spark):
+    from pyspark.sql import functions as F
+
+    from seqframe.operators.predict import predict_texts
+    from seqframe.plans.token import train_and_score
+
+    rows = [(i, None if i % 5 == 0 else f"{'good' if i % 2 else 'bad'} text {i}", "ab"[i % 2])
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, description string, label string")
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "idx int, term string")
+    model, scored = train_and_score(df, df, names)
+    assert scored.count() == 40
+    texts = predict_texts(model, df.withColumnRenamed("description", "text"), ["a", "b"])
+    sums = texts.select(F.aggregate("probs", F.lit(0.0), lambda s, x: s + x["p"]).alias("p")).collect()
+    assert len(sums) == 40 and all(abs(r["p"] - 1) < 1e-9 for r in sums)
+
+
+def test_all_label_names_are_kept(spark):
+    from seqframe.plans.token import label_names_of
+
+    vocab = spark.range(10_500).selectExpr("cast(id as int) idx", "concat('l', id) term")
+    assert len(label_names_of(vocab)) == 10_500

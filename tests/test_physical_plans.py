@@ -11,9 +11,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from seqframe.operators.index import index_sequences
 from seqframe.operators.vocab import literal_vocab, term_counts
+from seqframe.queries import QUERIES
 from tests.conftest import SF_SMALL
 
 # Python evaluation in the row path, or operators that emit all pairs.
@@ -40,9 +40,9 @@ def _read_schemas(df) -> list[str]:
     return re.findall(r"ReadSchema: (struct<.*>)", formatted)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_plan_stays_jvm_side_and_pruned(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = _plan(df)
     assert not [op for op in FORBIDDEN if op in plan]
     for schema in _read_schemas(df):
@@ -80,5 +80,5 @@ def test_token_indexing_reads_tokens_not_text(spark):
     # The 13 rules run once, into the checkpointed token table; indexing and
     # decoding read that table and never apply the rules again.
     for name in ("token_index", "token_decode"):
-        assert "regexp_replace" not in _plan(entry.queries()[name](spark, SF_SMALL))
-    assert "regexp_replace" in _plan(entry.queries()["tokens"](spark, SF_SMALL))
+        assert "regexp_replace" not in _plan(QUERIES[name](spark, SF_SMALL))
+    assert "regexp_replace" in _plan(QUERIES["tokens"](spark, SF_SMALL))

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from seqframe.queries import ORACLE_SQL, QUERIES
 from seqframe.sources.testdata import TABLES
 from tests.conftest import SF_SMALL
 
@@ -30,7 +31,8 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_a_model_query():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = QUERIES, ORACLE_SQL
+    assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"ngram_features", "predict_proba", "predict_top", "accuracy",
                                "char_accuracy"}
