@@ -295,8 +295,8 @@ def _open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> Data
 
 
 def _still_open(rows: DataFrame) -> DataFrame:
-    """Members of hubs whose members are in several components; ``settled``: in the largest-labelled
-    hub component.  A pair of two settled members needs no comparison."""
+    """Members of hubs whose members are in several components.  ``settled`` members are in their hub's
+    own component, so a pair of two settled members needs no comparison."""
     hubs = rows.groupBy("hub").agg(F.min("c").alias("_x"), F.max("c").alias("_y"),
                                    F.max(F.when(F.col("k") == F.col("hub"), F.col("c"))).alias("_h"))
     return rows.drop("settled").join(hubs.where("_x <> _y"), "hub").withColumn(
