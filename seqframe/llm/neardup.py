@@ -219,27 +219,28 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     first = store(_compare(members.where(f"k <> hub and {near}").select(
         F.col("k").alias("u"), F.col("hub").alias("v")), words), "compared")
     links = first.where("linked").select("u", "v")
-    known = members.join(first.select(F.col("u").alias("k"), F.col("v").alias("hub"), "both"),
-                         ["k", "hub"], "left").withColumn(
-        "both", F.when(F.col("k") == F.col("hub"), F.col("n")).otherwise(F.col("both")))
+    # What a member shares with each hub it was compared with; a hub shares all with itself.
+    met = first.select(F.col("u").alias("k"), F.col("v").alias("hub"), "both").unionByName(
+        members.where("k = hub").select("k", "hub", F.col("n").alias("both")))
     # A member's pivot: of the hubs it was compared with, the one with the most links.
     degree = links.groupBy(F.col("v").alias("hub")).agg(F.count(F.lit(1)).alias("_d"))
-    pivots = known.where("both is not null").join(degree, "hub").groupBy("k").agg(
+    pivots = met.join(degree, "hub").groupBy("k").agg(
         F.max(F.struct("_d", "hub", "both")).alias("_p")).select(
         "k", F.col("_p.hub").alias("pivot"), F.col("_p.both").alias("shared"))
-    known = known.join(pivots, "k", "left")
-    pairs = _open_pairs(known, components(links), words)
+    pairs = _open_pairs(members, met, pivots, components(links), words)
     if pairs is None:
         return links
     return store(links.unionByName(_compare(pairs, words).where("linked").select("u", "v")), "links")
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> DataFrame | None:
+def _open_pairs(members: DataFrame, met: DataFrame, pivots: DataFrame, labels: DataFrame,
+                words: DataFrame) -> DataFrame | None:
     """Pairs ``u, v`` of a hub's members, in different components, that may still be linked.
 
-    ``members`` has ``k, n, hub, hub_n``, ``both`` shingles shared with the hub (null if never
-    compared), ``pivot`` and ``shared`` (the same for the best-linked of the member's hubs).  Exact
-    bounds leave few pairs:
+    ``members`` has ``k, n, hub``; ``met`` has ``k, hub, both``: the shingles shared with a hub (no
+    row if never compared); ``pivots`` has ``k, pivot, shared``: the same for the best-linked of a
+    member's hubs.  What is known of a class is kept in one row a class and meets the rows of its
+    hubs only after closed hubs are gone.  Exact bounds leave few pairs:
 
     * A class whose shingles occur in no other open class for more than a fifth has no link left.
     * With ``a = |x - h|``, ``m = |h - x|`` for a common hub or pivot ``h``, and ``own`` shingles that
@@ -248,24 +249,32 @@ def _open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> Data
     * Members of one pivot carry their difference from it; two differences give the size of the
       members' own difference, ``|dx| + |dy| - 2 |dx & dy|``, without their words.
     """
-    rows = members.join(labels, F.col("k") == F.col("node"), "left").select(
-        "k", "n", "hub", "hub_n", "both", "pivot", "shared", F.coalesce("label", "k").alias("c"))
+    rows = store(members.join(labels, F.col("k") == F.col("node"), "left").select(
+        "k", "n", "hub", F.coalesce("label", "k").alias("c")), "labelled")
     rows = store(_still_open(rows), "open")
     while True:
-        size = rows.select("k").distinct().count()
+        classes = store(rows.groupBy("k").agg(F.first("n").alias("n"), F.first("c").alias("c")), "left")
+        size = classes.count()
         if not size:
             return None
-        own = words.join(rows.select("k").distinct(), "k", "left_semi").mapInArrow(
+        own = words.join(classes.select("k"), "k", "left_semi").mapInArrow(
             _hashes, "k binary, s long").groupBy("s").agg(
             F.count(F.lit(1)).alias("c"), F.min("k").alias("k")).where("c = 1").groupBy("k").agg(
             F.count(F.lit(1)).alias("own"))
-        rows = rows.drop("own").join(own, "k", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-        rows = store(_still_open(rows.where(f"100 * (n - own) >= {PERCENT} * n")), "open")
-        if rows.select("k").distinct().count() > 0.9 * size:
+        classes = store(classes.join(own, "k", "left").withColumn(
+            "own", F.coalesce("own", F.lit(0))), "classes")
+        linkable = classes.where(f"100 * (n - own) >= {PERCENT} * n").select("k")
+        rows = store(rows.join(linkable, "k", "left_semi"), "linkable")
+        rows = store(_still_open(rows), "open")
+        still = rows.select("k").distinct()
+        if still.count() > 0.9 * size:
             break
-    to = rows.where("pivot is not null").select(F.col("k").alias("u"), F.col("pivot").alias("v"))
-    apart = _joined(to.distinct(), words).mapInArrow(_differences, "k binary, apart array<long>")
-    rows = store(rows.join(apart, "k", "left"), "open")
+    classes = store(classes.join(still, "k", "left_semi").join(pivots, "k", "left"), "classes")
+    rows = store(rows.join(classes.select("k", "own", "pivot", "shared"), "k").join(
+        met, ["k", "hub"], "left"), "open")
+    own = classes.where("pivot is not null")
+    to = own.select(F.col("k").alias("u"), F.col("pivot").alias("v"))
+    apart = _joined(to, words).mapInArrow(_differences, "k binary, apart array<long>")
 
     def possible(both: str) -> str:
         """The bound with what both members share with one class."""
@@ -276,17 +285,16 @@ def _open_pairs(members: DataFrame, labels: DataFrame, words: DataFrame) -> Data
 
     close = f"100 * least(x.n, y.n) >= {PERCENT} * greatest(x.n, y.n) and x.c <> y.c"
     # Members of one pivot meet once, whatever number of hubs they share.
-    own = rows.where("pivot is not null").groupBy("pivot", "k").agg(
-        *[F.first(c).alias(c) for c in ("n", "c", "own", "shared", "apart")])
-    center = rows.where("pivot is not null").select("pivot").distinct().join(
+    center = own.select("pivot").distinct().join(
         labels, F.col("pivot") == F.col("node"), "left").select(
         "pivot", F.coalesce("label", "pivot").alias("_h"))
-    own = store(own.join(center, "pivot").withColumn("settled", F.col("c") == F.col("_h")), "pivots")
+    own = store(own.join(apart, "k", "left").join(center, "pivot").withColumn(
+        "settled", F.col("c") == F.col("_h")), "pivots")
     same = own.alias("x").join(own.alias("y"), F.expr(
         f"x.pivot = y.pivot and {close} and not x.settled and (x.k < y.k or y.settled) "
         f"and {possible('shared')} and {100 - PERCENT} * (x.n + y.n) >= {100 + PERCENT} * "
         "(size(x.apart) + size(y.apart) - 2 * size(array_intersect(x.apart, y.apart)))"))
-    other = rows.drop("apart").alias("x").join(rows.drop("apart").alias("y"), F.expr(
+    other = rows.alias("x").join(rows.alias("y"), F.expr(
         f"x.hub = y.hub and {close} and not x.settled and (x.k < y.k or y.settled) "
         f"and x.k <> x.hub and y.k <> y.hub and not (x.pivot <=> y.pivot and x.pivot is not null) "
         f"and {possible('both')}"))
