@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqframe.functions.text import DEFAULT_BUCKETS, validated_buckets
+from seqframe.functions.text import DEFAULT_BUCKETS, pad_to_bucket, validated_buckets
 from seqframe.operators.buckets import bucket_counts
 from seqframe.operators.numbering import dense_index, rank_within, salt_chars_for
 
@@ -123,15 +123,17 @@ def batch_order(
 def assemble_batches(
     rows: DataFrame,
     order: DataFrame | None = None,
-    data_col: str = "P",
+    data_col: str = "X",
     label_col: str = "Y",
     bucket_col: str = "bucket",
     row_col: str = "row_id",
 ) -> DataFrame:
     """One row per batch: ``X`` (rows x bucket), ``Y``, ``row_ids`` in batch order.
 
-    ``rows`` comes from ``batch_rows(..., keep=[data_col, label_col])``.  A batch
-    holds at most ``batch_size`` rows, so collecting it is bounded.
+    ``rows`` comes from ``batch_rows``, with ``data_col`` and ``label_col`` joined to
+    it.  Sequences are padded or cut to the bucket after grouping, so padding is
+    not shuffled.  A batch holds at most ``batch_size`` rows, so collecting it is
+    bounded.
     """
     item = F.struct(F.col("rank"), F.col(row_col).alias("r"), F.col(data_col).alias("x"),
                     F.col(label_col).alias("y"))
@@ -144,7 +146,7 @@ def assemble_batches(
         "batch",
         F.size("_items").alias("n_rows"),
         F.col(bucket_col).alias("seq_len"),
-        F.transform("_items", lambda i: i["x"]).alias("X"),
+        F.transform("_items", lambda i: pad_to_bucket(i["x"], bucket_col)).alias("X"),
         F.transform("_items", lambda i: i["y"]).alias("Y"),
         F.transform("_items", lambda i: i["r"]).alias("row_ids"),
     )
@@ -160,16 +162,16 @@ def default_bucket_key(buckets: Sequence[int] = DEFAULT_BUCKETS) -> int:
     return validated_buckets(buckets)[-1]
 
 
-def batch_layout(batches: DataFrame, buckets: Sequence[int] = DEFAULT_BUCKETS,
+def batch_layout(order: DataFrame, batch_size: int, buckets: Sequence[int] = DEFAULT_BUCKETS,
                  bucket_col: str = "bucket") -> DataFrame:
-    """Per batch of ``assemble_batches``: data shape (rows x bucket length), label
-    shape (rows) and the default bucket key."""
-    rows = F.col("n_rows").cast("long")
-    return batches.select(
+    """Per batch of ``batch_order``: data shape (rows x bucket length), label shape
+    (rows) and the default bucket key.  Every batch is full, so no row is read."""
+    rows = F.lit(batch_size).cast("long")
+    return order.select(
         "epoch",
         "batch_seq",
         bucket_col,
-        F.array(rows, F.col("seq_len").cast("long")).alias("data_shape"),
+        F.array(rows, F.col(bucket_col).cast("long")).alias("data_shape"),
         F.array(rows).alias("label_shape"),
         F.lit(default_bucket_key(buckets)).cast("int").alias("default_bucket_key"),
     )
@@ -200,7 +202,8 @@ def fixed_batches(
 
     ``shuffle`` orders rows by the md5 key, otherwise by ``row_col``.
     ``last_batch='discard'`` drops the remainder; ``'pad'`` completes the last
-    batch with rows from the start of the order and reports how many in ``pad``.
+    batch with rows from the start of the order, in as many rounds as it takes, and
+    reports how many in ``pad``.
     """
     if last_batch not in ("discard", "pad"):
         raise ValueError(last_batch)
@@ -215,22 +218,18 @@ def fixed_batches(
         ranked = ranked.withColumn("_total", F.lit(total).cast("long"))
     bs = F.lit(batch_size)
     n_full = F.floor(F.col("_total") / bs)
-    rem = F.col("_total") - n_full * bs
-    main = ranked.withColumn("batch", F.floor(F.col("rank") / bs)).withColumn(
-        "slot", F.col("rank") % bs
-    )
     if last_batch == "discard":
-        out = main.where(F.col("batch") < n_full).withColumn("pad", F.lit(0))
+        out = ranked.withColumn("batch", F.floor(F.col("rank") / bs)).where(
+            F.col("batch") < n_full).withColumn("slot", F.col("rank") % bs).withColumn("pad", F.lit(0))
     else:
-        main = main.withColumn("pad", F.when(F.col("batch") == n_full, bs - rem).otherwise(0))
-        # Rows from the start of the order fill the incomplete last batch.
-        fill = ranked.where((rem > 0) & (F.col("rank") < bs - rem)).select(
-            *ranked.columns,
-            n_full.alias("batch"),
-            (rem + F.col("rank")).alias("slot"),
-            (bs - rem).alias("pad"),
-        )
-        out = main.unionByName(fill)
+        # The order repeats until the last batch is full: a row takes its own place and every
+        # place a whole number of rounds later (fewer than batch_size places are filled).
+        places = F.ceil(F.col("_total") / bs) * bs
+        out = ranked.withColumn(
+            "_place", F.explode(F.sequence(F.col("rank").cast("long"), places - 1, F.col("_total"))))
+        batch = F.floor(F.col("_place") / bs)
+        out = out.withColumn("batch", batch).withColumn("slot", F.col("_place") % bs).withColumn(
+            "pad", F.when(batch == n_full, places - F.col("_total")).otherwise(0))
     return out.select(
         F.lit(epoch).cast("int").alias("epoch"),
         F.col("batch").cast("long").alias("batch"),

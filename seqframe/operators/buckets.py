@@ -16,6 +16,14 @@ from seqframe.functions.text import (
 )
 
 
+def bucket_lengths(df: DataFrame, buckets: Sequence[int] = DEFAULT_BUCKETS,
+                   length_col: str = "length") -> DataFrame:
+    """Add ``bucket`` and ``sliced`` from a length alone (null length -> null)."""
+    bs = validated_buckets(buckets)
+    n = F.col(length_col)
+    return df.withColumn("bucket", bucket_of(n, bs)).withColumn("sliced", n > F.lit(bs[-1]))
+
+
 def assign_buckets(
     df: DataFrame,
     seq_col: str = "X",
@@ -37,12 +45,8 @@ def assign_buckets(
         length = F.col(length_col).cast("int")
     else:
         length = F.when(seq.isNotNull(), F.size(seq)).cast("int")
-    return (
-        df.withColumn("length", length)
-        .withColumn("bucket", bucket_of(F.col("length"), bs))
-        .withColumn("sliced", F.col("length") > F.lit(bs[-1]))
-        .withColumn(out, F.when(seq.isNotNull(), pad_to_bucket(seq_col, "bucket", pad_value)))
-    )
+    return bucket_lengths(df.withColumn("length", length), bs).withColumn(
+        out, F.when(seq.isNotNull(), pad_to_bucket(seq_col, "bucket", pad_value)))
 
 
 def bucket_counts(df: DataFrame, buckets: Sequence[int] = DEFAULT_BUCKETS) -> DataFrame:

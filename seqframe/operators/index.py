@@ -4,14 +4,17 @@ Two physical strategies, picked by the vocabulary's (checked) size:
 
 * array path (small vocabularies: characters, labels): the terms become an
   array literal and each element is looked up with ``array_position``.  A pure
-  projection: no shuffle, stays in codegen, works on streaming frames.
-* join path (large vocabularies: tokens): ``posexplode_outer`` -> left join with
-  the vocabulary -> regroup by row in position order.  The vocabulary is
-  broadcast when its counted terms and bytes allow.  Past those bounds, the
-  most frequent terms (whose counts make them the only possible hot keys) are
-  still broadcast, each of bounded length, and only the tail goes through a
-  shuffle join, where no single term can hold more than a small share of the
-  rows.
+  projection: no shuffle, works on streaming frames.
+* join path (large vocabularies: tokens, many labels): for sequences
+  ``posexplode_outer`` -> look up -> regroup by row in position order, which
+  needs unique row ids.  The vocabulary is broadcast when its counted terms and
+  bytes allow.  Past those bounds its most frequent terms of bounded length are
+  broadcast, then the answers for the most frequent terms still open (unseen
+  or long ones, by the SHA-256 of the term), and only the rest goes through a
+  shuffle join, where no term holds more than one part in ``hot_terms``.
+
+Both give the same result.  A null element is no term: it is not counted by
+``vocab.term_counts`` and its index is ``unseen``.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from seqframe.operators.vocab import (
     HOT_TERMS,
     fits_broadcast,
     hot_entry,
-    vocab_terms,
+    small_terms,
 )
 
 # Largest vocabulary looked up by array scan (per element cost is linear).
@@ -44,7 +47,9 @@ def index_with_terms(seq: Column | str, terms: Sequence[str], unseen: int = UNSE
     s = F.col(seq) if isinstance(seq, str) else seq
     arr = _terms_array(terms)
     # array_position is 1-based and 0 when missing, so "- 1" maps a miss to -1.
-    found = F.transform(s, lambda x: (F.array_position(arr, x) - 1).cast("int"))
+    # It is null for a null element.
+    found = F.transform(
+        s, lambda x: F.coalesce(F.array_position(arr, x) - 1, F.lit(-1)).cast("int"))
     if unseen == -1:
         return found
     return F.transform(found, lambda i: F.when(i < 0, F.lit(unseen)).otherwise(i))
@@ -57,13 +62,48 @@ def index_label_with_terms(label: Column | str, terms: Sequence[str], unseen: in
     return F.when(pos.isNull() | (pos == 0), F.lit(unseen)).otherwise(pos - 1).cast("int")
 
 
+def _look_up(df: DataFrame, term_col: str, vocab: DataFrame, broadcast_max_terms: int,
+             broadcast_max_bytes: int, hot_terms: int) -> DataFrame:
+    """``df`` with ``_idx``, the index of ``term_col`` (null if unseen or null)."""
+    kv = vocab.select(F.col("term").alias("_term"), F.col("idx").alias("_idx"))
+    term = F.col(term_col)
+    if fits_broadcast(vocab, broadcast_max_terms, broadcast_max_bytes):
+        return df.join(F.broadcast(kv), term == F.col("_term"), "left").drop("_term")
+    is_hot = hot_entry(F.col("_idx"), F.col("_term"), hot_terms)
+    hot = kv.where(is_hot)
+    # Null terms skip every join; a term held by many rows is answered by broadcast.
+    nulls = df.where(term.isNull()).withColumn("_idx", F.lit(None).cast("int"))
+    first = df.where(term.isNotNull()).join(F.broadcast(hot), term == F.col("_term"), "left").drop("_term")
+    hits = first.where(F.col("_idx").isNotNull())
+    misses = first.where(F.col("_idx").isNull()).drop("_idx")
+    tail = kv.where(~is_hot)
+    heavy = misses.groupBy(term_col).count().select(
+        F.sha2(term.cast("binary"), 256).alias("_key"), "count"
+    ).orderBy(F.col("count").desc(), "_key").limit(hot_terms).select("_key")
+    known = tail.select(F.sha2(F.col("_term").cast("binary"), 256).alias("_key"), "_idx")
+    answers = heavy.join(known, "_key", "left").select("_key", F.coalesce("_idx", F.lit(-1)).alias("_a"))
+    second = misses.withColumn("_key", F.sha2(term.cast("binary"), 256)).join(
+        F.broadcast(answers), "_key", "left").drop("_key")
+    answered = second.where(F.col("_a").isNotNull()).withColumn(
+        "_idx", F.when(F.col("_a") >= 0, F.col("_a"))).drop("_a")
+    rest = second.where(F.col("_a").isNull()).drop("_a").join(
+        tail, term == F.col("_term"), "left").drop("_term")
+    return hits.unionByName(nulls).unionByName(answered).unionByName(rest)
+
+
 def index_labels(
     df: DataFrame, label_vocab: DataFrame, label_col: str = "label", out: str = "Y",
-    unseen: int = UNSEEN, max_terms: int = ARRAY_MAX_TERMS,
+    unseen: int = UNSEEN, array_max_terms: int = ARRAY_MAX_TERMS,
+    broadcast_max_terms: int = BROADCAST_MAX_TERMS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    hot_terms: int = HOT_TERMS,
 ) -> DataFrame:
-    """Add the label index (label vocabularies are capped, so the array path applies)."""
-    terms = vocab_terms(label_vocab, max_terms)
-    return df.withColumn(out, index_label_with_terms(label_col, terms, unseen))
+    """Add the label index, for any number of labels."""
+    terms = small_terms(label_vocab, array_max_terms)
+    if terms is not None:
+        return df.withColumn(out, index_label_with_terms(label_col, terms, unseen))
+    found = _look_up(df, label_col, label_vocab, broadcast_max_terms, broadcast_max_bytes, hot_terms)
+    return found.withColumn(out, F.coalesce("_idx", F.lit(unseen)).cast("int")).drop("_idx")
 
 
 def index_sequences(
@@ -89,14 +129,11 @@ def index_sequences(
     if method not in ("auto", "array", "join"):
         raise ValueError(method)
     if method in ("auto", "array"):
-        # One bounded collect decides the path and, if small, yields the terms.
-        rows = vocab.where(F.col("idx") <= array_max_terms).select("idx", "term").collect()
-        if len(rows) <= array_max_terms:
-            terms = [r["term"] for r in sorted(rows, key=lambda r: r["idx"])]
+        terms = small_terms(vocab, array_max_terms)
+        if terms is not None:
             return df.withColumn(out, index_with_terms(seq_col, terms, unseen))
         if method == "array":
             raise ValueError(f"vocabulary has more than {array_max_terms} terms; use the join path")
-    small = fits_broadcast(vocab, broadcast_max_terms, broadcast_max_bytes)
     if carry is None:
         carry = [c for c in df.columns if c not in (seq_col, row_col)]
     carry = list(carry)
@@ -107,17 +144,8 @@ def index_sequences(
         F.col(seq_col).isNull().alias("_null_seq"),
         F.posexplode_outer(F.col(seq_col)).alias("_pos", "term"),
     )
-    vocab_kv = vocab.select("term", F.col("idx").alias("_idx"))
-    if small:
-        looked_up = exploded.join(F.broadcast(vocab_kv), on="term", how="left")
-    else:
-        is_hot = hot_entry(F.col("idx"), F.col("term"), hot_terms)
-        hot = vocab.where(is_hot).select("term", F.col("idx").alias("_hot"))
-        tail = vocab.where(~is_hot).select("term", F.col("idx").alias("_idx"))
-        first = exploded.join(F.broadcast(hot), on="term", how="left")
-        hits = first.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", "_idx")
-        misses = first.where(F.col("_hot").isNull()).drop("_hot")
-        looked_up = hits.unionByName(misses.join(tail, on="term", how="left"))
+    looked_up = _look_up(exploded, "term", vocab, broadcast_max_terms, broadcast_max_bytes,
+                         hot_terms)
 
     elem = F.when(
         F.col("_pos").isNotNull(),

@@ -48,14 +48,14 @@ def _fast_to_exact(fast: Column) -> Column:
 
 
 def term_counts(df: DataFrame, seq_col: str, row_col: str = "row_id") -> DataFrame:
-    """``(term, n, first)`` over all sequence elements; null sequences add nothing."""
+    """``(term, n, first)`` over all sequence elements; null sequences and elements add nothing."""
     # posexplode_outer + a filter on the generated position: a plain posexplode
     # makes the optimizer infer "size(seq) > 0" and push it below the
     # projections, which would evaluate the sequence expression again.
     exploded = df.select(
         F.col(row_col).cast("long").alias("_row"),
         F.posexplode_outer(F.col(seq_col)).alias("_pos", "term"),
-    ).where(F.col("_pos").isNotNull())
+    ).where(F.col("_pos").isNotNull() & F.col("term").isNotNull())
     row, pos = F.col("_row"), F.col("_pos")
     fits = _fits(row, pos)
     agg = exploded.groupBy("term").agg(
@@ -109,10 +109,6 @@ def build_label_vocab(
     return rank_counts(counts, cap)
 
 
-def vocab_size(vocab: DataFrame) -> int:
-    return vocab.count()
-
-
 def vocab_head(vocab: DataFrame, k: int = 10) -> DataFrame:
     """The first ``k`` entries (idx < k), in index order."""
     return vocab.where(F.col("idx") < k).orderBy("idx")
@@ -120,9 +116,17 @@ def vocab_head(vocab: DataFrame, k: int = 10) -> DataFrame:
 
 def vocab_terms(vocab: DataFrame, max_terms: int) -> list[str]:
     """Terms in index order, for a vocabulary checked to be at most ``max_terms``."""
-    rows = vocab.where(F.col("idx") < max_terms + 1).select("idx", "term").collect()
-    if len(rows) > max_terms:
+    terms = small_terms(vocab, max_terms)
+    if terms is None:
         raise ValueError(f"vocabulary has more than {max_terms} terms; use the join path")
+    return terms
+
+
+def small_terms(vocab: DataFrame, max_terms: int) -> list[str] | None:
+    """Terms in index order, or None past ``max_terms``: one bounded collect decides."""
+    rows = vocab.where(F.col("idx") <= max_terms).select("idx", "term").collect()
+    if len(rows) > max_terms:
+        return None
     return [r["term"] for r in sorted(rows, key=lambda r: r["idx"])]
 
 

@@ -16,16 +16,30 @@ from pyspark.sql import functions as F
 from seqframe.functions.labels import with_label_names
 from seqframe.functions.text import DEFAULT_BUCKETS, chars
 from seqframe.operators.batches import assemble_batches, batch_order, batch_rows, bucket_sizes
-from seqframe.operators.buckets import assign_buckets
-from seqframe.operators.index import index_labels, index_sequences
+from seqframe.operators.buckets import bucket_lengths
+from seqframe.operators.index import (
+    ARRAY_MAX_TERMS,
+    index_labels,
+    index_sequences,
+    index_with_terms,
+)
 from seqframe.operators.model import fit_classifier
 from seqframe.operators.predict import predict_proba
-from seqframe.operators.vocab import build_label_vocab, build_vocab, freeze_small_vocab
+from seqframe.operators.vocab import (
+    build_label_vocab,
+    build_vocab,
+    freeze_small_vocab,
+    literal_vocab,
+    small_terms,
+)
+from seqframe.session import materialize
 from seqframe.sources.csv import read_labelled_csv
 from seqframe.sources.sinks import write_frame, write_vocab
 
 # The vocabulary cap of the character path (characters and labels).
 CHAR_CAP = 200
+# Vocabularies up to this size are kept as a literal table, larger ones are checkpointed.
+LITERAL_MAX_TERMS = 10_000
 # Character n-gram sizes of the character-path classifier.  The classifier
 # caches its training rows; with n = 1, 2 a row holds about 200 active features
 # (about the size of its text), with trigrams added about 720 (3.6x the text).
@@ -46,31 +60,38 @@ Splitter = Callable[[Column], Column]
 def fit_character_vocab(train: DataFrame, cap: int = CHAR_CAP, text_col: str = "description",
                         row_col: str = "row_id", splitter: Splitter = chars) -> DataFrame:
     """Capped vocabulary of ``splitter(text)`` elements (characters by default)."""
-    return freeze_small_vocab(
-        build_vocab(train.select(row_col, splitter(F.col(text_col)).alias("_c")), "_c", row_col,
-                    cap),
-        cap,
-    )
+    vocab = build_vocab(train.select(row_col, splitter(F.col(text_col)).alias("_c")), "_c", row_col,
+                        cap)
+    return freeze_small_vocab(vocab, cap) if cap <= LITERAL_MAX_TERMS else materialize(vocab)
 
 
 def fit_label_vocab(train: DataFrame, cap: int | None = CHAR_CAP, label_col: str = "label",
-                    row_col: str = "row_id", max_terms: int = 10_000) -> DataFrame:
-    """Label vocabulary kept as a small local table (at most ``max_terms`` labels).
+                    row_col: str = "row_id", literal_max: int = LITERAL_MAX_TERMS) -> DataFrame:
+    """Label vocabulary: a small local table up to ``literal_max`` labels, else a checkpointed one.
 
-    Without a cap, asking for ``max_terms + 1`` entries gives the same table
-    whenever it is valid, and lets the bounded top-n path do the numbering.
+    The bounded top-n path with ``literal_max + 1`` entries decides which, and has
+    the whole vocabulary in the first case.
     """
-    limit = cap if cap is not None else max_terms + 1
-    return freeze_small_vocab(build_label_vocab(train, label_col, row_col, limit), max_terms)
+    limit = literal_max + 1 if cap is None else min(cap, literal_max + 1)
+    head = build_label_vocab(train, label_col, row_col, limit).collect()
+    if len(head) <= literal_max:
+        return literal_vocab(train.sparkSession, sorted(tuple(r) for r in head))
+    return materialize(build_label_vocab(train, label_col, row_col, cap))
 
 
 def index_characters(df: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
                      text_col: str = "description", label_col: str = "label",
-                     splitter: Splitter = chars) -> DataFrame:
+                     splitter: Splitter = chars, row_col: str = "row_id") -> DataFrame:
     """Add ``X``, ``Y`` and ``length`` (elements per text, known before indexing)."""
     with_chars = df.withColumn("_c", splitter(F.col(text_col)))
-    x = index_sequences(with_chars, "_c", vocab, out="X", method="array")
-    x = x.withColumn("length", F.when(F.col("_c").isNotNull(), F.size("_c"))).drop("_c")
+    length = F.when(F.col("_c").isNotNull(), F.size("_c")).alias("length")
+    terms = small_terms(vocab, ARRAY_MAX_TERMS)
+    if terms is not None:
+        x = with_chars.select(*df.columns, index_with_terms("_c", terms).alias("X"), length)
+    else:  # the text does not travel through the lookup
+        x = df.join(index_sequences(with_chars.select(row_col, "_c", length), "_c", vocab, out="X",
+                                    row_col=row_col, method="join"), row_col).select(
+            *df.columns, "X", "length")
     return index_labels(x, label_vocab, label_col, "Y")
 
 
@@ -79,14 +100,14 @@ def prepare_characters(train: DataFrame, test: DataFrame, cap: int = CHAR_CAP,
                        row_col: str = "row_id", splitter: Splitter = chars) -> Prepared:
     """Fit both vocabularies on ``train``, then add ``X`` and ``Y`` to both frames.
 
-    ``splitter`` is any ``Column -> Column`` producing an array of strings; the
-    vocabulary must stay within the array-lookup bound (256 entries).
+    ``splitter`` is any ``Column -> Column`` producing an array of strings.  A
+    vocabulary past the array-lookup bound is joined, which needs unique row ids.
     """
     vocab = fit_character_vocab(train, cap, text_col, row_col, splitter)
     label_vocab = fit_label_vocab(train, cap, label_col, row_col)
     return Prepared(
-        index_characters(train, vocab, label_vocab, text_col, label_col, splitter),
-        index_characters(test, vocab, label_vocab, text_col, label_col, splitter),
+        index_characters(train, vocab, label_vocab, text_col, label_col, splitter, row_col),
+        index_characters(test, vocab, label_vocab, text_col, label_col, splitter, row_col),
         vocab,
         label_vocab,
     )
@@ -109,18 +130,25 @@ def preprocess_csv(spark: SparkSession, train_path: str, test_path: str, out_dir
 
 def character_batches(indexed: DataFrame, batch_size: int = 12,
                       buckets: Sequence[int] = DEFAULT_BUCKETS, seed: int = 42,
-                      epoch: int = 0, row_col: str = "row_id") -> DataFrame:
+                      epoch: int = 0, row_col: str = "row_id",
+                      first_only: bool = False) -> DataFrame:
     """One row per full batch of one epoch, with its place ``batch_seq`` in the epoch.
 
-    ``indexed`` should be a written (or checkpointed) table: batching reads it
-    more than once.
+    ``indexed`` should be a written table with ``X``, ``Y`` and ``length``: it is read
+    more than once.  Rows are ranked by id and bucket alone; ``X`` and ``Y`` join
+    once, for the rows of full batches.  ``first_only`` assembles only the batch
+    with ``batch_seq`` 0.
     """
-    bucketed = assign_buckets(indexed.select(row_col, "X", "Y"), "X", buckets)  # X is stored
-    sizes = bucket_sizes(bucketed)
-    rows = batch_rows(bucketed, batch_size, seed, epoch, keep=["P", "Y"], row_col=row_col,
-                      sizes=sizes)
+    narrow = bucket_lengths(indexed.select(row_col, "length"), buckets).select(row_col, "bucket")
+    sizes = bucket_sizes(narrow)
+    rows = batch_rows(narrow, batch_size, seed, epoch, row_col=row_col, sizes=sizes)
     order = batch_order(indexed.sparkSession, sizes, batch_size, seed, epoch)
-    return assemble_batches(rows, order, row_col=row_col)
+    if first_only:
+        order = order.where(F.col("batch_seq") == 0)
+        rows = rows.join(F.broadcast(order.drop("batch_seq")), ["epoch", "bucket", "batch"],
+                         "left_semi")  # one batch
+    return assemble_batches(rows.join(indexed.select(row_col, "X", "Y"), row_col), order,
+                            row_col=row_col)
 
 
 def _index_strings(df: DataFrame, row_col: str, x_col: str = "X") -> DataFrame:
@@ -139,11 +167,6 @@ def train_and_score_characters(train: DataFrame, test: DataFrame, label_names: S
     return model, pred
 
 
-def label_frame(df: DataFrame, code_col: str = "indexed_label") -> DataFrame:
-    """Code -> name (drops the code)."""
-    return with_label_names(df, code_col, "label")
-
-
 __all__ = [
     "CHAR_CAP",
     "CHAR_NGRAMS",
@@ -152,7 +175,6 @@ __all__ = [
     "fit_character_vocab",
     "fit_label_vocab",
     "index_characters",
-    "label_frame",
     "prepare_characters",
     "preprocess_csv",
     "train_and_score_characters",

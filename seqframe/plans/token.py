@@ -12,7 +12,8 @@ from seqframe.functions.text import MAX_TOKENS, PAD_TOKEN, pad_tokens, tokens
 from seqframe.operators.index import index_labels, index_sequences
 from seqframe.operators.model import fit_classifier
 from seqframe.operators.predict import predict_proba
-from seqframe.operators.vocab import build_label_vocab, build_vocab, freeze_small_vocab
+from seqframe.operators.vocab import build_vocab
+from seqframe.plans.character import fit_label_vocab
 from seqframe.session import materialize
 
 
@@ -58,7 +59,7 @@ def index_token_frame(t: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
                       label_col: str = "label", row_col: str = "row_id",
                       carry: tuple[str, ...] = (), tokens_col: str = "T") -> DataFrame:
     """``(row_id, label, Y, *carry, X)`` from already tokenized rows."""
-    t = index_labels(t, label_vocab, label_col, "Y", max_terms=10_000)
+    t = index_labels(t, label_vocab, label_col, "Y")
     keep = [label_col, "Y", *carry]
     return index_sequences(t.select(row_col, tokens_col, *keep), tokens_col, vocab, out="X",
                            row_col=row_col, carry=keep, method="auto")
@@ -79,7 +80,7 @@ def prepare_tokens(train: DataFrame, test: DataFrame, text_col: str = "descripti
     """Fit on ``train``, index both; each text is tokenized once."""
     tr = tokenized(train, text_col, max_tokens)
     vocab = fit_vocab_from_tokens(tr, row_col)
-    label_vocab = freeze_small_vocab(build_label_vocab(tr, label_col, row_col, 10_001), 10_000)
+    label_vocab = fit_label_vocab(tr, None, label_col, row_col)
     return TokenPrepared(
         index_token_frame(tr, vocab, label_vocab, label_col, row_col),
         index_tokens(test, vocab, label_vocab, text_col, label_col, row_col, max_tokens),
@@ -99,14 +100,10 @@ def train_and_score(train: DataFrame, test: DataFrame, label_vocab: DataFrame,
                     row_col: str = "row_id", max_tokens: int = MAX_TOKENS,
                     **fit_args) -> tuple[PipelineModel, DataFrame]:
     """Fit the n-gram classifier on train; probabilities and top class for test."""
-    from seqframe.operators.index import index_label_with_terms
-
     names = label_names_of(label_vocab)
     # A null text has no tokens, hence no n-grams; it is scored by the class priors.
     no_null = F.coalesce("T", F.array().cast("array<string>"))
-    tr = with_tokens(train, text_col, max_tokens).withColumn("T", no_null).withColumn(
-        "Y", index_label_with_terms(label_col, names))
-    te = with_tokens(test, text_col, max_tokens).withColumn("T", no_null).withColumn(
-        "Y", index_label_with_terms(label_col, names))
+    tr, te = (index_labels(with_tokens(df, text_col, max_tokens).withColumn("T", no_null),
+                           label_vocab, label_col, "Y") for df in (train, test))
     model = fit_classifier(tr.select(row_col, "T", "Y"), "T", "Y", **fit_args)
     return model, predict_proba(model, te.select(row_col, "T", "Y"), names, row_col, keep=["Y"])

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +29,12 @@ from seqframe.functions.text import (
     tokens,
 )
 from seqframe.operators import batches as B
-from seqframe.operators.buckets import assign_buckets, bucket_counts, sliced_count
+from seqframe.operators.buckets import assign_buckets, bucket_counts, bucket_lengths, sliced_count
 from seqframe.operators.evaluate import accuracy
-from seqframe.operators.features import ngram_featurizer
+from seqframe.operators.features import DEFAULT_NGRAMS, ngram_featurizer
 from seqframe.operators.index import index_labels
 from seqframe.operators.numbering import dense_index
+from seqframe.operators.predict import predict_texts
 from seqframe.operators.sample import exact_sample, first_rows, random_row
 from seqframe.operators.vocab import build_label_vocab, term_of, vocab_head
 from seqframe.plans import character as C
@@ -55,6 +55,7 @@ from seqframe.sources.testdata import (
 # Parameters of the registered queries.
 CHAR_CAP = C.CHAR_CAP  # the character path's cap
 SMALL_CHAR_CAP = 40  # below the ~65 distinct characters, so unseen (-1) occurs
+LABEL_CHARS = 12
 BATCH = 12
 TOKEN_BATCH = 120
 SEED = 42
@@ -103,18 +104,23 @@ def q_vocab_size(spark, sf_dir):
     """One row per vocabulary: its number of entries."""
     train = _train(spark, sf_dir)
 
-    def size_of(name, vocab):
-        return vocab.agg(F.lit(name).alias("vocab"), F.count(F.lit(1)).alias("terms"))
+    def size_of(name, terms, cap=None):
+        n = F.count(F.lit(1))
+        return terms.agg(F.lit(name).alias("vocab"),
+                         (F.least(n, F.lit(cap)) if cap else n).cast("long").alias("terms"))
+
+    def terms_of(seq):
+        return train.select(F.explode_outer(seq).alias("term")).where("term is not null").distinct()
 
     return (
-        size_of("char", C.fit_character_vocab(train, CHAR_CAP))
-        .unionByName(size_of("token", T.fit_token_vocab(train)))
-        .unionByName(size_of("label", build_label_vocab(train, "label", "row_id", None)))
+        size_of("char", terms_of(chars("description")), CHAR_CAP)
+        .unionByName(size_of("token", terms_of(pad_tokens(tokens("description")))))
+        .unionByName(size_of("label", train.where("label is not null").select("label").distinct()))
     )
 
 
 def q_vocab_top10(spark, sf_dir):
-    return vocab_head(T.fit_token_vocab(_train(spark, sf_dir)), 10)
+    return vocab_head(T.fit_token_vocab(_train(spark, sf_dir), cap=10), 10)
 
 
 def q_label_names(spark, sf_dir):
@@ -155,8 +161,19 @@ def q_char_index(spark, sf_dir):
 
 
 def q_label_index(spark, sf_dir):
-    idx, _, _ = _char_prepared(spark, sf_dir, CHAR_CAP)
-    return idx.select(F.col("row_id").alias("doc_id"), "split", "label", "Y")
+    a = _labelled(spark, sf_dir).select("row_id", "split", "label")
+    label_vocab = C.fit_label_vocab(a.where(F.col("split") == "train"), CHAR_CAP)
+    out = index_labels(a, label_vocab, "label", "Y")
+    return out.select(F.col("row_id").alias("doc_id"), "split", "label", "Y")
+
+
+def q_label_index_many(spark, sf_dir):
+    """Many labels, without a cap: the first characters of each text."""
+    a = articles(spark, sf_dir).select(
+        "row_id", "split", F.substring("description", 1, LABEL_CHARS).alias("label"))
+    label_vocab = C.fit_label_vocab(a.where(F.col("split") == "train"), None)
+    out = index_labels(a, label_vocab, "label", "Y")
+    return out.select(F.col("row_id").alias("doc_id"), "split", "label", "Y")
 
 
 def q_label_index_missing(spark, sf_dir):
@@ -186,53 +203,53 @@ def q_token_index(spark, sf_dir):
                       ints_to_string("X").alias("X"))
 
 
-def _char_bucketed(spark, sf_dir, cap=SMALL_CHAR_CAP, split="train"):
-    idx, _, _ = _char_prepared(spark, sf_dir, cap)
-    if split:
-        idx = idx.where(F.col("split") == split)
-    return assign_buckets(idx, "X", DEFAULT_BUCKETS, length_col="length")
-
-
-def _batch_input(spark, sf_dir):
-    """Bucketed train rows written once: batching reads them several times."""
-    b = _char_bucketed(spark, sf_dir).select("row_id", "bucket", "P", "Y")
-    return materialize(b)
+def _lengths(spark, sf_dir, split="train"):
+    """``(row_id, bucket, sliced)``: bucket counts and orders need lengths only, no vocabulary."""
+    a = articles(spark, sf_dir).where(F.col("split") == split)
+    return bucket_lengths(a.select("row_id", F.size(chars("description")).alias("_n")).select(
+        "row_id", F.when(F.col("_n") >= 0, F.col("_n")).alias("length")), DEFAULT_BUCKETS)
 
 
 def q_bucket_assign(spark, sf_dir):
-    b = _char_bucketed(spark, sf_dir, split=None)
+    idx, _, _ = _char_prepared(spark, sf_dir, SMALL_CHAR_CAP)
+    b = assign_buckets(idx, "X", DEFAULT_BUCKETS, length_col="length")
     return b.select(F.col("row_id").alias("doc_id"), "length", "bucket", "sliced",
                     F.md5(ints_to_string("P")).alias("P_md5"))
 
 
 def q_bucket_counts(spark, sf_dir):
-    return bucket_counts(_char_bucketed(spark, sf_dir), DEFAULT_BUCKETS)
+    return bucket_counts(_lengths(spark, sf_dir), DEFAULT_BUCKETS)
 
 
-def q_sliced_count(spark, sf_dir):
-    return sliced_count(_char_bucketed(spark, sf_dir))
+def q_bucket_counts_test(spark, sf_dir):
+    return bucket_counts(_lengths(spark, sf_dir, "test"), DEFAULT_BUCKETS)
 
 
-def _batch_rows(spark, sf_dir, keep=()):
-    b = _batch_input(spark, sf_dir)
-    sizes = B.bucket_sizes(b)
-    return B.batch_rows(b, BATCH, SEED, EPOCH, keep=list(keep), sizes=sizes), sizes
+def q_sliced_count(spark, sf_dir):
+    return sliced_count(_lengths(spark, sf_dir))
 
 
 def q_batch_rows(spark, sf_dir):
-    r, _ = _batch_rows(spark, sf_dir)
+    b = materialize(_lengths(spark, sf_dir).select("row_id", "bucket"))
+    r = B.batch_rows(b, BATCH, SEED, EPOCH, sizes=B.bucket_sizes(b))
     return r.select("epoch", "bucket", "batch", F.col("row_id").alias("doc_id"), "rank")
 
 
+def _order(spark, sf_dir):
+    return B.batch_order(spark, B.bucket_sizes(_lengths(spark, sf_dir)), BATCH, SEED, EPOCH)
+
+
 def q_batch_order(spark, sf_dir):
-    sizes = B.bucket_sizes(_char_bucketed(spark, sf_dir))
-    return B.batch_order(spark, sizes, BATCH, SEED, EPOCH)
+    return _order(spark, sf_dir)
 
 
-def _batches(spark, sf_dir):
-    rows, sizes = _batch_rows(spark, sf_dir, keep=("P", "Y"))
-    order = B.batch_order(spark, sizes, BATCH, SEED, EPOCH)
-    return B.assemble_batches(rows, order)
+def _batches(spark, sf_dir, split="train", first_only=False):
+    """Batches of a split's indexed rows, written once: batching reads them twice."""
+    idx, _, _ = _char_prepared(spark, sf_dir, SMALL_CHAR_CAP)
+    rows = idx.where(F.col("split") == split).select("row_id", "X", "Y", "length")
+    path = write_frame(rows, scratch_dir(spark, "indexed"))
+    return C.character_batches(read_frame(spark, path), BATCH, DEFAULT_BUCKETS, SEED, EPOCH,
+                               first_only=first_only)
 
 
 def _batch_report(b: DataFrame) -> DataFrame:
@@ -249,8 +266,12 @@ def q_batches(spark, sf_dir):
     return _batch_report(_batches(spark, sf_dir))
 
 
+def q_batches_test(spark, sf_dir):
+    return _batch_report(_batches(spark, sf_dir, "test"))
+
+
 def q_batch_layout(spark, sf_dir):
-    lay = B.batch_layout(_batches(spark, sf_dir), DEFAULT_BUCKETS)
+    lay = B.batch_layout(_order(spark, sf_dir), BATCH, DEFAULT_BUCKETS)
     return lay.select("epoch", "batch_seq", "bucket",
                       F.array_join("data_shape", ",").alias("data_shape"),
                       F.array_join("label_shape", ",").alias("label_shape"),
@@ -258,11 +279,11 @@ def q_batch_layout(spark, sf_dir):
 
 
 def q_first_batch(spark, sf_dir):
-    return _batch_report(_batches(spark, sf_dir).where(F.col("batch_seq") == 0))
+    return _batch_report(_batches(spark, sf_dir, first_only=True))
 
 
 def q_batches_per_epoch(spark, sf_dir):
-    return B.batches_per_epoch(_char_bucketed(spark, sf_dir), BATCH, DEFAULT_BUCKETS)
+    return B.batches_per_epoch(_lengths(spark, sf_dir), BATCH, DEFAULT_BUCKETS)
 
 
 def q_fixed_batches_train(spark, sf_dir):
@@ -306,7 +327,8 @@ def q_random_row(spark, sf_dir):
 def q_csv_round_trip(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     path = write_csv(d, scratch_dir(spark, "csv"))
-    back = read_headered_csv(spark, path, "doc_id BIGINT, text STRING, lang STRING")
+    # By name: the file has the columns in another order.
+    back = read_headered_csv(spark, path, "lang STRING, doc_id BIGINT, text STRING")
     return back.drop("row_id")
 
 
@@ -333,35 +355,63 @@ def _model_frames(spark, sf_dir):
 
 
 def q_ngram_features(spark, sf_dir):
+    """Distinct n-grams of each text, per n, as they enter the hashing."""
     a = _labelled(spark, sf_dir)
     t = T.with_tokens(a)
     feats = ngram_featurizer("T").fit(t).transform(t)
-    nnz = F.size(F.filter(vector_to_array("features"), lambda v: v != 0))
-    return feats.select(F.col("row_id").alias("doc_id"), nnz.cast("long").alias("n_active"))
+    grams = {n: "T" if n == 1 else f"_ngram{n}" for n in DEFAULT_NGRAMS}
+    return feats.select(F.col("row_id").alias("doc_id"), *[
+        F.size(F.array_distinct(c)).cast("long").alias(f"n{n}") for n, c in grams.items()])
 
 
-def q_predict_proba(spark, sf_dir):
-    train, test, label_vocab = _model_frames(spark, sf_dir)
-    _, pred = T.train_and_score(train, test, label_vocab)
+def _probs_report(pred: DataFrame) -> DataFrame:
+    """What SQL can state of a model's output: its classes in order, and that probabilities add up."""
+    p = F.transform("probs", lambda c: c["p"])
     return pred.select(
         F.col("row_id").alias("doc_id"),
-        F.to_json("probs").alias("probs"),
-        F.aggregate(F.transform("probs", lambda s: s["p"]), F.lit(0.0), lambda a, b: a + b)
-        .alias("p_sum"),
+        F.array_join(F.transform("probs", lambda c: c["label"]), ",").alias("labels"),
+        F.size("probs").cast("long").alias("n_classes"),
+        F.round(F.aggregate(p, F.lit(0.0), lambda a, b: a + b), 6).alias("p_sum"),
     )
 
 
+def q_predict_proba(spark, sf_dir):
+    train, test, label_vocab = _model_frames(spark, sf_dir)
+    _, pred = T.train_and_score(train, test, label_vocab)
+    return _probs_report(pred)
+
+
+def q_predict_texts(spark, sf_dir):
+    """Raw texts to probabilities with the fitted model, null texts included."""
+    train, test, label_vocab = _model_frames(spark, sf_dir)
+    model, _ = T.train_and_score(train, test, label_vocab)
+    raw = test.select("row_id", F.col("description").alias("text"))
+    return _probs_report(predict_texts(model, raw, T.label_names_of(label_vocab)))
+
+
 def q_predict_top(spark, sf_dir):
+    """Per row whether the top class is the first of the most probable ones, by index and name."""
     train, test, label_vocab = _model_frames(spark, sf_dir)
     _, pred = T.train_and_score(train, test, label_vocab)
-    return pred.select(F.col("row_id").alias("doc_id"), F.col("top.label").alias("label"),
-                       F.col("top.p").alias("p"), "prediction", "Y")
+    p = F.transform("probs", lambda c: c["p"])
+    at = F.array_position(p, F.array_max(p))
+    return pred.select(
+        F.col("row_id").alias("doc_id"), "Y",
+        ((F.col("top.p") == F.array_max(p)) & (F.col("top.idx") == at - 1)
+         & (F.col("prediction") == at - 1)
+         & (F.col("top.label") == F.element_at("probs", at.cast("int"))["label"])).alias("is_argmax"))
+
+
+def _accuracy_report(pred: DataFrame) -> DataFrame:
+    """Row counts, and whether the accuracy is above the share of the commonest class."""
+    return accuracy(pred, majority=True).select(
+        "n", "n_unlabelled", (F.col("accuracy") > F.col("majority")).alias("beats_majority"))
 
 
 def q_accuracy(spark, sf_dir):
     train, test, label_vocab = _model_frames(spark, sf_dir)
     _, pred = T.train_and_score(train, test, label_vocab)
-    return accuracy(pred)
+    return _accuracy_report(pred)
 
 
 def q_char_accuracy(spark, sf_dir):
@@ -371,7 +421,7 @@ def q_char_accuracy(spark, sf_dir):
     _, pred = C.train_and_score_characters(idx.where(split == "train"),
                                            idx.where(split == "test"),
                                            T.label_names_of(label_vocab))
-    return accuracy(pred)
+    return _accuracy_report(pred)
 
 
 def _turns(spark, sf_dir):
@@ -422,14 +472,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokens_padded": q_tokens_padded,
     "char_index": q_char_index,
     "label_index": q_label_index,
+    "label_index_many": q_label_index_many,
     "label_index_missing": q_label_index_missing,
     "token_index": q_token_index,
     "bucket_assign": q_bucket_assign,
     "bucket_counts": q_bucket_counts,
+    "bucket_counts_test": q_bucket_counts_test,
     "sliced_count": q_sliced_count,
     "batch_rows": q_batch_rows,
     "batch_order": q_batch_order,
     "batches": q_batches,
+    "batches_test": q_batches_test,
     "first_batch": q_first_batch,
     "batch_layout": q_batch_layout,
     "batches_per_epoch": q_batches_per_epoch,
@@ -444,6 +497,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab_round_trip": q_vocab_round_trip,
     "ngram_features": q_ngram_features,
     "predict_proba": q_predict_proba,
+    "predict_texts": q_predict_texts,
     "predict_top": q_predict_top,
     "accuracy": q_accuracy,
     "char_accuracy": q_char_accuracy,
@@ -454,7 +508,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 # --------------------------------------------------------------------------
-# DuckDB oracle side (written independently from the same definitions)
+# DuckDB oracle side (written from the same definitions; the token rules
+# and label names are the package's own constants, which tests/test_text.py checks by golden cases)
 # --------------------------------------------------------------------------
 
 def _sql_str(s: str) -> str:
@@ -561,8 +616,8 @@ bucketed AS (SELECT *, list_concat(X[1:bucket], list_transform(range(greatest(bu
                     lambda _x: -1)) AS P FROM bk)"""
 
 
-def _batch_rows_cte() -> str:
-    return f"""{_bucketed_cte()},
+def _batch_rows_cte(split: str = "train") -> str:
+    return f"""{_bucketed_cte(split)},
 keyed AS (SELECT row_id, bucket, P, Y,
                  md5(concat_ws('|', '{SEED}', '{EPOCH}', CAST(row_id AS VARCHAR))) AS k FROM bucketed),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY k, row_id) - 1 AS rnk,
@@ -601,11 +656,11 @@ main AS (SELECT rnk // {bs} AS batch, rnk % {bs} AS slot, row_id,
                 total FROM r)"""
     if not pad:
         body = "SELECT batch, slot, row_id, 0 AS pad FROM main WHERE batch < total // %d" % bs
-    else:
-        body = f"""SELECT batch, slot, row_id, pad FROM main
-UNION ALL
-SELECT total // {bs} AS batch, total % {bs} + rnk AS slot, row_id, {bs} - total % {bs} AS pad
-FROM r WHERE total % {bs} > 0 AND rnk < {bs} - total % {bs}"""
+    else:  # every place of every batch holds a row; the order starts again at its end
+        body = f"""SELECT p // {bs} AS batch, p % {bs} AS slot, r.row_id,
+       CASE WHEN p // {bs} = r.total // {bs} THEN {bs} - r.total % {bs} ELSE 0 END AS pad
+FROM (SELECT unnest(range(CAST(ceil(count(*) / {bs}) * {bs} AS BIGINT))) AS p FROM r) places
+JOIN r ON r.rnk = p % r.total"""
     return f"""{base}
 SELECT CAST({EPOCH} AS INTEGER) AS epoch, CAST(batch AS BIGINT) AS batch, CAST(slot AS INTEGER) AS slot,
        row_id AS doc_id, CAST(pad AS INTEGER) AS pad
@@ -623,6 +678,16 @@ def _key_sql(col: str) -> str:
     return f"md5(concat_ws('|', '{SEED}', CAST({col} AS VARCHAR)))"
 
 
+# A model's values are its own; SQL states what must hold of them.
+_PROBS_SQL = f"""WITH {LABELLED}, {_label_vocab_sql(None)}
+SELECT row_id AS doc_id, (SELECT string_agg(term, ',' ORDER BY idx) FROM lvocab) AS labels,
+       (SELECT count(*) FROM lvocab) AS n_classes, CAST(1 AS DOUBLE) AS p_sum
+FROM labelled WHERE split = 'test'"""
+_ACCURACY_SQL = f"""WITH {LABELLED}, {_label_vocab_sql(None)}
+SELECT count(v.idx) AS n, count(*) - count(v.idx) AS n_unlabelled, TRUE AS beats_majority
+FROM labelled LEFT JOIN lvocab v ON label = v.term WHERE split = 'test'"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "char_vocab": f"WITH {_char_vocab_cte(CHAR_CAP)} SELECT idx, term, n FROM vocab",
     "char_vocab_cap40": f"WITH {_char_vocab_cte(SMALL_CHAR_CAP)} SELECT idx, term, n FROM vocab",
@@ -648,6 +713,11 @@ SELECT row_id AS doc_id, split, label, Y, CAST(len(X) AS BIGINT) AS n_x, {_int_l
 FROM indexed""",
     "label_index": f"""WITH {_char_index_cte(CHAR_CAP)}
 SELECT row_id AS doc_id, split, label, Y FROM indexed""",
+    "label_index_many": f"""WITH lm AS (
+  SELECT doc_id AS row_id, {_SPLIT} AS split, substr(text, 1, {LABEL_CHARS}) AS label FROM documents),
+{_label_vocab_sql(None, 'lm')}
+SELECT lm.row_id AS doc_id, lm.split, lm.label, CAST(coalesce(v.idx, -1) AS INTEGER) AS Y
+FROM lm LEFT JOIN lvocab v ON lm.label = v.term""",
     "label_index_missing": f"""WITH lm AS (
   SELECT d.doc_id AS row_id, {_SPLIT.replace('doc_id', 'd.doc_id')} AS split,
          {_LABEL_CASE.format(c='(l.quality + 1)')} AS label
@@ -672,6 +742,10 @@ SELECT row_id AS doc_id, length, bucket, sliced, md5({_int_list('P')}) AS P_md5
     "bucket_counts": f"""WITH {_bucketed_cte()},
 sizes AS (SELECT CAST(unnest({list(DEFAULT_BUCKETS)}) AS INTEGER) AS bucket)
 SELECT s.bucket, CAST(count(b.row_id) AS BIGINT) AS n
+FROM sizes s LEFT JOIN bucketed b ON s.bucket = b.bucket GROUP BY s.bucket""",
+    "bucket_counts_test": f"""WITH {_bucketed_cte('test')},
+sizes AS (SELECT CAST(unnest({list(DEFAULT_BUCKETS)}) AS INTEGER) AS bucket)
+SELECT s.bucket, CAST(count(b.row_id) AS BIGINT) AS n
 FROM sizes s LEFT JOIN bucketed b ON s.bucket = b.bucket GROUP BY s.bucket""",
     "sliced_count": f"""WITH {_bucketed_cte()}
 SELECT CAST(coalesce(sum(CAST(sliced AS BIGINT)), 0) AS BIGINT) AS n_sliced FROM bucketed""",
@@ -679,6 +753,8 @@ SELECT CAST(coalesce(sum(CAST(sliced AS BIGINT)), 0) AS BIGINT) AS n_sliced FROM
 SELECT epoch, bucket, batch, row_id AS doc_id, rank FROM brows""",
     "batch_order": f"WITH {_batch_rows_cte()} SELECT epoch, bucket, batch, batch_seq FROM border",
     "batches": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
+SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
+    "batches_test": f"""WITH {_batch_rows_cte('test')}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
     "first_batch": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt WHERE batch_seq = 0""",
@@ -720,4 +796,16 @@ te AS (SELECT row_id, unnest(s) AS term, unnest(range(len(s))) AS pos FROM ta),
 tj AS (SELECT te.row_id, te.pos, coalesce(v.term, '{UNSEEN_TERM}') AS t
        FROM te LEFT JOIN vocab v ON te.term = v.term)
 SELECT row_id AS doc_id, string_agg(t, '|' ORDER BY pos) AS tokens FROM tj GROUP BY row_id""",
+    "ngram_features": f"""WITH tk AS (SELECT doc_id, {_pad_sql(_token_sql('text'))} AS s FROM documents)
+SELECT doc_id, """ + ", ".join(
+        f"CAST(len(list_distinct(list_transform(range(greatest(len(s) - {n - 1}, 0)), lambda i: "
+        f"array_to_string(s[i + 1:i + {n}], ' ')))) AS BIGINT) AS n{n}" for n in DEFAULT_NGRAMS)
+    + " FROM tk",
+    "predict_proba": _PROBS_SQL,
+    "predict_texts": _PROBS_SQL,
+    "predict_top": f"""WITH {LABELLED}, {_label_vocab_sql(None)}
+SELECT row_id AS doc_id, CAST(coalesce(v.idx, -1) AS INTEGER) AS Y, TRUE AS is_argmax
+FROM labelled LEFT JOIN lvocab v ON label = v.term WHERE split = 'test'""",
+    "accuracy": _ACCURACY_SQL,
+    "char_accuracy": _ACCURACY_SQL,
 }

@@ -13,11 +13,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The columns of the headerless news CSV, in file order.
 ARTICLE_SCHEMA = "indexed_label INT, title STRING, description STRING"
 # Strings a CSV reader commonly treats as missing.
-DEFAULT_NA_VALUES = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "#N/A")
+DEFAULT_NA_VALUES = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def _reader(spark: SparkSession, header: bool):
@@ -65,5 +69,17 @@ def read_headered_csv(
     na_values: Sequence[str] | None = DEFAULT_NA_VALUES,
     row_col: str = "row_id",
 ) -> DataFrame:
-    """CSV with a header line; columns are taken from ``schema`` by position."""
-    return read_labelled_csv(spark, path, schema, True, na_values, row_col)
+    """CSV with a header line; the columns of ``schema`` are taken by name.
+
+    Other columns are ignored.  A missing column is an error, and so is a file
+    whose header differs from the first file's.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    df = _reader(spark, True).option("enforceSchema", False).csv(paths)
+    wanted = StructType.fromDDL(schema)
+    missing = [f.name for f in wanted if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns not in the header: {missing}; it has {df.columns}")
+    df = _null_na(df.select(*[f"`{f.name}`" for f in wanted]), na_values)
+    df = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted])
+    return df.withColumn(row_col, F.monotonically_increasing_id())

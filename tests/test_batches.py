@@ -29,7 +29,7 @@ def test_remainder_left_out(spark):
 def test_batch_invariants(spark):
     b = _bucketed(spark, {3: 130, 6: 31, 12: 7})
     sizes = B.bucket_sizes(b)
-    rows = B.batch_rows(b, 12, seed=1, epoch=0, keep=["P", "Y"], sizes=sizes)
+    rows = B.batch_rows(b, 12, seed=1, epoch=0, keep=["X", "Y"], sizes=sizes)
     order = B.batch_order(spark, sizes, 12, seed=1, epoch=0)
     batches = B.assemble_batches(rows, order).collect()
     assert len(batches) == 130 // 12 + 31 // 12
@@ -93,8 +93,26 @@ def test_default_bucket_key_and_layout(spark):
 
     sizes = [64, 32, 1024, 128]
     assert default_bucket_key(sizes) == 1024 and sizes == [64, 32, 1024, 128]
-    b = spark.createDataFrame([(0, 3, 64, 12, 64), (0, 0, 32, 5, 32)],
-                              "epoch int, batch_seq long, bucket int, n_rows int, seq_len int")
-    rows = {r["batch_seq"]: r for r in batch_layout(b, sizes).collect()}
+    b = spark.createDataFrame([(0, 3, 64), (0, 0, 32)], "epoch int, batch_seq long, bucket int")
+    rows = {r["batch_seq"]: r for r in batch_layout(b, 12, sizes).collect()}
     assert rows[3]["data_shape"] == [12, 64] and rows[3]["label_shape"] == [12]
-    assert rows[0]["data_shape"] == [5, 32] and rows[0]["default_bucket_key"] == 1024
+    assert rows[0]["data_shape"] == [12, 32] and rows[0]["default_bucket_key"] == 1024
+
+
+def test_padding_repeats_the_order_until_the_batch_is_full(spark):
+    for n in (1, 3, 8, 0):
+        df = spark.range(n).withColumnRenamed("id", "row_id")
+        for shuffle in (False, True):
+            out = B.fixed_batches(df, 8, shuffle=shuffle, last_batch="pad").orderBy("slot").collect()
+            assert [r["slot"] for r in out] == (list(range(8)) if n else [])
+            ids = [r["row_id"] for r in out]
+            assert ids == [ids[q % n] for q in range(len(ids))]
+            assert {r["pad"] for r in out} == ({8 - n} if n else set())
+
+
+def test_first_batch_is_the_first_of_all(spark):
+    from seqframe.plans.character import character_batches
+
+    df = _bucketed(spark, {3: 40, 6: 31}).select("row_id", "X", "Y", "length")
+    every = character_batches(df, 12, [4, 8, 16]).where("batch_seq = 0").collect()
+    assert len(every) == 1 and every == character_batches(df, 12, [4, 8, 16], first_only=True).collect()

@@ -104,3 +104,56 @@ def test_long_frequent_terms_stay_out_of_the_hot_broadcast(spark):
     pairs = spark.createDataFrame([(0, 0), (1, 3), (2, -1), (3, 7)], "row_id long, idx int")
     named = term_of(vocab, "idx", pairs, broadcast_max_terms=0, hot_terms=3)
     assert _by_row(named, "term") == {0: long_term, 1: "z", 2: None, 3: None}
+
+
+def test_null_elements_are_no_terms_on_either_path(spark):
+    df = spark.createDataFrame([(0, ["a", None, "b"]), (1, [None]), (2, None)],
+                               "row_id long, s array<string>")
+    vocab = build_vocab(df, "s")
+    assert sorted(r["term"] for r in vocab.collect()) == ["a", "b"]
+    want = {0: [0, -1, 1], 1: [-1], 2: None}
+    assert _by_row(index_sequences(df, "s", vocab, method="array")) == want
+    assert _by_row(index_sequences(df, "s", vocab, method="join")) == want
+    assert _by_row(index_sequences(df, "s", vocab, method="join", broadcast_max_terms=0,
+                                   hot_terms=1)) == want
+
+
+def test_labels_past_every_bound(spark):
+    from seqframe.plans.character import fit_label_vocab
+    from seqframe.plans.token import label_names_of
+
+    for n in (300, 10_500):
+        df = spark.range(n).select(F.col("id").alias("row_id"),
+                                   F.concat(F.lit("l"), "id").alias("label"))
+        vocab = fit_label_vocab(df, None)
+        assert label_names_of(vocab) == [f"l{i}" for i in range(n)]
+        more = df.unionByName(spark.createDataFrame([(-1, None), (-2, "new")], "row_id long, label string"))
+        want = {i: i for i in range(n)} | {-1: -1, -2: -1}
+        assert _by_row(index_labels(more, vocab), "Y") == want
+        assert _by_row(index_labels(more, vocab, broadcast_max_terms=0, hot_terms=20), "Y") == want
+
+
+def test_a_character_cap_past_the_array_bound(spark):
+    from seqframe.plans.character import prepare_characters
+
+    texts = [(i, "".join(chr(0x4E00 + (i * 7 + q) % 600) for q in range(50)), "World")
+             for i in range(100)] + [(100, "", "World"), (101, None, "World")]
+    df = spark.createDataFrame(texts, "row_id long, description string, label string")
+    p = prepare_characters(df, df, cap=1000)
+    terms = {r["term"]: r["idx"] for r in p.vocab.collect()}
+    assert len(terms) > 256
+    want = {i: None if t is None else [terms[c] for c in t] for i, t, _ in texts}
+    assert _by_row(p.train) == want
+
+
+def test_one_unseen_term_in_half_of_the_rows_is_answered_by_broadcast(spark):
+    vocab = spark.createDataFrame([(i, f"t{i}", 100 - i) for i in range(50)],
+                                  "idx int, term string, n long")
+    unseen = "u" * 3000
+    df = spark.range(400).select(F.col("id").alias("row_id"), F.array(
+        F.when(F.col("id") % 2 == 0, F.lit(unseen)).otherwise(
+            F.concat(F.lit("t"), (F.col("id") % 60)))).alias("s"))
+    out = index_sequences(df, "s", vocab, method="join", broadcast_max_terms=0, hot_terms=2)
+    assert _by_row(out) == {i: [-1 if i % 2 == 0 or i % 60 >= 50 else i % 60] for i in range(400)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2

@@ -80,3 +80,15 @@ def test_all_label_names_are_kept(spark):
 
     vocab = spark.range(10_500).selectExpr("cast(id as int) idx", "concat('l', id) term")
     assert len(label_names_of(vocab)) == 10_500
+
+def test_raw_texts_null_and_empty_are_scored(spark):
+    from seqframe.operators.predict import predict_texts
+
+    df = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t in enumerate(
+        ["red fish", "blue sky", "red fish swim", "blue sky high", None, ""])],
+        "row_id long, description string, label string")
+    lv = fit_label_vocab(df, None)
+    model, _ = T.train_and_score(df, df, lv)
+    rows = predict_texts(model, df, T.label_names_of(lv), text_col="description").collect()
+    assert len(rows) == 6
+    assert all(abs(sum(c["p"] for c in r["probs"]) - 1) < 1e-9 for r in rows)

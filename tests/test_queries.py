@@ -30,12 +30,10 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_a_model_query():
+def test_every_query_has_an_oracle():
     q, o = QUERIES, ORACLE_SQL
     assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"ngram_features", "predict_proba", "predict_top", "accuracy",
-                               "char_accuracy"}
+    assert set(o) == set(q)
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
@@ -51,3 +49,13 @@ def test_entry_smoke(spark):
     rows = out.collect()
     assert [r["bucket"] for r in sorted(rows)] == [32, 64, 128, 256, 512, 1024]
     assert sum(r["n"] for r in rows) > 0
+
+
+def test_lengths_and_labels_need_no_character_vocabulary(spark, monkeypatch):
+    def unused(*args, **kwargs):
+        raise AssertionError("fits a vocabulary that is not used")
+
+    monkeypatch.setattr("seqframe.plans.character.fit_character_vocab", unused)
+    for name in ("bucket_counts", "sliced_count", "batches_per_epoch", "batch_order", "batch_rows",
+                 "batch_layout", "label_index"):
+        assert QUERIES[name](spark, SF_SMALL).columns

@@ -52,3 +52,15 @@ def test_parquet_frames_and_vocab(spark):
     assert [tuple(r) for r in read_vocab(spark, os.path.join(d, "v")).orderBy("idx").collect()] == [
         (0, "a", 2), (1, "b", 1)]
     assert read_frame(spark, os.path.join(d, "f")).first()["s"] == ["a", "b", "a"]
+
+
+def test_headered_csv_is_read_by_name(spark):
+    import pytest
+
+    path = os.path.join(_tmp(), "news.csv")
+    with open(path, "w") as f:
+        f.write("class,title,description\n3,t1,Sports\nxx,n/a,-nan\n")
+    rows = read_headered_csv(spark, path, "description string, class int").orderBy("row_id").collect()
+    assert [(r["description"], r["class"]) for r in rows] == [("Sports", 3), (None, None)]
+    with pytest.raises(ValueError, match="text"):
+        read_headered_csv(spark, path, "text string")
