@@ -32,8 +32,8 @@ from seqframe.operators.vocab import (
     literal_vocab,
     small_terms,
 )
-from seqframe.session import materialize
-from seqframe.sources.csv import read_labelled_csv
+from seqframe.session import materialize, scratch_dir
+from seqframe.sources.csv import store_labelled_csv
 from seqframe.sources.sinks import write_frame, write_vocab
 
 # The vocabulary cap of the character path (characters and labels).
@@ -116,8 +116,8 @@ def prepare_characters(train: DataFrame, test: DataFrame, cap: int = CHAR_CAP,
 def preprocess_csv(spark: SparkSession, train_path: str, test_path: str, out_dir: str,
                    cap: int = CHAR_CAP) -> dict[str, str]:
     """CSV -> label names -> fitted vocabularies -> indexed frames, all written as parquet."""
-    train = with_label_names(read_labelled_csv(spark, train_path))
-    test = with_label_names(read_labelled_csv(spark, test_path))
+    train, test = (with_label_names(store_labelled_csv(spark, path, scratch_dir(spark, "csv")))
+                   for path in (train_path, test_path))
     p = prepare_characters(train, test, cap)
     out = out_dir.rstrip("/")
     return {

@@ -332,6 +332,33 @@ def q_csv_round_trip(spark, sf_dir):
     return back.drop("row_id")
 
 
+def _csv_job(spark, sf_dir):
+    """The preprocessing job on headerless CSV files in row order; the title carries the row id."""
+    a = articles(spark, sf_dir)
+    base = scratch_dir(spark, "csvjob")
+    for split in ("train", "test"):
+        rows = a.where(F.col("split") == split).repartitionByRange("row_id").sortWithinPartitions(
+            "row_id").select("indexed_label", F.col("row_id").cast("string").alias("title"),
+                             "description")
+        write_csv(rows, f"{base}/{split}", header=False)
+    return C.preprocess_csv(spark, f"{base}/train", f"{base}/test", f"{base}/out", SMALL_CHAR_CAP)
+
+
+def q_csv_job(spark, sf_dir):
+    out = _csv_job(spark, sf_dir)
+    rows = read_frame(spark, out["train"]).withColumn("split", F.lit("train")).unionByName(
+        read_frame(spark, out["test"]).withColumn("split", F.lit("test")))
+    return rows.select(F.col("title").cast("long").alias("doc_id"), "split", "label", "Y",
+                       F.size("X").cast("long").alias("n_x"), ints_to_string("X").alias("X"))
+
+
+def q_csv_job_vocab(spark, sf_dir):
+    """Both vocabularies of the preprocessing job, read back."""
+    out = _csv_job(spark, sf_dir)
+    return read_vocab(spark, out["char_vocab"]).withColumn("vocab", F.lit("char")).unionByName(
+        read_vocab(spark, out["label_vocab"]).withColumn("vocab", F.lit("label")))
+
+
 def q_parquet_round_trip(spark, sf_dir):
     idx, vocab, _ = _char_prepared(spark, sf_dir, SMALL_CHAR_CAP)
     base = scratch_dir(spark, "parquet")
@@ -493,6 +520,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_exact": q_sample_exact,
     "random_row": q_random_row,
     "csv_round_trip": q_csv_round_trip,
+    "csv_job": q_csv_job,
+    "csv_job_vocab": q_csv_job_vocab,
     "parquet_round_trip": q_parquet_round_trip,
     "vocab_round_trip": q_vocab_round_trip,
     "ngram_features": q_ngram_features,
@@ -780,6 +809,12 @@ SELECT row_id AS doc_id, label, split FROM k, c WHERE rn <= c.n""",
 SELECT row_id AS doc_id, label, description AS text FROM labelled WHERE split = 'test'
 ORDER BY {_key_sql('row_id')}, row_id LIMIT 1""",
     "csv_round_trip": "SELECT doc_id, text, lang FROM documents",
+    "csv_job": f"""WITH {_char_index_cte(SMALL_CHAR_CAP)}
+SELECT row_id AS doc_id, split, label, Y, CAST(len(X) AS BIGINT) AS n_x, {_int_list('X')} AS X
+FROM indexed""",
+    "csv_job_vocab": f"""WITH {_char_index_cte(SMALL_CHAR_CAP)}
+SELECT idx, term, n, 'char' AS vocab FROM vocab
+UNION ALL SELECT idx, term, n, 'label' FROM lvocab""",
     "parquet_round_trip": f"""WITH {_char_index_cte(SMALL_CHAR_CAP)}
 SELECT row_id AS doc_id, Y, {_int_list('X')} AS X FROM indexed""",
     "vocab_round_trip": f"WITH {_char_vocab_cte(CHAR_CAP)} SELECT idx, term, n FROM vocab",

@@ -3,15 +3,15 @@
 ``multiLine`` keeps newlines inside quoted fields; a doubled quote is a quote.
 A multi-line CSV file is read by one task, so large inputs should arrive as
 many files.  Row ids come from ``monotonically_increasing_id`` right after the
-scan: unique and increasing within each file.  Write the result to parquet
-once (``seqframe.sources.sinks.write_frame``) so later jobs see stable ids.
+scan: unique and increasing within each file.  ``store_labelled_csv`` writes the
+rows once and numbers them in file order, so later jobs see stable ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,14 +54,40 @@ def read_labelled_csv(
     header: bool = False,
     na_values: Sequence[str] | None = DEFAULT_NA_VALUES,
     row_col: str = "row_id",
+    file_col: str | None = None,
 ) -> DataFrame:
-    """Headerless (default) or headered CSV with an explicit schema, plus a row id."""
+    """Headerless (default) or headered CSV with an explicit schema, plus a row id.
+
+    ``file_col`` adds the path of a row's file.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     df = _reader(spark, header).schema(schema).csv(paths)
-    df = _null_na(df, na_values)
+    if file_col:
+        df = df.select("*", F.col("_metadata.file_path").alias(file_col))
+    df = _null_na(df, na_values, skip=(file_col,))
     return df.withColumn(row_col, F.monotonically_increasing_id())
 
 
+def store_labelled_csv(
+    spark: SparkSession, path: str | Sequence[str], out: str, schema: str = ARTICLE_SCHEMA,
+    na_values: Sequence[str] | None = DEFAULT_NA_VALUES, row_col: str = "row_id",
+) -> DataFrame:
+    """Headerless CSV read once and written to ``out`` as parquet, read back with row ids
+    0, 1, ... by file name, then position in the file.
+
+    One task reads a file, so ids of a file's rows follow one another from its
+    smallest; only one row per file is numbered by a window, and no text is shuffled.
+    """
+    df = read_labelled_csv(spark, path, schema, na_values=na_values, row_col=row_col, file_col="_file")
+    df.write.parquet(out)
+    raw = spark.read.parquet(out)
+    files = raw.groupBy("_file").agg(F.min(row_col).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
+    return raw.join(files, "_file").withColumn(
+        row_col, F.col(row_col) - F.col("_first") + F.col("_off")).drop("_file", "_first", "_off")
+
+
 def read_headered_csv(
     spark: SparkSession,
     path: str | Sequence[str],

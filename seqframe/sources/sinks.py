@@ -18,8 +18,8 @@ def write_vocab(vocab: DataFrame, path: str, mode: str = "errorifexists") -> str
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """CSV with a header and no index column; nested columns become JSON text.
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> str:
+    """CSV, with a header by default, and no index column; nested columns become JSON text.
 
     The folder is created by the writer.  Quotes are doubled, matching the
     reader's options, so text with quotes, commas and newlines reads back equal.
@@ -33,10 +33,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     (
         df.select(*cols)
         .write.mode(mode)
-        .option("header", True)
+        .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     return path

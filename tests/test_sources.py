@@ -64,3 +64,17 @@ def test_headered_csv_is_read_by_name(spark):
     assert [(r["description"], r["class"]) for r in rows] == [("Sports", 3), (None, None)]
     with pytest.raises(ValueError, match="text"):
         read_headered_csv(spark, path, "text string")
+
+
+def test_stored_csv_rows_are_numbered_in_file_order(spark):
+    from seqframe.sources.csv import store_labelled_csv
+
+    d = _tmp()
+    os.makedirs(os.path.join(d, "in"))
+    for name, rows in (("a.csv", ["a0"]), ("b.csv", [f"b{i}" for i in range(50)]), ("c.csv", ["c0", "c1"])):
+        with open(os.path.join(d, "in", name), "w") as f:
+            f.writelines(f'{1 + i % 4},"{r}","  two\nlines "\n' for i, r in enumerate(rows))
+    df = store_labelled_csv(spark, os.path.join(d, "in"), os.path.join(d, "out"))
+    got = [(r["row_id"], r["title"]) for r in df.orderBy("row_id").collect()]
+    assert got == list(enumerate(["a0"] + [f"b{i}" for i in range(50)] + ["c0", "c1"]))
+    assert {r["description"] for r in df.collect()} == {"  two\nlines "}
