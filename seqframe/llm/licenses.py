@@ -1,9 +1,9 @@
 """License scan: ordered signature rules over word-normalised texts.
 
 A text is lower-cased (A-Z) and reduced to its words joined by single spaces, so
-rules are plain regular expressions over words.  A rule runs only on texts that
-hold its keyword, and no rule runs on a text without any license stem.  Every
-match becomes a detection ``(first word, last word, tier, rule)``.  Rules are
+rules are plain regular expressions over words.  A rule runs only on texts with a word
+that begins like one of its keywords; every match of its pattern holds one, so nothing is
+lost by that.  Every match becomes a detection ``(first word, last word, tier, rule)``.  Rules are
 ordered by tier, then by position in the table.  A detection whose interval lies inside
 that of a detection of the same or a higher tier is suppressed, so "licensed under the
 apache license version 2 0" is reported once, as ``apache-2.0``, and the plain
@@ -33,15 +33,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE_PHRASES = [("mit license", "mit"), ("apache license", "apache"),
                 ("general public license", "gpl")]
 
-#: Texts without any of these stems are not scanned; every rule's pattern needs one of them.
-STEMS = ["licens", "licenc", "spdx", "copyright", "public domain", "copyleft", "unlicense"]
-
 #: Confidence of a detection by tier.
 TIERS = {0: 1.0, 1: 0.95, 2: 0.9, 3: 0.6, 4: 0.3}
 
-DETECTIONS = "array<struct<first:int,neg_last:int,tier:int,id:int,label:string,base:boolean>>"
-
-# Families: label, keyword, name pattern, versions ("" for none).  Names are over words.
+# Families: label, keywords (by "|"), name pattern, versions ("" for none).  Names are over words.
+# Every match of a name begins a word with one of its keywords.
+CC = "cc by|creative commons attribution"
 FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("apache", "apache", r"apache(?: software)?(?: foundation)?", ["1.0", "1.1", "2.0"]),
     ("gpl", "general public", r"(?:gnu )?general public", ["1.0", "2.0", "3.0"]),
@@ -56,7 +53,7 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("afl", "academic", r"academic free", ["2.1", "3.0"]),
     ("artistic", "artistic", r"artistic", ["1.0", "2.0"]),
     ("boost", "boost", r"boost software", ["1.0"]),
-    ("bsd-2-clause", "bsd", r"(?:bsd (?:2|two) clause|simplified bsd|freebsd)", [""]),
+    ("bsd-2-clause", "bsd|freebsd", r"(?:bsd (?:2|two) clause|simplified bsd|freebsd)", [""]),
     ("bsd-3-clause", "bsd", r"(?:bsd (?:3|three) clause|new bsd|revised bsd|modified bsd)", [""]),
     ("bsd-4-clause", "bsd", r"(?:bsd (?:4|four) clause|original bsd|old bsd)", [""]),
     ("bsd", "bsd", r"bsd", [""]),
@@ -66,7 +63,7 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("isc", "isc", r"isc", [""]),
     ("zlib", "zlib", r"zlib(?: libpng)?", [""]),
     ("unlicense", "unlicense", r"unlicense", [""]),
-    ("wtfpl", "wtf", r"do what the fuck you want to public", ["2.0"]),
+    ("wtfpl", "do what the fuck", r"do what the fuck you want to public", ["2.0"]),
     ("ms-pl", "microsoft", r"microsoft public", [""]),
     ("ms-rl", "microsoft", r"microsoft reciprocal", [""]),
     ("python", "python", r"python(?: software foundation)?", ["2.0"]),
@@ -76,14 +73,14 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("openssl", "openssl", r"openssl", [""]),
     ("sil-ofl", "sil", r"sil open font", ["1.0", "1.1"]),
     ("odbl", "database", r"open (?:data commons open )?database", ["1.0"]),
-    ("cc-by", "cc", r"(?:cc by|creative commons attribution)", ["2.0", "3.0", "4.0"]),
-    ("cc-by-sa", "cc", r"(?:cc by sa|creative commons attribution share ?alike)", ["2.0", "3.0", "4.0"]),
-    ("cc-by-nd", "cc", r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)", ["3.0", "4.0"]),
-    ("cc-by-nc", "cc", r"(?:cc by nc|creative commons attribution non ?commercial)",
+    ("cc-by", CC, r"(?:cc by|creative commons attribution)", ["2.0", "3.0", "4.0"]),
+    ("cc-by-sa", CC, r"(?:cc by sa|creative commons attribution share ?alike)", ["2.0", "3.0", "4.0"]),
+    ("cc-by-nd", CC, r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)", ["3.0", "4.0"]),
+    ("cc-by-nc", CC, r"(?:cc by nc|creative commons attribution non ?commercial)",
      ["2.0", "3.0", "4.0"]),
-    ("cc-by-nc-sa", "cc", r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)",
+    ("cc-by-nc-sa", CC, r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)",
      ["3.0", "4.0"]),
-    ("cc-by-nc-nd", "cc", r"(?:cc by nc nd|creative commons attribution non ?commercial no ?derivs)",
+    ("cc-by-nc-nd", CC, r"(?:cc by nc nd|creative commons attribution non ?commercial no ?derivs)",
      ["3.0", "4.0"]),
     ("cc0", "cc0", r"cc0", ["1.0"]),
 ]
@@ -102,10 +99,15 @@ FORMS: list[tuple[int, str]] = [
 class Rule:
     tier: int
     label: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
     base: bool = False
 
+    @property
+    def keyword(self) -> str:
+        """The text that all matches hold; empty if they hold one of several."""
+        return self.keywords[0] if len(self.keywords) == 1 else ""
+
 
 def _named(name: str, version: str, form: int) -> str:
     """Pattern of a family's name and version; a bare name must say "license"."""
@@ -122,26 +124,31 @@ def _named(name: str, version: str, form: int) -> str:
 def build_rules() -> list[Rule]:
     """The rule table: families x versions x wordings, then generic notices, then base phrases."""
     rules = []
-    for label, keyword, name, versions in FAMILIES:
+    for label, keywords, name, versions in FAMILIES:
         for version in [*(v for v in versions if v), ""]:
             full = f"{label}-{version}" if version else label
             for form, (tier, wording) in enumerate(FORMS):
                 # An unversioned name is less specific than a versioned one.
                 at = tier if version or not any(versions) else max(tier, 2)
-                rules.append(Rule(at, full, keyword, wording.format(n=_named(name, version, form))))
+                rules.append(Rule(at, full, tuple(keywords.split("|")),
+                                  wording.format(n=_named(name, version, form))))
     rules += [
-        Rule(3, "public-domain", "public domain", r"(?:in|into|to) the public domain"),
-        Rule(3, "all-rights-reserved", "copyright", r"copyright(?: [^ ]+){0,8}? all rights reserved"),
-        Rule(3, "proprietary", "licens", rf"proprietary {_LICENSE}|commercial {_LICENSE}"),
-        Rule(3, "eula", "licens", rf"end user {_LICENSE} agreement"),
-        Rule(4, "copyright", "copyright", r"copyright (?:c )?(?:19|20)\d\d"),
-        Rule(4, "unknown-license", "licens", r"licensed (?:under|for|to)"),
-        Rule(4, "unknown-license", "licen", rf"{_LICENSE}s?"),
+        Rule(3, "public-domain", ("public domain",), r"(?:in|into|to) the public domain"),
+        Rule(3, "all-rights-reserved", ("copyright",),
+             r"copyright(?: [^ ]+){0,8}? all rights reserved"),
+        Rule(3, "proprietary", ("proprietary", "commercial"),
+             rf"proprietary {_LICENSE}|commercial {_LICENSE}"),
+        Rule(3, "eula", ("end user",), rf"end user {_LICENSE} agreement"),
+        Rule(4, "copyright", ("copyright",), r"copyright (?:c )?(?:19|20)\d\d"),
+        Rule(4, "unknown-license", ("licensed",), r"licensed (?:under|for|to)"),
+        Rule(4, "unknown-license", ("licens", "licenc"), rf"{_LICENSE}s?"),
     ]
-    return rules + [Rule(2, label, phrase, phrase, True) for phrase, label in BASE_PHRASES]
+    return rules + [Rule(2, label, (phrase,), phrase, True) for phrase, label in BASE_PHRASES]
 
 
 RULES = build_rules()
+#: All keywords; a text without any of them has no detection.
+STEMS = sorted({k for r in RULES for k in r.keywords})
 
 
 def _bounded(pattern: str) -> str:
@@ -149,11 +156,16 @@ def _bounded(pattern: str) -> str:
 
 
 def _rule_array() -> Column:
+    """The rules by their keywords, so that a keyword is sought once for all its rules."""
+    by_keys: dict[tuple[str, ...], list[Column]] = {}
+    for i, r in enumerate(RULES):
+        by_keys.setdefault(r.keywords, []).append(F.struct(
+            F.lit(i).alias("id"), F.lit(r.tier).alias("tier"), F.lit(r.label).alias("label"),
+            F.lit(_bounded(r.pattern)).alias("pattern"), F.lit(r.base).alias("base")))
     return F.array(*[
-        F.struct(F.lit(i).alias("id"), F.lit(r.tier).alias("tier"), F.lit(r.label).alias("label"),
-                 F.lit(r.keyword).alias("keyword"), F.lit(_bounded(r.pattern)).alias("pattern"),
-                 F.lit(r.base).alias("base"))
-        for i, r in enumerate(RULES)])
+        F.struct(F.array(*[F.lit(f" {k}") for k in keys]).alias("keywords"),
+                 F.array(*rules).alias("rules"))
+        for keys, rules in by_keys.items()])
 
 
 def _matches(n: Column, r: Column) -> Column:
@@ -170,12 +182,13 @@ def _matches(n: Column, r: Column) -> Column:
 
 def detections(n: Column) -> Column:
     """Sorted detections of a normalised text; bind ``n`` first, it is used often."""
-    any_stem = F.lit(False)
-    for s in STEMS:
-        any_stem = any_stem | F.contains(n, F.lit(s))
-    keyed = F.filter(_rule_array(), lambda r: F.contains(n, r["keyword"]))
-    found = F.array_sort(F.flatten(F.transform(keyed, lambda r: _matches(n, r))))
-    return F.when(any_stem, found).otherwise(F.array().cast(DETECTIONS))
+    def of_padded(padded):  # keywords begin a word
+        groups = F.filter(_rule_array(), lambda g: F.exists(
+            g["keywords"], lambda k: F.contains(padded, k)))
+        rules = F.flatten(F.transform(groups, lambda g: g["rules"]))
+        return F.array_sort(F.flatten(F.transform(rules, lambda r: _matches(n, r))))
+
+    return _let(F.concat(F.lit(" "), n), of_padded)
 
 
 def _kept(dets: Column) -> Column:
