@@ -5,8 +5,7 @@ normalised lines (ASCII lower case, digits as 0, white space collapsed) as 64-bi
 with their words.  Spark then counts, for every host (``source``) and line, the
 distinct documents holding it; exact copies of a text within a host count once, so a
 line is frequent because many different documents carry it.  A line is over the limit when more
-than ``max(MIN_DOCS, SHARE * documents of the host)`` documents have it.  Such lines are removed;
-a document left with fewer than ``MIN_WORDS`` words, or with less than ``MIN_LEFT`` of its
+than ``MIN_DOCS`` documents have it, whatever the size of the host.  Such lines are removed; a document left with fewer than ``MIN_WORDS`` words, or with less than ``MIN_LEFT`` of its
 words, is depleted and rejected.
 
 The counting is a grouped sum with map-side combine, and a line shared by a third of a
@@ -35,7 +34,6 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 MIN_DOCS = 20
-SHARE = 0.10
 MIN_LEFT = 0.3
 BROADCAST_LINES = 500_000
 
@@ -135,21 +133,18 @@ def measure(docs: DataFrame) -> DataFrame:
     return materialize(rows.mapInArrow(_measure, _spark_schema(_MEASURED)))
 
 
-def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """``_sk, _h, n_docs`` of the lines over their host's limit."""
+def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``_sk, _h, n_docs`` of the lines over the limit on their host."""
     lines = measured.select("_sk", "_t", F.explode("lines").alias("_h"))
     counts = lines.groupBy("_sk", "_h").agg(F.count_distinct("_t").alias("n_docs"))
-    hosts = measured.groupBy("_sk").agg(F.count_distinct("_t").alias("_docs"))
-    return (
-        counts.where(F.col("n_docs") > min_docs).join(hosts, "_sk")
-        .where(F.col("n_docs") > F.col("_docs") * share).select("_sk", "_h", "n_docs"))
+    return counts.where(F.col("n_docs") > min_docs)
 
 
-def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def judge(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """All figures, ``base_failed``, ``n_removed_words``, ``removed`` (line hashes), ``kept`` and
     the row digest ``_k``; one row per document row."""
     measured = measure(docs)
-    frequent = materialize(frequent_lines(measured, min_docs, share))
+    frequent = materialize(frequent_lines(measured, min_docs))
     hot = F.broadcast(frequent) if frequent.count() <= BROADCAST_LINES else frequent
     zipped = F.explode(F.arrays_zip(F.col("lines").alias("h"), F.col("line_words").alias("w")))
     cut = (
