@@ -36,63 +36,92 @@ BASE_PHRASES = [("mit license", "mit"), ("apache license", "apache"),
 #: Confidence of a detection by tier.
 TIERS = {0: 1.0, 1: 0.95, 2: 0.9, 3: 0.6, 4: 0.3}
 
-# Families: label, keywords (by "|"), name pattern, versions ("" for none).  Names are over words.
-# Every match of a name begins a word with one of its keywords.
 CC = "cc by|creative commons attribution"
-FAMILIES: list[tuple[str, str, str, list[str]]] = [
-    ("apache", "apache", r"apache(?: software)?(?: foundation)?", ["1.0", "1.1", "2.0"]),
-    ("gpl", "general public", r"(?:gnu )?general public", ["1.0", "2.0", "3.0"]),
-    ("lgpl", "general public", r"(?:gnu )?(?:lesser|library) general public", ["2.0", "2.1", "3.0"]),
-    ("agpl", "general public", r"(?:gnu )?affero general public", ["1.0", "3.0"]),
-    ("gfdl", "documentation", r"(?:gnu )?free documentation", ["1.1", "1.2", "1.3"]),
-    ("mpl", "mozilla", r"mozilla public", ["1.0", "1.1", "2.0"]),
-    ("epl", "eclipse", r"eclipse public", ["1.0", "2.0"]),
-    ("cddl", "distribution", r"common development and distribution", ["1.0", "1.1"]),
-    ("eupl", "european", r"european union public", ["1.1", "1.2"]),
-    ("osl", "open software", r"open software", ["1.0", "2.0", "3.0"]),
-    ("afl", "academic", r"academic free", ["2.1", "3.0"]),
-    ("artistic", "artistic", r"artistic", ["1.0", "2.0"]),
-    ("boost", "boost", r"boost software", ["1.0"]),
-    ("bsd-2-clause", "bsd|freebsd", r"(?:bsd (?:2|two) clause|simplified bsd|freebsd)", [""]),
-    ("bsd-3-clause", "bsd", r"(?:bsd (?:3|three) clause|new bsd|revised bsd|modified bsd)", [""]),
-    ("bsd-4-clause", "bsd", r"(?:bsd (?:4|four) clause|original bsd|old bsd)", [""]),
-    ("bsd", "bsd", r"bsd", [""]),
-    ("mit", "mit", r"(?:the )?mit", [""]),
-    ("expat", "expat", r"expat", [""]),
-    ("x11", "x11", r"x11", [""]),
-    ("isc", "isc", r"isc", [""]),
-    ("zlib", "zlib", r"zlib(?: libpng)?", [""]),
-    ("unlicense", "unlicense", r"unlicense", [""]),
-    ("wtfpl", "do what the fuck", r"do what the fuck you want to public", ["2.0"]),
-    ("ms-pl", "microsoft", r"microsoft public", [""]),
-    ("ms-rl", "microsoft", r"microsoft reciprocal", [""]),
-    ("python", "python", r"python(?: software foundation)?", ["2.0"]),
-    ("php", "php", r"php", ["3.0", "3.01"]),
-    ("ruby", "ruby", r"ruby", [""]),
-    ("postgresql", "postgresql", r"postgresql", [""]),
-    ("openssl", "openssl", r"openssl", [""]),
-    ("sil-ofl", "sil", r"sil open font", ["1.0", "1.1"]),
-    ("odbl", "database", r"open (?:data commons open )?database", ["1.0"]),
-    ("cc-by", CC, r"(?:cc by|creative commons attribution)", ["2.0", "3.0", "4.0"]),
-    ("cc-by-sa", CC, r"(?:cc by sa|creative commons attribution share ?alike)", ["2.0", "3.0", "4.0"]),
-    ("cc-by-nd", CC, r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)", ["3.0", "4.0"]),
-    ("cc-by-nc", CC, r"(?:cc by nc|creative commons attribution non ?commercial)",
-     ["2.0", "3.0", "4.0"]),
-    ("cc-by-nc-sa", CC, r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)",
-     ["3.0", "4.0"]),
-    ("cc-by-nc-nd", CC, r"(?:cc by nc nd|creative commons attribution non ?commercial no ?derivs)",
-     ["3.0", "4.0"]),
-    ("cc0", "cc0", r"cc0", ["1.0"]),
+
+
+@dataclass(frozen=True)
+class Family:
+    """A license in its versions; names are patterns over words.
+
+    Every match of a name, short name or identifier begins a word with one of ``keywords`` (by "|").
+    ``short`` names a license with a version and no "license"; ``alone`` without a version too.
+    ``spdx`` is the identifier, empty if there is none beside the name.
+    """
+
+    label: str
+    keywords: str
+    name: str
+    versions: tuple[str, ...] = ()
+    spdx: str = ""
+    short: str = ""
+    alone: bool = False
+
+
+_BY = r"(?:cc by|creative commons attribution)"
+_NC, _SA, _ND = r"non ?commercial", r"share ?alike", r"no ?deriv(?:ative)?s"
+_GPL = "general public"
+FAMILIES: list[Family] = [
+    Family("apache", "apache", r"apache(?: software)?(?: foundation)?", ("1.0", "1.1", "2.0"), "apache"),
+    Family("gpl", "general public|gpl", rf"(?:gnu )?{_GPL}", ("1.0", "2.0", "3.0"), "gpl",
+           r"(?:gnu )?gpl", True),
+    Family("lgpl", "lesser general public|library general public|lgpl",
+           rf"(?:gnu )?(?:lesser|library) {_GPL}", ("2.0", "2.1", "3.0"), "lgpl", r"(?:gnu )?lgpl", True),
+    Family("agpl", "affero general public|agpl", rf"(?:gnu )?affero {_GPL}", ("1.0", "3.0"), "agpl",
+           r"(?:gnu )?agpl", True),
+    Family("gfdl", "free documentation|gfdl|fdl", r"(?:gnu )?free documentation", ("1.1", "1.2", "1.3"),
+           "gfdl", r"(?:gfdl|gnu fdl)", True),
+    Family("mpl", "mozilla|mpl", r"mozilla public", ("1.0", "1.1", "2.0"), "mpl", "mpl"),
+    Family("epl", "eclipse|epl", r"eclipse public", ("1.0", "2.0"), "epl", "epl"),
+    Family("cddl", "distribution|cddl", r"common development and distribution", ("1.0", "1.1"), "cddl",
+           "cddl", True),
+    Family("eupl", "european|eupl", r"european union public", ("1.1", "1.2"), "eupl", "eupl", True),
+    Family("osl", "open software|osl", r"open software", ("1.0", "2.0", "3.0"), "osl", "osl"),
+    Family("afl", "academic|afl", r"academic free", ("2.1", "3.0"), "afl", "afl"),
+    Family("artistic", "artistic", r"artistic", ("1.0", "2.0"), "artistic"),
+    Family("boost", "boost|bsl", r"boost(?: software)?", ("1.0",), "bsl", "bsl"),
+    Family("bsd-2-clause", "bsd|freebsd",
+           r"(?:bsd (?:2|two) clause|(?:2|two) clause bsd|simplified bsd|freebsd)", (), "bsd 2 clause"),
+    Family("bsd-3-clause", "bsd",
+           r"(?:bsd (?:3|three) clause|(?:3|three) clause bsd|(?:new|revised|modified) bsd)", (),
+           "bsd 3 clause"),
+    Family("bsd-4-clause", "bsd",
+           r"(?:bsd (?:4|four) clause|(?:4|four) clause bsd|(?:original|old) bsd)", (), "bsd 4 clause"),
+    Family("bsd", "bsd", r"bsd"),
+    Family("mit", "mit", r"(?:the )?mit", (), "mit"),
+    Family("expat", "expat", r"expat"),
+    Family("x11", "x11", r"x11", (), "x11"),
+    Family("isc", "isc", r"isc", (), "isc"),
+    Family("zlib", "zlib", r"zlib(?: libpng)?", (), "zlib"),
+    Family("unlicense", "unlicense", r"unlicense", (), "unlicense", "unlicense", True),
+    Family("wtfpl", "do what the fuck|wtfpl", r"do what the fuck you want to public", ("2.0",), "wtfpl",
+           "wtfpl", True),
+    Family("ms-pl", "microsoft|ms pl", r"microsoft public", (), "ms pl", "ms pl", True),
+    Family("ms-rl", "microsoft|ms rl", r"microsoft reciprocal", (), "ms rl", "ms rl", True),
+    Family("python", "python|psf", r"(?:python(?: software foundation)?|psf)", ("2.0",), "(?:python|psf)"),
+    Family("php", "php", r"php", ("3.0", "3.01"), "php"),
+    Family("ruby", "ruby", r"ruby", (), "ruby"),
+    Family("postgresql", "postgresql", r"postgresql", (), "postgresql"),
+    Family("openssl", "openssl", r"openssl", (), "openssl"),
+    Family("sil-ofl", "open font|ofl", r"(?:sil )?open font", ("1.0", "1.1"), "ofl", r"(?:sil )?ofl"),
+    Family("odbl", "database|odbl", r"open (?:data commons open )?database", ("1.0",), "odbl", "odbl", True),
+    Family("cc-by", CC, _BY, ("2.0", "3.0", "4.0"), "cc by", _BY, True),
+    Family("cc-by-sa", CC, f"{_BY} (?:sa|{_SA})", ("2.0", "3.0", "4.0"), "cc by sa",
+           f"{_BY} (?:sa|{_SA})", True),
+    Family("cc-by-nd", CC, f"{_BY} (?:nd|{_ND})", ("3.0", "4.0"), "cc by nd", f"{_BY} (?:nd|{_ND})", True),
+    Family("cc-by-nc", CC, f"{_BY} (?:nc|{_NC})", ("2.0", "3.0", "4.0"), "cc by nc",
+           f"{_BY} (?:nc|{_NC})", True),
+    Family("cc-by-nc-sa", CC, f"{_BY} (?:nc sa|{_NC} {_SA})", ("3.0", "4.0"), "cc by nc sa",
+           f"{_BY} (?:nc sa|{_NC} {_SA})", True),
+    Family("cc-by-nc-nd", CC, f"{_BY} (?:nc nd|{_NC} {_ND})", ("3.0", "4.0"), "cc by nc nd",
+           f"{_BY} (?:nc nd|{_NC} {_ND})", True),
+    Family("cc0", "cc0|creative commons zero", r"(?:cc0|creative commons zero)", ("1.0",), "cc0",
+           r"(?:cc0|creative commons zero)", True),
 ]
 
-# Wordings around a name, with the tier they belong to; {n} is the name and its version.
 _LICENSE = r"licen[sc]e"
 _GRANT = r"(?:licensed|released|distributed|provided|available|published)"
-FORMS: list[tuple[int, str]] = [
-    (0, rf"spdx {_LICENSE} identifier {{n}}"),
-    (1, rf"{_GRANT} under (?:the )?(?:terms of (?:the )?)?{{n}}"),
-    (2, r"{n}"),
-]
+_PORT = r"(?: (?:international|unported|universal|generic))?"
+_FSF = r"(?: as published by the free software foundation(?: inc)?(?: either)?)?"
 
 
 @dataclass(frozen=True)
@@ -109,29 +138,45 @@ class Rule:
         return self.keywords[0] if len(self.keywords) == 1 else ""
 
 
-def _named(name: str, version: str, form: int) -> str:
-    """Pattern of a family's name and version; a bare name must say "license"."""
-    words = version.replace(".", " ").removesuffix(" 0") if version else ""
-    tail = rf" {words}(?: 0)*" if words else ""
-    ver = rf"(?:(?: version| v)?{tail})" if words else ""
-    if form == 0:  # identifiers may leave out the word license
-        return rf"{name}(?: {_LICENSE})?{ver}"
-    if form == 1:
-        return rf"(?:a |an )?{name}(?: {_LICENSE}(?! \d))?{ver}(?: {_LICENSE})?"
-    return rf"(?:{name} {_LICENSE}{ver}|{name}{ver} {_LICENSE})"
+def _wordings(f: Family, version: str) -> list[tuple[int, str]]:
+    """Tier and pattern of a family's identifier, of grants under its name, and of mentions."""
+    words = version.replace(".", " ").removesuffix(" 0")
+    number = rf"{words}(?: 0)*"
+    after = rf" (?:version |ver |v ?)?{number}(?: of the {_LICENSE})?" if version else ""
+    # A number or its v may be joined to a short name: "gplv3", "lgpl2 1".
+    joined = rf"(?: (?:version |ver |v ?)?|v ?)?{number}" if version else ""
+    aside = rf"(?: {f.short})?" if f.short else ""
+    full = rf"{f.name} {_LICENSE}{aside}{_FSF if version else ''}{after}"
+    granted = [full, rf"{f.name}{after}(?:{_PORT} {_LICENSE})?"]
+    named = [full, rf"{f.name}{after}{_PORT} {_LICENSE}"]
+    if version:
+        named.append(rf"version {number} of the {f.name} {_LICENSE}")
+    if f.short:
+        granted.append(rf"{f.short}(?: {_LICENSE})?{joined}(?: {_LICENSE})?")
+        if version:
+            named.append(rf"{f.short}(?: {_LICENSE})?{joined}(?: {_LICENSE})?")
+            named.append(rf"version {number} of the {f.short}")
+        else:
+            named.append(rf"{f.short} {_LICENSE}")
+    identifier = rf"{f.name}(?: {_LICENSE})?{after}" + (rf"|{f.spdx}{joined}" if f.spdx else "")
+    out = [(0, rf"spdx {_LICENSE} identifier (?:{identifier})"),
+           (1, rf"{_GRANT} under (?:the )?(?:terms of (?:the )?)?(?:a |an )?(?:{'|'.join(granted)})"),
+           (2, rf"(?:{'|'.join(named)})")]
+    if f.alone and not version:
+        out.append((3, f.short))
+    return out
 
 
 def build_rules() -> list[Rule]:
     """The rule table: families x versions x wordings, then generic notices, then base phrases."""
     rules = []
-    for label, keywords, name, versions in FAMILIES:
-        for version in [*(v for v in versions if v), ""]:
-            full = f"{label}-{version}" if version else label
-            for form, (tier, wording) in enumerate(FORMS):
+    for f in FAMILIES:
+        for version in [*f.versions, ""]:
+            for tier, pattern in _wordings(f, version):
                 # An unversioned name is less specific than a versioned one.
-                at = tier if version or not any(versions) else max(tier, 2)
-                rules.append(Rule(at, full, tuple(keywords.split("|")),
-                                  wording.format(n=_named(name, version, form))))
+                at = tier if version or not f.versions else max(tier, 2)
+                label = f"{f.label}-{version}" if version else f.label
+                rules.append(Rule(at, label, tuple(f.keywords.split("|")), pattern))
     rules += [
         Rule(3, "public-domain", ("public domain",), r"(?:in|into|to) the public domain"),
         Rule(3, "all-rights-reserved", ("copyright",),

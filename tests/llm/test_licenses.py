@@ -67,3 +67,70 @@ def test_wordings_without_the_label_in_them(docs):
     }
     for label, r in zip(want.values(), scanned(docs, list(want)), strict=True):
         assert label in r["labels"].split(","), (label, r["labels"])
+
+
+NOTICES = {
+    "apache-2.0": ["Licensed under the Apache License v2.0", "SPDX-License-Identifier: Apache-2.0"],
+    "gpl-3.0": ["licensed under the GPLv3", "GNU GPL version 3", "GNU General Public License v3.0",
+                "the GNU General Public License as published by the Free Software Foundation, either "
+                "version 3 of the License, or (at your option) any later version", "GPL v3+", "GPL-3.0-only"],
+    "gpl-2.0": ["SPDX-License-Identifier: GPL-2.0-only", "version 2 of the GNU General Public License"],
+    "gpl": ["released under the GPL", "GPL licence"],
+    "lgpl-2.1": ["SPDX-License-Identifier: LGPL-2.1", "LGPLv2.1+", "GNU Lesser General Public License (LGPL) v2.1"],
+    "lgpl": ["see the LGPL", "licensed under the LGPL"],
+    "agpl-3.0": ["SPDX-License-Identifier: AGPL-3.0-or-later", "the GNU AGPLv3"],
+    "gfdl-1.3": ["SPDX-License-Identifier: GFDL-1.3-only", "GNU Free Documentation License, Version 1.3"],
+    "mpl-2.0": ["SPDX-License-Identifier: MPL-2.0", "the terms of the Mozilla Public License, v. 2.0"],
+    "epl-2.0": ["SPDX-License-Identifier: EPL-2.0", "under the terms of the Eclipse Public License v2.0"],
+    "cddl-1.0": ["SPDX-License-Identifier: CDDL-1.0",
+                 "Common Development and Distribution License (CDDL) Version 1.0"],
+    "eupl-1.2": ["SPDX-License-Identifier: EUPL-1.2", "Licensed under the EUPL, Version 1.2 or later"],
+    "osl-3.0": ["SPDX-License-Identifier: OSL-3.0", "Licensed under the Open Software License version 3.0"],
+    "afl-3.0": ["SPDX-License-Identifier: AFL-3.0", "Licensed under the Academic Free License version 3.0"],
+    "artistic-2.0": ["SPDX-License-Identifier: Artistic-2.0", "the Artistic License 2.0"],
+    "boost-1.0": ["SPDX-License-Identifier: BSL-1.0",
+                  "Distributed under the Boost Software License, Version 1.0."],
+    "bsd-2-clause": ["SPDX-License-Identifier: BSD-2-Clause", "the 2-clause BSD license"],
+    "bsd-3-clause": ["SPDX-License-Identifier: BSD-3-Clause", "the 3-Clause BSD License"],
+    "bsd-4-clause": ["SPDX-License-Identifier: BSD-4-Clause", "the original BSD license"],
+    "bsd": ["released under the BSD license"],
+    "mit": ["SPDX-License-Identifier: MIT", "Released under the MIT License"],
+    "expat": ["the Expat license"],
+    "x11": ["SPDX-License-Identifier: X11", "the X11 License"],
+    "isc": ["SPDX-License-Identifier: ISC", "the ISC license"],
+    "zlib": ["SPDX-License-Identifier: Zlib", "the zlib/libpng license"],
+    "unlicense": ["SPDX-License-Identifier: Unlicense", "released under the Unlicense"],
+    "wtfpl-2.0": ["WTFPLv2", "Do What The Fuck You Want To Public License, Version 2"],
+    "wtfpl": ["SPDX-License-Identifier: WTFPL"],
+    "ms-pl": ["SPDX-License-Identifier: MS-PL", "Microsoft Public License (Ms-PL)"],
+    "ms-rl": ["SPDX-License-Identifier: MS-RL", "the Microsoft Reciprocal License"],
+    "python-2.0": ["SPDX-License-Identifier: Python-2.0", "PSF License Version 2"],
+    "php-3.01": ["SPDX-License-Identifier: PHP-3.01", "subject to version 3.01 of the PHP license"],
+    "ruby": ["SPDX-License-Identifier: Ruby", "the Ruby License"],
+    "postgresql": ["SPDX-License-Identifier: PostgreSQL", "the PostgreSQL Licence"],
+    "openssl": ["SPDX-License-Identifier: OpenSSL", "the OpenSSL License"],
+    "sil-ofl-1.1": ["SPDX-License-Identifier: OFL-1.1", "under the SIL Open Font License, Version 1.1."],
+    "odbl-1.0": ["SPDX-License-Identifier: ODbL-1.0", "Open Database License (ODbL) v1.0"],
+    "cc-by-4.0": ["SPDX-License-Identifier: CC-BY-4.0", "CC BY 4.0"],
+    "cc-by-sa-4.0": ["SPDX-License-Identifier: CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0"],
+    "cc-by-nd-4.0": ["SPDX-License-Identifier: CC-BY-ND-4.0", "CC BY-ND 4.0"],
+    "cc-by-nc-4.0": ["SPDX-License-Identifier: CC-BY-NC-4.0", "CC BY-NC 4.0"],
+    "cc-by-nc-sa-4.0": ["SPDX-License-Identifier: CC-BY-NC-SA-4.0", "CC BY-NC-SA 4.0"],
+    "cc-by-nc-nd-4.0": ["SPDX-License-Identifier: CC-BY-NC-ND-4.0",
+                        "a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"],
+    "cc0-1.0": ["SPDX-License-Identifier: CC0-1.0", "CC0 1.0 Universal"],
+}
+
+
+def test_notices_of_every_family(docs):
+    cases = [(label, t) for label, texts in NOTICES.items() for t in texts]
+    for (label, t), r in zip(cases, scanned(docs, [t for _, t in cases]), strict=True):
+        # The base labels are always there; nothing else may be beside the license.
+        assert set(r["labels"].split(",")) - set(r["base_labels"].split(",")) | {label} == {label}, (
+            t, r["labels"])
+        assert label in r["labels"].split(","), (t, r["labels"])
+        if t.startswith("SPDX"):
+            assert r["score"] == (1.0 if label != "wtfpl" else 0.9), t
+    assert {f.label for f in licenses.FAMILIES} == {
+        f.label for f in licenses.FAMILIES for k in NOTICES
+        if k == f.label or k in [f"{f.label}-{v}" for v in f.versions]}
