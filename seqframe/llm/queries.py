@@ -9,6 +9,7 @@ from seqframe.llm import (
     licenses,
     mixing,
     neardup,
+    pii,
     quality,
     sharding,
     suffixdedup,
@@ -17,7 +18,7 @@ from seqframe.llm import (
 )
 
 MODULES = [knnquality, licenses, quality, neardup, urlfilters, mixing, decontam, warc, sharding,
-           suffixdedup]
+           suffixdedup, pii]
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 QUERIES["pipeline"] = corpus_pipeline.run
