@@ -7,6 +7,7 @@ from seqframe.llm import (
     decontam,
     knnquality,
     licenses,
+    manifest,
     mixing,
     neardup,
     pii,
@@ -18,7 +19,7 @@ from seqframe.llm import (
 )
 
 MODULES = [knnquality, licenses, quality, neardup, urlfilters, mixing, decontam, warc, sharding,
-           suffixdedup, pii]
+           suffixdedup, manifest, pii]
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 QUERIES["pipeline"] = corpus_pipeline.run
