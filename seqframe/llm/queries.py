@@ -15,11 +15,12 @@ from seqframe.llm import (
     sharding,
     suffixdedup,
     urlfilters,
+    variants,
     warc,
 )
 
 MODULES = [knnquality, licenses, quality, neardup, urlfilters, mixing, decontam, warc, sharding,
-           suffixdedup, manifest, pii]
+           suffixdedup, manifest, pii, variants]
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 QUERIES["pipeline"] = corpus_pipeline.run
