@@ -10,11 +10,15 @@ along some alignment, a window of ``min(WINDOW, item length)`` words agrees in a
 
 The benchmark is the small side: it is read in blocks of at most ``BLOCK_BYTES`` of
 text, each block indexed and broadcast, and every document meets every block.  The documents are
-not shuffled: a long benchmark means more passes, not a larger broadcast.  Words outside
+not shuffled: a long benchmark means more passes, not a larger broadcast; between passes the rows are
+written, so that a task holds one block's index.  Words outside
 the block's vocabulary have id 0 and are never looked up.
 
-Items shorter than a mask's span are matched whole, by a mask of their own length; items without
-words match nothing.  Null and empty texts are clean.  Repeated rows give repeated results,
+No allowed substitution escapes the masks: for every length of a whole item or window, each set of
+substituted words that verification accepts and no placement of a fixed mask avoids gets a mask of
+its own, one that ignores just these words (``short_masks``; only lengths of 5, 6, 7 and 10 words have any).
+Items too short for any substitution are matched whole; items without words match nothing.
+Items without an id are items of their own, reported with a null ``item_id``.  Null and empty texts are clean.  Repeated rows give repeated results,
 empty tables are fine, extra columns are ignored unless named in ``carry``.
 """
 
@@ -22,14 +26,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, fields
-from itertools import repeat
+from functools import cache
+from itertools import combinations, repeat
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqframe.llm.common import DOCUMENT_COLUMNS, read
+from seqframe.llm.common import DOCUMENT_COLUMNS, read, store
 
 # Fixed masks: 1 is a word that must agree, 0 one that is ignored.
 MASKS = ["111011", "1101011", "10110011"]
@@ -47,6 +53,23 @@ _MULTIPLIERS = (np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64
 _LONGEST = max(map(len, MASKS))
 
 
+@cache
+def short_masks(n: int) -> tuple[str, ...]:
+    """Masks of ``n`` words for items of ``n`` words: they ignore just the substitutions that verification
+    accepts and the fixed masks do not."""
+    spared = [frozenset(s + k for k, c in enumerate(m) if c == "1")
+              for m in MASKS for s in range(n - len(m) + 1)]
+    most = n - ceil(SIMILARITY * n)
+    lost = [frozenset(x) for k in range(most + 1) for x in combinations(range(n), k)
+            if not any(s.isdisjoint(x) for s in spared)]
+    # A mask that ignores more words serves every smaller set.
+    lost = [x for x in lost if not any(x < y for y in lost)]
+    return tuple("".join("01"[k not in x] for k in range(n)) for x in lost)
+
+
+SHORT = range(1, WINDOW + 1)
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
@@ -56,7 +79,7 @@ class Index:
     """One block of the benchmark: word ids, item texts as ids, and hashes per mask."""
 
     vocabulary: dict[bytes, int]
-    item_ids: np.ndarray
+    item_ids: list[int | None]
     starts: np.ndarray  # start of each item in `ids`, plus the end
     ids: np.ndarray
     tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # mask offsets, sorted hashes, positions
@@ -70,7 +93,7 @@ def _hash(ids: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
-def build_index(items: list[tuple[int, str | None]]) -> Index:
+def build_index(items: list[tuple[int | None, str | None]]) -> Index:
     vocabulary: dict[bytes, int] = {}
     texts = [words_of((t or "").encode()) for _, t in items]
     ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for t in texts for w in t],
@@ -78,10 +101,10 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
     starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     lengths = np.diff(starts)
     masks = {m: lengths >= len(m) for m in MASKS}
-    for n in range(1, _LONGEST):  # items too short for a mask: matched whole
-        if ((lengths == n) & (n < _LONGEST)).any():
-            key = "1" * n
-            masks[key] = masks.get(key, False) | (lengths == n)
+    for n in SHORT:
+        if (lengths == n).any():
+            for mask in short_masks(n):
+                masks[mask] = masks.get(mask, False) | (lengths == n)
     tables = []
     for mask, holds in masks.items():
         offsets = np.flatnonzero([c == "1" for c in mask])
@@ -91,7 +114,7 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
         h = _hash(ids, at, offsets)
         order = np.argsort(h, kind="stable")
         tables.append((offsets, h[order], at[order]))
-    return Index(vocabulary, np.array([i for i, _ in items], np.int64), starts, ids, tables)
+    return Index(vocabulary, [i for i, _ in items], starts, ids, tables)
 
 
 def _alignments(index: Index, ids: np.ndarray) -> np.ndarray:
@@ -102,8 +125,8 @@ def _alignments(index: Index, ids: np.ndarray) -> np.ndarray:
         if n <= 0 or not len(hashes):
             continue
         known = ids > 0
-        ok = known[:n].copy()
-        for o in offsets[1:]:
+        ok = np.ones(n, bool)
+        for o in offsets:
             ok &= known[o:n + o]
         at = np.flatnonzero(ok)
         h = _hash(ids, at, offsets)
@@ -146,7 +169,7 @@ def _judge_chunk(index: Index, docs: list[list[bytes]]) -> list[tuple | None]:
     ids = np.array(flat, np.int64)
     at = np.array(starts, np.int64)
     out: list[tuple | None] = [None] * len(docs)
-    hits: dict[int, dict[int, tuple]] = {}
+    hits: dict[int, dict[tuple[bool, int], tuple]] = {}
     pairs = _alignments(index, ids)
     # A document's number: of the hit, not of the alignment, which may begin before it.
     for shift, item in pairs.tolist():
@@ -157,14 +180,15 @@ def _judge_chunk(index: Index, docs: list[list[bytes]]) -> list[tuple | None]:
                 break
             lo = starts[d]
             if got := _verify(index, ids[lo:lo + len(docs[d])], shift - lo, item):
-                key = int(index.item_ids[item])
+                name = index.item_ids[item]
+                key = (name is None, item if name is None else name)
                 mine = hits.setdefault(d, {})
                 new = (got[0] / n, got[1], got[2])
                 if key not in mine or new > mine[key]:
                     mine[key] = new
     for d, mine in hits.items():
-        item, best = max(mine.items(), key=lambda x: (x[1][0], -x[0]))
-        out[d] = (len(mine), item, *best)
+        (unnamed, item), best = max(mine.items(), key=lambda x: (x[1][0], not x[0][0], -x[0][1]))
+        out[d] = (len(mine), None if unnamed else item, *best)
     return out
 
 
@@ -183,17 +207,19 @@ def _judge(index: Index, texts: list[bytes | None]) -> list[tuple | None]:
     return out + _judge_chunk(index, chunk)
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """Blocks of the benchmark, each of about BLOCK_BYTES at most."""
-    items = benchmark.select("item_id", "text").where("item_id is not null")
+def _blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """Blocks of the benchmark, each of about ``block_bytes`` at most; rows of one id stay together."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-2 * size // BLOCK_BYTES))  # half full on average, so uneven blocks stay below
-    for b in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b)
-        yield [(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()]
+    n = max(1, -(-2 * size // block_bytes))  # half full on average, so uneven blocks stay below
+    if n == 1:
+        return [items]
+    key = F.when(F.col("item_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("item_id"))
+    return [items.where(F.pmod(key, F.lit(n)) == b) for b in range(n)]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, carry: Sequence[str] = (),
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, contaminated, n_items, item_id, overlap, first_word, last_word`` and ``carry``.
 
     ``item_id`` is the item with the largest share of words that agree (the smallest such id).
@@ -203,12 +229,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, carry: Sequence[str] = ())
                      F.col("text").cast("binary").alias("_text"))
     kinds = {"n_items": "long", "item_id": "long", "overlap": "double",
              "first_word": "long", "last_word": "long"}
-    for items in _blocks(benchmark):
+    blocks = _blocks(benchmark, block_bytes)
+    for left, block in enumerate(blocks, 1 - len(blocks)):
+        items = [(r[0], r[1]) for r in block.orderBy("item_id", "text").collect()]
         index = docs.sparkSession.sparkContext.broadcast(_plain(build_index(items)))
         have = set(kinds) <= set(df.columns)
         kept = df.columns if have else [*df.columns, *kinds]
         types = dict(df.dtypes) | kinds
         df = df.mapInArrow(_pass(index, have), ", ".join(f"`{c}` {types[c]}" for c in kept))
+        if left:  # not the last: the next pass must not run in the same tasks
+            df = store(df, "leaks")
     return df.select(
         F.col("_c0").alias("doc_id"), (F.col("n_items") > 0).alias("contaminated"), *kinds,
         *[F.col(f"_c{i}").alias(c) for i, c in enumerate(cols) if i])
@@ -240,7 +270,7 @@ def _pass(block, have: bool):
 
 def _better(a: tuple, b: tuple) -> tuple:
     """Verdicts of two blocks: items add up, the best item stays."""
-    best = max((a, b), key=lambda g: (g[2] if g[0] else -1.0, -(g[1] or 0)))
+    best = max((a, b), key=lambda g: (g[2] if g[0] else -1.0, g[1] is not None, -(g[1] or 0)))
     return (a[0] + b[0], *best[1:])
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -216,8 +217,8 @@ def test_repeated_words(words):
 
 # ----------------------------------------------------------------- neardup
 
-def brute_components(rows):
-    sets = [neardup.shingles(neardup.words_of((t or "").encode())) for _, t in rows]
+def brute_components(rows, shingle=5):
+    sets = [neardup.shingles(neardup.words_of((t or "").encode()), shingle) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -237,7 +238,8 @@ def brute_components(rows):
     return [(len(s), low.get(find(i))) for i, s in enumerate(sets)]
 
 
-def test_near_duplicates_match_all_pairs(docs):
+@pytest.mark.parametrize("shingle", [4, 5])
+def test_near_duplicates_match_all_pairs(docs, shingle):
     rng = random.Random(5)
     rows, n = [], 0
     common = prose(rng, 60).split()
@@ -260,13 +262,13 @@ def test_near_duplicates_match_all_pairs(docs):
     rows += [(n + i, r[1]) for i, r in enumerate(edge_rows()) if r[0] != 8]
     rows += [(n + 50, rows[0][1].upper()), (n + 51, "a b c"), (n + 52, "A  B c"), (None, rows[0][1])]
     out = {}
-    for r in neardup.near_duplicates(docs(rows, extra=True)).collect():
+    for r in neardup.near_duplicates(docs(rows, extra=True), shingle).collect():
         out.setdefault(r["doc_id"], []).append(r)
-    for (d, _), (size, comp) in zip(rows, brute_components(rows), strict=True):
+    for (d, _), (size, comp) in zip(rows, brute_components(rows, shingle), strict=True):
         r = out[d][0]
         assert (r["n_shingles"], r["component_id"]) == (size, comp), d
         assert r["kept"] == (d == comp)
-    kept = neardup.filter_documents(docs(rows)).count()
+    kept = neardup.filter_documents(docs(rows), shingle).count()
     assert kept == sum(r["kept"] for rs in out.values() for r in rs)
     assert neardup.near_duplicates(docs([])).count() == 0
 
@@ -288,7 +290,7 @@ def brute_leak(text, items):
     return hits
 
 
-def test_leaks_match_brute_force(spark, docs, monkeypatch):
+def test_leaks_match_brute_force(spark, docs):
     rng = random.Random(6)
     items = [(i, prose(rng, rng.choice([3, 6, 14, 30, 45]))) for i in range(20)]
     items += [(30, None), (31, "")]
@@ -304,8 +306,7 @@ def test_leaks_match_brute_force(spark, docs, monkeypatch):
     for d, t in rows:
         hits = brute_leak(t, items)
         assert whole[d]["contaminated"] == bool(hits) and whole[d]["n_items"] == len(hits), d
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", 2000)  # several blocks give the same verdicts
-    parts = by_id(decontam.find_leaks(docs(rows), bench))
+    parts = by_id(decontam.find_leaks(docs(rows), bench, block_bytes=2000))  # several blocks, same verdicts
     assert all(parts[d] == whole[d] for d, _ in rows)
     left = decontam.filter_documents(docs(rows), bench)
     assert left.count() == sum(not r["contaminated"] for r in whole.values())
@@ -313,6 +314,34 @@ def test_leaks_match_brute_force(spark, docs, monkeypatch):
     assert not any(r["contaminated"] for r in decontam.find_leaks(docs(rows), bench.limit(0)).collect())
 
 
+@pytest.mark.parametrize("n", range(1, 16))
+def test_no_allowed_substitution_is_lost(n):
+    """Every set of up to three substituted words: found exactly when verification accepts it."""
+    item = [f"w{k}" for k in range(n)]
+    index = decontam.build_index([(1, " ".join(item))])
+    for size in range(min(3, n) + 1):
+        for gone in itertools.combinations(range(n), size):
+            text = "other words " + " ".join("x" if k in gone else w for k, w in enumerate(item)) + " end"
+            want = bool(brute_leak(text, [(1, " ".join(item))]))
+            assert bool(decontam._judge(index, [text.encode()])[0]) == want, gone
+
+
+def test_items_without_an_id(spark, docs):
+    rng = random.Random(8)
+    texts = [prose(rng, 30) for _ in range(6)]
+    bench = spark.createDataFrame(
+        [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[3])],
+        "item_id long, text string")
+    rows = [(0, texts[0]), (0, texts[0]), (1, f"{texts[0]} and {texts[1]}"), (2, f"{texts[2]} {texts[3]}"),
+            (3, texts[4]), (None, texts[1]), (4, f"{texts[0]} {texts[3]}")]
+    want = [(0, 1, None), (0, 1, None), (1, 2, None), (2, 2, 7), (3, 0, None), (None, 1, None), (4, 3, 7)]
+    for size in (decontam.BLOCK_BYTES, 200):
+        got = decontam.find_leaks(docs(rows), bench, block_bytes=size).collect()
+        assert sorted(((r["doc_id"], r["n_items"], r["item_id"]) for r in got if r["doc_id"] is not None),
+                      key=str) == sorted((w for w in want if w[0] is not None), key=str)
+        assert [(r["n_items"], r["item_id"]) for r in got if r["doc_id"] is None] == [(1, None)]
+
+
 # --------------------------------------------------------------- suffixes
 
 def test_repeated_spans_match_brute_force(docs):
