@@ -168,10 +168,12 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Drop a row's removed lines from its text."""
     for batch in batches:
         at, gone = batch.schema.get_field_index("text"), batch.column("_removed").to_pylist()
-        texts = [
-            t if t is None or not r else
-            "\n".join(x for x in t.split("\n") if line_hash(x.encode()) not in set(r))
-            for t, r in zip(batch.column(at).to_pylist(), gone, strict=True)]
+        texts = []
+        for t, r in zip(batch.column(at).to_pylist(), gone, strict=True):
+            if t is not None and r:
+                r = set(r)
+                t = "\n".join(x for x in t.split("\n") if line_hash(x.encode()) not in r)
+            texts.append(t)
         out = batch.set_column(at, "text", pa.array(texts, pa.string()))
         yield out.drop_columns(["_removed"])
 

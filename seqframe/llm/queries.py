@@ -1,8 +1,7 @@
-"""The registered training-data queries and their DuckDB oracles."""
+"""The registered training-data queries and their DuckDB oracles (the pipeline's are in corpus_pipeline)."""
 
 from __future__ import annotations
 
-import corpus_pipeline
 from seqframe.llm import (
     decontam,
     knnquality,
@@ -23,8 +22,5 @@ MODULES = [knnquality, licenses, quality, neardup, urlfilters, mixing, decontam,
            suffixdedup, manifest, pii, variants]
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
-QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
