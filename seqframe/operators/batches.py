@@ -93,20 +93,29 @@ def batch_order(
     The batches are generated by a distributed ``spark.range`` from the bucket
     sizes, so the ranked rows are not read again.
     """
+    return epoch_orders(spark, sizes, batch_size, [epoch], seed, bucket_col)
+
+
+def epoch_orders(spark: SparkSession, sizes: dict[int, int], batch_size: int, epochs: Sequence[int],
+                 seed: int = 42, bucket_col: str = "bucket") -> DataFrame:
+    """The batch orders of several epochs, generated and ranked (within each epoch) in one plan."""
     full = {b: n // batch_size for b, n in sorted(sizes.items()) if n // batch_size > 0}
     starts, total = {}, 0
     for b, nb in full.items():
         starts[b] = total
         total += nb
-    ids = spark.range(total)
+    every = F.array(*[F.lit(e) for e in epochs]).cast("array<int>")
+    ids = spark.range(total * len(epochs)).select(
+        F.element_at(every, F.expr(f"cast(id div {max(total, 1)} + 1 as int)")).alias("epoch"),
+        F.pmod(F.col("id"), F.lit(max(total, 1))).alias("id"))
     g = F.col("id")
     bucket = None
     for b in full:
         end = starts[b] + full[b]
         bucket = F.when(g < end, F.lit(b)) if bucket is None else bucket.when(g < end, F.lit(b))
     bucket = (bucket.otherwise(F.lit(None)) if bucket is not None else F.lit(None)).cast("int")
-    batches = ids.select(bucket.alias(bucket_col), g.alias("_g")).select(
-        F.lit(epoch).cast("int").alias("epoch"),
+    batches = ids.select("epoch", bucket.alias(bucket_col), g.alias("_g")).select(
+        "epoch",
         bucket_col,
         (F.col("_g") - _bucket_case(F.col(bucket_col), starts)).cast("long").alias("batch"),
     )
@@ -115,11 +124,39 @@ def batch_order(
         F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"),
                           F.col(bucket_col).cast("string"), F.col("batch").cast("string"))),
     )
-    ranked = rank_within(keyed, "_bkey", (), out="batch_seq", tiebreak=[bucket_col, "batch"],
+    ranked = rank_within(keyed, "_bkey", ["epoch"], out="batch_seq", tiebreak=[bucket_col, "batch"],
                          salt_chars=salt_chars_for(total))
     return ranked.select("epoch", bucket_col, "batch", F.col("batch_seq").cast("long"))
 
 
+def epoch_rows(df: DataFrame, batch_size: int, epochs: Sequence[int], seed: int = 42,
+               bucket_col: str = "bucket", row_col: str = "row_id", sizes: dict[int, int] | None = None,
+               left_out: bool = False) -> DataFrame:
+    """``(epoch, bucket, batch, row_id, rank)`` of several epochs in one plan.
+
+    Ids and buckets are read once and repeated by epoch, then ranked within (epoch, bucket) by the key
+    that ``batch_rows`` uses, so an epoch's rows equal those of ``batch_rows`` for it.  With
+    ``left_out``, the rows that fill no whole batch in their epoch instead (``batch`` is null).
+    """
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    if sizes is None:
+        sizes = bucket_sizes(df, bucket_col)
+    every = F.array(*[F.lit(e) for e in epochs]).cast("array<int>")
+    frame = df.select(row_col, bucket_col, F.explode(every).alias("epoch")).withColumn(
+        "_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"),
+                                  F.col(row_col).cast("string"))))
+    ranked = rank_within(frame, "_key", ["epoch", bucket_col], out="rank", tiebreak=[row_col],
+                         salt_chars=salt_chars_for(max(sizes.values(), default=0)))
+    kept = _bucket_case(F.col(bucket_col), {b: (n // batch_size) * batch_size for b, n in sizes.items()})
+    whole = F.col("rank") < kept
+    batch = F.floor(F.col("rank") / F.lit(batch_size)).cast("long")
+    return ranked.where(~whole if left_out else whole).select(
+        "epoch", F.col(bucket_col).cast("int").alias(bucket_col),
+        (F.lit(None).cast("long") if left_out else batch).alias("batch"), row_col,
+        F.col("rank").cast("long").alias("rank"))
+
+
 def assemble_batches(
     rows: DataFrame,
     order: DataFrame | None = None,

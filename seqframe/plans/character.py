@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 
 from seqframe.functions.labels import with_label_names
 from seqframe.functions.text import DEFAULT_BUCKETS, chars
-from seqframe.operators.batches import assemble_batches, batch_order, batch_rows, bucket_sizes
+from seqframe.operators.batches import (
+    assemble_batches,
+    batch_order,
+    batch_rows,
+    bucket_sizes,
+    epoch_orders,
+    epoch_rows,
+)
 from seqframe.operators.buckets import bucket_lengths
 from seqframe.operators.index import (
     ARRAY_MAX_TERMS,
@@ -151,6 +158,18 @@ def character_batches(indexed: DataFrame, batch_size: int = 12,
                             row_col=row_col)
 
 
+def character_epochs(indexed: DataFrame, epochs: Sequence[int], batch_size: int = 12,
+                     buckets: Sequence[int] = DEFAULT_BUCKETS, seed: int = 42,
+                     row_col: str = "row_id") -> DataFrame:
+    """The batches of several epochs, as ``character_batches`` gives them one by one: the table is read
+    once for ids and lengths and once for ``X`` and ``Y``, however many the epochs."""
+    narrow = materialize(bucket_lengths(indexed.select(row_col, "length"), buckets).select(row_col, "bucket"))
+    sizes = bucket_sizes(narrow)
+    rows = epoch_rows(narrow, batch_size, epochs, seed, row_col=row_col, sizes=sizes)
+    order = epoch_orders(indexed.sparkSession, sizes, batch_size, epochs, seed)
+    return assemble_batches(rows.join(indexed.select(row_col, "X", "Y"), row_col), order, row_col=row_col)
+
+
 def _index_strings(df: DataFrame, row_col: str, x_col: str = "X") -> DataFrame:
     """``(row_col, Y, S)``: the character indices as strings, [] for a null text."""
     s = F.coalesce(F.transform(x_col, lambda x: x.cast("string")), F.array().cast("array<string>"))
@@ -172,6 +191,7 @@ __all__ = [
     "CHAR_NGRAMS",
     "Prepared",
     "character_batches",
+    "character_epochs",
     "fit_character_vocab",
     "fit_label_vocab",
     "index_characters",

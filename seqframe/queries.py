@@ -33,6 +33,8 @@ from seqframe.operators.buckets import assign_buckets, bucket_counts, bucket_len
 from seqframe.operators.evaluate import accuracy
 from seqframe.operators.features import DEFAULT_NGRAMS, ngram_featurizer
 from seqframe.operators.index import index_labels
+from seqframe.operators import linear as L
+from seqframe.operators.ngrams import gram_dictionary, gram_indices, gram_rows, index_grams
 from seqframe.operators.numbering import dense_index
 from seqframe.operators.predict import predict_texts
 from seqframe.operators.sample import exact_sample, first_rows, random_row
@@ -60,6 +62,11 @@ BATCH = 12
 TOKEN_BATCH = 120
 SEED = 42
 EPOCH = 0
+EPOCHS = [0, 1, 2]
+GRAM_MIN_DF = 2
+STEPS = 3
+RATE = 4.0
+L2 = 0.001
 SAMPLE_FRACTION = 0.005
 UNSEEN_TERM = "<unseen>"  # cannot be a token: the first rule removes "<" and ">"
 
@@ -270,6 +277,25 @@ def q_batches_test(spark, sf_dir):
     return _batch_report(_batches(spark, sf_dir, "test"))
 
 
+def _indexed_split(spark, sf_dir, split="train"):
+    idx, _, _ = _char_prepared(spark, sf_dir, SMALL_CHAR_CAP)
+    rows = idx.where(F.col("split") == split).select("row_id", "X", "Y", "length")
+    return read_frame(spark, write_frame(rows, scratch_dir(spark, "indexed")))
+
+
+def q_batches_epochs(spark, sf_dir):
+    """Batches of several epochs from one plan."""
+    return _batch_report(C.character_epochs(_indexed_split(spark, sf_dir), EPOCHS, BATCH, DEFAULT_BUCKETS,
+                                            SEED))
+
+
+def q_left_out_rows(spark, sf_dir):
+    """Rows that fill no whole batch, per epoch: others in each."""
+    b = materialize(_lengths(spark, sf_dir).select("row_id", "bucket"))
+    r = B.epoch_rows(b, BATCH, EPOCHS, SEED, left_out=True)
+    return r.select("epoch", "bucket", F.col("row_id").alias("doc_id"), "rank")
+
+
 def q_batch_layout(spark, sf_dir):
     lay = B.batch_layout(_order(spark, sf_dir), BATCH, DEFAULT_BUCKETS)
     return lay.select("epoch", "batch_seq", "bucket",
@@ -451,6 +477,49 @@ def q_char_accuracy(spark, sf_dir):
     return _accuracy_report(pred)
 
 
+def _grams(spark, sf_dir):
+    """Tokenized rows, their n-grams as dictionary numbers, the dictionary and the label vocabulary."""
+    t = T.tokenized(_labelled(spark, sf_dir))
+    train = t.where(F.col("split") == "train")
+    label_vocab = C.fit_label_vocab(train, None)
+    rows = gram_rows(t)
+    dictionary = materialize(gram_dictionary(gram_rows(train), GRAM_MIN_DF))
+    return index_labels(t, label_vocab, "label", "Y"), index_grams(rows, dictionary), dictionary, label_vocab
+
+
+def q_ngram_dictionary(spark, sf_dir):
+    return _grams(spark, sf_dir)[2]
+
+
+def q_ngram_index(spark, sf_dir):
+    """Every text's n-grams by dictionary number, per length; texts without a known one are left out."""
+    indexed = gram_indices(_grams(spark, sf_dir)[1], ["row_id", "n"])
+    return indexed.select(F.col("row_id").alias("doc_id"), "n", F.size("indices").alias("n_known"),
+                          ints_to_string("indices").alias("indices"))
+
+
+def q_predict_weights(spark, sf_dir):
+    """All rows scored with given weights (from an md5 of class and n-gram) by join and aggregation."""
+    rows, indexed, dictionary, label_vocab = _grams(spark, sf_dir)
+    classes = F.array(*[F.lit(i) for i in range(label_vocab.count())])
+    weights = dictionary.select(F.col("idx").alias("term"), "n", "gram", F.explode(classes).alias("cls"))
+    weights = weights.select("term", "cls", (F.conv(F.substring(F.md5(F.concat_ws(
+        "|", F.col("cls").cast("string"), F.col("n").cast("string"), "gram")), 1, 3), 16, 10).cast("double")
+        / 1024 - 2).alias("w"))
+    bias = label_vocab.select(F.col("idx").alias("cls"), (F.col("idx") * 0.25).cast("double").alias("w"))
+    found = L.predict(rows, indexed.withColumnRenamed("idx", "term"), weights, bias)
+    return found.select(F.col("row_id").alias("doc_id"), "prediction", F.explode("probs").alias("_p")).select(
+        "doc_id", "prediction", "_p.cls", F.round("_p.p", 9).alias("p"))
+
+
+def q_accuracy_steps(spark, sf_dir):
+    """Rows and hits of both splits after each training step, from no weights on."""
+    rows, indexed, _, label_vocab = _grams(spark, sf_dir)
+    features = materialize(indexed.select("row_id", F.col("idx").alias("term")))
+    return L.train_steps(materialize(rows.select("row_id", "split", "Y")), features, label_vocab.count(), STEPS,
+                         scratch_dir(spark, "steps"), RATE, L2)
+
+
 def _turns(spark, sf_dir):
     """Conversation turns as a second labelled text source (label = role).
 
@@ -511,6 +580,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batches": q_batches,
     "batches_test": q_batches_test,
     "first_batch": q_first_batch,
+    "batches_epochs": q_batches_epochs,
+    "left_out_rows": q_left_out_rows,
     "batch_layout": q_batch_layout,
     "batches_per_epoch": q_batches_per_epoch,
     "fixed_batches_train": q_fixed_batches_train,
@@ -525,6 +596,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_round_trip": q_parquet_round_trip,
     "vocab_round_trip": q_vocab_round_trip,
     "ngram_features": q_ngram_features,
+    "ngram_dictionary": q_ngram_dictionary,
+    "ngram_index": q_ngram_index,
+    "predict_weights": q_predict_weights,
+    "accuracy_steps": q_accuracy_steps,
     "predict_proba": q_predict_proba,
     "predict_texts": q_predict_texts,
     "predict_top": q_predict_top,
@@ -707,6 +782,73 @@ def _key_sql(col: str) -> str:
     return f"md5(concat_ws('|', '{SEED}', CAST({col} AS VARCHAR)))"
 
 
+def _epochs_cte(split: str = "train") -> str:
+    """Ranks and batch orders of all ``EPOCHS`` at once (names as in ``_batch_rows_cte``)."""
+    return f"""{_bucketed_cte(split)},
+keyed AS (SELECT row_id, bucket, P, Y, epoch,
+                 md5(concat_ws('|', '{SEED}', CAST(epoch AS VARCHAR), CAST(row_id AS VARCHAR))) AS k
+          FROM bucketed, (SELECT unnest({EPOCHS}) AS epoch)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY epoch, bucket ORDER BY k, row_id) - 1 AS rnk,
+                  count(*) OVER (PARTITION BY epoch, bucket) AS bn FROM keyed),
+brows AS (SELECT CAST(epoch AS INTEGER) AS epoch, bucket, CAST(rnk // {BATCH} AS BIGINT) AS batch, row_id,
+                 CAST(rnk AS BIGINT) AS rank, P, Y FROM ranked WHERE rnk // {BATCH} < bn // {BATCH}),
+border AS (SELECT epoch, bucket, batch,
+                  CAST(row_number() OVER (PARTITION BY epoch ORDER BY md5(concat_ws('|', '{SEED}',
+                       CAST(epoch AS VARCHAR), CAST(bucket AS VARCHAR), CAST(batch AS VARCHAR))), bucket, batch)
+                  - 1 AS BIGINT) AS batch_seq
+           FROM (SELECT DISTINCT epoch, bucket, batch FROM brows))"""
+
+
+def _grams_cte() -> str:
+    """n-grams of every row (``gr``), the dictionary of the train rows (``dict``), known ones (``ft``)."""
+    each = " UNION ALL ".join(
+        f"SELECT row_id, split, {n} AS n, unnest(list_distinct(list_transform("
+        f"range(greatest(len(s) - {n - 1}, 0)), lambda i: array_to_string(s[i + 1:i + {n}], ' ')))) AS gram FROM tk"
+        for n in DEFAULT_NGRAMS)
+    return f"""{LABELLED}, {_label_vocab_sql(None)},
+tk AS MATERIALIZED (SELECT row_id, split, {_pad_sql(_token_sql('description'))} AS s FROM labelled),
+gr AS MATERIALIZED ({each}),
+dict AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY n, df DESC, gram) - 1 AS idx, n, gram, df
+  FROM (SELECT n, gram, count(*) AS df FROM gr WHERE split = 'train'
+        GROUP BY n, gram HAVING count(*) >= {GRAM_MIN_DF})),
+ft AS MATERIALIZED (SELECT row_id, n, idx FROM gr JOIN dict USING (n, gram))"""
+
+
+def _softmax_sql(name: str, rows: str, weights: str, bias: str) -> str:
+    """Probabilities ``{name}_p`` (row_id, cls, p) and top classes ``{name}_top`` of ``rows``."""
+    return f"""
+{name}_s AS (SELECT row_id, cls, sum(w) AS s FROM (
+  SELECT ft.row_id, w.cls, w.w FROM ft JOIN {weights} w ON ft.idx = w.term SEMI JOIN {rows} r ON ft.row_id = r.row_id
+  UNION ALL SELECT row_id, cls, w FROM {rows}, {bias}) GROUP BY row_id, cls),
+{name}_e AS (SELECT row_id, cls, exp(s - max(s) OVER (PARTITION BY row_id)) AS e FROM {name}_s),
+{name}_p AS MATERIALIZED (SELECT row_id, cls, e / sum(e) OVER (PARTITION BY row_id) AS p FROM {name}_e),
+{name}_top AS (SELECT row_id, cls AS prediction FROM {name}_p
+  QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY round(p, 9) DESC, cls) = 1)"""
+
+
+def _steps_sql() -> str:
+    """Gradient descent written out step by step."""
+    ctes = [_grams_cte(), """kn AS MATERIALIZED (SELECT row_id, split, v.idx AS Y FROM labelled JOIN lvocab v ON label = v.term),
+w0 AS (SELECT CAST(0 AS BIGINT) AS term, 0 AS cls, CAST(0 AS DOUBLE) AS w WHERE FALSE),
+b0 AS (SELECT idx AS cls, CAST(0 AS DOUBLE) AS w FROM lvocab)"""]
+    parts = []
+    for k in range(STEPS + 1):
+        ctes.append(_softmax_sql(f"m{k}", "kn", f"w{k}", f"b{k}"))
+        parts.append(f"SELECT {k} AS step, split, count(*) AS n, count(*) FILTER (prediction = Y) AS n_correct "
+                     f"FROM kn JOIN m{k}_top USING (row_id) GROUP BY split")
+        ctes.append(f"""r{k} AS MATERIALIZED (
+  SELECT row_id, cls, p - CASE WHEN cls = Y THEN 1 ELSE 0 END AS r FROM m{k}_p JOIN kn USING (row_id)
+  WHERE split = 'train'),
+g{k} AS (SELECT idx AS term, cls, sum(r) / (SELECT count(*) FROM kn WHERE split = 'train') AS g
+  FROM r{k} JOIN ft USING (row_id) GROUP BY idx, cls),
+w{k + 1} AS MATERIALIZED (SELECT term, cls, coalesce(w, 0) * (1 - {RATE} * {L2}) - {RATE} * coalesce(g, 0) AS w
+  FROM g{k} FULL JOIN w{k} USING (term, cls)),
+b{k + 1} AS MATERIALIZED (SELECT b.cls, b.w - {RATE} * coalesce(g, 0) AS w FROM b{k} b LEFT JOIN (
+  SELECT cls, sum(r) / (SELECT count(*) FROM kn WHERE split = 'train') AS g FROM r{k} GROUP BY cls) x USING (cls))""")
+    return "WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(parts)
+
+
 # A model's values are its own; SQL states what must hold of them.
 _PROBS_SQL = f"""WITH {LABELLED}, {_label_vocab_sql(None)}
 SELECT row_id AS doc_id, (SELECT string_agg(term, ',' ORDER BY idx) FROM lvocab) AS labels,
@@ -785,6 +927,11 @@ SELECT epoch, bucket, batch, row_id AS doc_id, rank FROM brows""",
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
     "batches_test": f"""WITH {_batch_rows_cte('test')}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
+    "batches_epochs": f"""WITH {_epochs_cte()}, {_BATCH_REPORT}
+SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
+    "left_out_rows": f"""WITH {_epochs_cte()}
+SELECT CAST(epoch AS INTEGER) AS epoch, bucket, row_id AS doc_id, CAST(rnk AS BIGINT) AS rank
+FROM ranked WHERE rnk // {BATCH} >= bn // {BATCH}""",
     "first_batch": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt WHERE batch_seq = 0""",
     "batch_layout": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
@@ -836,6 +983,17 @@ SELECT doc_id, """ + ", ".join(
         f"CAST(len(list_distinct(list_transform(range(greatest(len(s) - {n - 1}, 0)), lambda i: "
         f"array_to_string(s[i + 1:i + {n}], ' ')))) AS BIGINT) AS n{n}" for n in DEFAULT_NGRAMS)
     + " FROM tk",
+    "ngram_dictionary": f"WITH {_grams_cte()} SELECT idx, n, gram, df FROM dict",
+    "ngram_index": f"""WITH {_grams_cte()}
+SELECT row_id AS doc_id, n, count(*) AS n_known, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS indices
+FROM ft GROUP BY row_id, n""",
+    "predict_weights": f"""WITH {_grams_cte()},
+wt AS (SELECT d.idx AS term, v.idx AS cls, CAST(('0x' || substr(md5(concat_ws('|', CAST(v.idx AS VARCHAR),
+         CAST(d.n AS VARCHAR), d.gram)), 1, 3)) AS INTEGER) / 1024.0::DOUBLE - 2 AS w FROM dict d, lvocab v),
+bs AS (SELECT idx AS cls, idx * 0.25::DOUBLE AS w FROM lvocab),
+{_softmax_sql('m', 'labelled', 'wt', 'bs')}
+SELECT row_id AS doc_id, prediction, cls, round(p, 9) AS p FROM m_p JOIN m_top USING (row_id)""",
+    "accuracy_steps": _steps_sql(),
     "predict_proba": _PROBS_SQL,
     "predict_texts": _PROBS_SQL,
     "predict_top": f"""WITH {LABELLED}, {_label_vocab_sql(None)}

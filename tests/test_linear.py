@@ -1,0 +1,158 @@
+"""Exact n-gram features, scoring by joins, training steps and their restart."""
+
+import math
+import os
+import random
+from collections import Counter
+
+import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
+
+from seqframe.operators import linear as L
+from seqframe.operators import ngrams as N
+from seqframe.session import scratch_dir
+
+NS = (1, 3)
+
+
+def token_rows(seed=3, n=60):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        y = rng.randrange(3)
+        words = [rng.choice("abcdefgh") if rng.random() < 0.5 else f"w{y}{rng.randrange(4)}"
+                 for _ in range(rng.randrange(0, 9))]
+        rows.append((i, "test" if i % 4 == 0 else "train", y, words + ["<pad>"] * 3))
+    return rows + [(n, "test", 1, []), (n + 1, "test", -1, None), (n + 2, "train", -1, ["a", "b"])]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "row_id long, split string, Y int, T array<string>")
+
+
+def plain_grams(words):
+    return {(n, " ".join(words[k:k + n])) for n in NS for k in range(len(words or []) - n + 1)} if words else set()
+
+
+@pytest.fixture
+def made(spark):
+    rows = token_rows()
+    df = frame(spark, rows)
+    dictionary = N.gram_dictionary(N.gram_rows(df.where("split = 'train'"), ns=NS), 2).checkpoint()
+    indexed = N.index_grams(N.gram_rows(df, ns=NS), dictionary).checkpoint()
+    return rows, df, dictionary, indexed
+
+
+def test_dictionary_and_indices(made):
+    rows, _, dictionary, indexed = made
+    df = Counter(g for _, split, _, words in rows if split == "train" for g in plain_grams(words))
+    known = sorted((g for g, c in df.items() if c >= 2), key=lambda g: (g[0], -df[g], g[1].encode()))
+    got = sorted(dictionary.collect(), key=lambda r: r["idx"])
+    assert [(r["idx"], (r["n"], r["gram"]), r["df"]) for r in got] == [
+        (i, g, df[g]) for i, g in enumerate(known)]
+    want = {i: sorted(known.index(g) for g in plain_grams(words) & set(known)) for i, _, _, words in rows}
+    found = {r["row_id"]: r["indices"] for r in N.gram_indices(indexed).collect()}
+    assert found == {i: x for i, x in want.items() if x}
+
+
+def test_lookup_beyond_the_broadcast_bound_gives_the_same(made):
+    _, df, dictionary, indexed = made
+    rows = N.gram_rows(df, ns=NS)
+    plain = sorted(map(tuple, indexed.select("row_id", "n", "gram", "idx").collect()))
+    for heavy in (0, 3, 10_000):
+        got = N.index_grams(rows, dictionary, max_rows=1, heavy_rows=heavy)
+        assert sorted(map(tuple, got.select("row_id", "n", "gram", "idx").collect())) == plain
+
+
+def test_collision_share(spark):
+    grams = spark.createDataFrame([(1, f"g{i}") for i in range(300)] + [(3, "x y z")], "n int, gram string")
+    got = {r["n"]: r for r in N.collision_share(grams, 64).collect()}
+    assert got[1]["n_grams"] == 300 and got[1]["n_slots"] <= 64 and got[1]["share"] > 0.9
+    assert (got[3]["n_slots"], got[3]["share"]) == (1, 0.0)
+
+
+def test_exported_weights_score_as_the_model(spark, made):
+    """A model fitted on the exact features, and the same probabilities from its weights as a table."""
+    rows, df, dictionary, indexed = made
+    size = dictionary.count()
+    data = df.select("row_id", "split", "Y").join(N.gram_indices(indexed), "row_id", "left")
+    vectors = N.sparse_vectors(data, size)
+    first = {r["row_id"]: r["features"] for r in vectors.collect()}
+    assert all(v.size == size and set(v.values) <= {1.0} for v in first.values()) and len(first) == len(rows)
+    train = vectors.where("split = 'train' and Y >= 0").withColumn("label", F.col("Y").cast("double"))
+    model = LogisticRegression(family="multinomial", regParam=0.01, maxIter=15).fit(train)
+    want = {r["row_id"]: r for r in model.transform(vectors).collect()}
+    weights, bias = L.exported(spark, model)
+    features = indexed.withColumnRenamed("idx", "term")
+    for bounds in ({}, {"max_rows": 1, "heavy_rows": 2}):
+        got = {r["row_id"]: r for r in L.predict(vectors, features, weights, bias, **bounds).collect()}
+        assert got.keys() == want.keys()
+        for i, r in got.items():
+            assert [p["cls"] for p in r["probs"]] == [0, 1, 2]
+            assert all(abs(p["p"] - q) < 1e-9 for p, q in zip(r["probs"], want[i]["probability"], strict=True))
+            assert r["prediction"] == want[i]["prediction"]
+
+
+def test_softmax_of_large_scores_and_ties(spark):
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "row_id long")
+    features = spark.createDataFrame([(1, 0), (2, 1), (2, 1)], "row_id long, term long").distinct()
+    weights = spark.createDataFrame([(0, 0, 900.0), (0, 1, -900.0), (1, 1, 5.0), (1, 2, 5.0)],
+                                    "term long, cls int, w double")
+    bias = spark.createDataFrame([(0, 0.0), (1, 0.0), (2, 0.0)], "cls int, w double")
+    got = {r["row_id"]: r for r in L.predict(rows, features, weights, bias).collect()}
+    assert [p["p"] for p in got[1]["probs"]] == [1.0, 0.0, math.exp(-900)]
+    assert got[2]["prediction"] == 1  # equal probabilities: the lowest class
+    assert got[3]["prediction"] == 0 and all(abs(p["p"] - 1 / 3) < 1e-12 for p in got[3]["probs"])
+
+
+def plain_descent(rows, terms, steps, rate, l2):
+    """Full-batch softmax regression in plain Python."""
+    w, b = {}, [0.0] * 3
+    train = [(i, y) for i, split, y, _ in rows if split == "train" and y >= 0]
+
+    def probs(i):
+        s = [b[c] + sum(w.get((t, c), 0.0) for t in terms.get(i, [])) for c in range(3)]
+        e = [math.exp(x - max(s)) for x in s]
+        return [x / sum(e) for x in e]
+
+    out = []
+    for step in range(steps + 1):
+        if step:
+            g, gb = Counter(), [0.0] * 3
+            for i, y in train:
+                for c, p in enumerate(probs(i)):
+                    r = (p - (c == y)) / len(train)
+                    gb[c] += r
+                    for t in terms.get(i, []):
+                        g[t, c] += r
+            w = {k: w.get(k, 0.0) * (1 - rate * l2) - rate * g[k] for k in {*w, *g}}
+            b = [x - rate * y for x, y in zip(b, gb, strict=True)]
+        for split in ("train", "test"):
+            known = [(i, y) for i, s, y, _ in rows if s == split and y >= 0]
+            hits = sum(max(range(3), key=lambda c: (round(probs(i)[c], 9), -c)) == y for i, y in known)
+            out.append((step, split, len(known), hits))
+    return sorted(out), w
+
+
+def test_steps_equal_plain_descent_and_restart(spark, made, tmp_path):
+    rows, df, _, indexed = made
+    features = indexed.select("row_id", F.col("idx").alias("term"))
+    terms = {}
+    for r in features.collect():
+        terms.setdefault(r["row_id"], []).append(r["term"])
+    want, weights = plain_descent(rows, terms, 4, 2.0, 0.01)
+    folder = str(tmp_path / "steps")
+    # A driver lost after the second step: only two steps are there, and half of the third.
+    first = L.train_steps(df, features, 3, 2, folder, 2.0, 0.01).collect()
+    assert sorted(map(tuple, first)) == [x for x in want if x[0] <= 2]
+    spark.createDataFrame([(0, 0, 99.0)], "term long, cls int, w double").write.parquet(f"{folder}/step=3/weights")
+    at = os.stat(f"{folder}/step=2/weights").st_mtime
+    got = L.train_steps(df, features, 3, 4, folder, 2.0, 0.01).collect()
+    assert sorted(map(tuple, got)) == want
+    assert os.stat(f"{folder}/step=2/weights").st_mtime == at  # done steps are not done again
+    last = {(r["term"], r["cls"]): r["w"] for r in spark.read.parquet(f"{folder}/step=4/weights").collect()}
+    assert last.keys() == weights.keys() and all(abs(last[k] - weights[k]) < 1e-9 for k in last)
+    # The last row equals that of one uninterrupted run.
+    whole = L.train_steps(df, features, 3, 4, scratch_dir(spark, "steps"), 2.0, 0.01).collect()
+    assert sorted(map(tuple, whole)) == want
