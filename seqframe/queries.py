@@ -42,13 +42,14 @@ from seqframe.operators.vocab import build_label_vocab, term_of, vocab_head
 from seqframe.plans import character as C
 from seqframe.plans import token as T
 from seqframe.session import materialize, scratch_dir
-from seqframe.sources.csv import read_headered_csv
+from seqframe.sources.csv import read_checked_csv, read_headered_csv
 from seqframe.sources.parquet import read_frame, read_vocab
 from seqframe.sources.sinks import write_csv, write_frame, write_vocab
 from seqframe.sources.testdata import (
     LANG_CODES,
     SPLIT_SEED,
     articles,
+    lang_code,
     split_of,
     split_threshold,
     table,
@@ -370,6 +371,37 @@ def _csv_job(spark, sf_dir):
     return C.preprocess_csv(spark, f"{base}/train", f"{base}/test", f"{base}/out", SMALL_CHAR_CAP)
 
 
+def _checked_csv(spark, sf_dir):
+    """Documents as headerless CSV in which some rows have a bad code, a field too many or one too few."""
+    d = table(spark, sf_dir, "documents")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    code = F.coalesce(lang_code("lang").cast("string"), F.lit(""))
+    kind = F.pmod("doc_id", F.lit(10))
+    line = (F.when(kind == 3, F.concat(F.lit("x"), code, F.lit(",")))
+            .otherwise(F.concat(code, F.lit(","))))
+    line = F.concat(line, F.lit('"'), F.col("doc_id").cast("string"), F.lit('"'),
+                    F.when(kind == 5, F.lit("")).otherwise(F.concat(F.lit(","), quoted)),
+                    F.when(kind == 7, F.lit(",more")).otherwise(F.lit("")))
+    base = scratch_dir(spark, "checked")
+    d.select(line.alias("value")).write.text(f"{base}/csv")
+    return read_checked_csv(spark, f"{base}/csv", f"{base}/rows")
+
+
+def q_csv_rejected(spark, sf_dir):
+    """Good rows with their fields, rejected ones with their whole record; none is lost."""
+    got = _checked_csv(spark, sf_dir)
+    good = got.good.select(F.col("title").cast("long").alias("doc_id"), F.lit(True).alias("good"),
+                           F.col("indexed_label").alias("code"), F.md5("description").alias("md5"))
+    bad = got.rejected.select(
+        F.regexp_extract("record", '^"?[^",]*"?,"([0-9]+)"', 1).cast("long").alias("doc_id"),
+        F.lit(False).alias("good"), F.lit(None).cast("int").alias("code"), F.md5("record").alias("md5"))
+    return good.unionByName(bad)
+
+
+def q_csv_report(spark, sf_dir):
+    return _checked_csv(spark, sf_dir).report()
+
+
 def q_csv_job(spark, sf_dir):
     out = _csv_job(spark, sf_dir)
     rows = read_frame(spark, out["train"]).withColumn("split", F.lit("train")).unionByName(
@@ -591,6 +623,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_exact": q_sample_exact,
     "random_row": q_random_row,
     "csv_round_trip": q_csv_round_trip,
+    "csv_rejected": q_csv_rejected,
+    "csv_report": q_csv_report,
     "csv_job": q_csv_job,
     "csv_job_vocab": q_csv_job_vocab,
     "parquet_round_trip": q_parquet_round_trip,
@@ -956,6 +990,17 @@ SELECT row_id AS doc_id, label, split FROM k, c WHERE rn <= c.n""",
 SELECT row_id AS doc_id, label, description AS text FROM labelled WHERE split = 'test'
 ORDER BY {_key_sql('row_id')}, row_id LIMIT 1""",
     "csv_round_trip": "SELECT doc_id, text, lang FROM documents",
+    "csv_rejected": f"""WITH c AS (
+  SELECT doc_id, text, doc_id % 10 AS kind, {_LANG_CASE} AS code,
+         '"' || replace(text, '"', '""') || '"' AS quoted FROM documents)
+SELECT doc_id, kind NOT IN (3, 5, 7) AS good, CASE WHEN kind NOT IN (3, 5, 7) THEN code END AS code,
+       CASE kind WHEN 3 THEN md5('"x' || code || '","' || doc_id || '",' || quoted)
+                 WHEN 5 THEN md5(code || ',"' || doc_id || '"')
+                 WHEN 7 THEN md5(code || ',"' || doc_id || '",' || quoted || ',more')
+                 ELSE md5(text) END AS md5 FROM c""",
+    "csv_report": """SELECT count(*) AS n_rows, count(*) FILTER (doc_id % 10 NOT IN (3, 5, 7)) AS n_good,
+       count(*) FILTER (doc_id % 10 IN (3, 5, 7)) AS n_rejected, 0 AS null_indexed_label, 0 AS null_title,
+       0 AS null_description FROM documents""",
     "csv_job": f"""WITH {_char_index_cte(SMALL_CHAR_CAP)}
 SELECT row_id AS doc_id, split, label, Y, CAST(len(X) AS BIGINT) AS n_x, {_int_list('X')} AS X
 FROM indexed""",

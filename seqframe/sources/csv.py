@@ -10,10 +10,11 @@ rows once and numbers them in file order, so later jobs see stable ids.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The columns of the headerless news CSV, in file order.
 ARTICLE_SCHEMA = "indexed_label INT, title STRING, description STRING"
@@ -24,13 +25,17 @@ DEFAULT_NA_VALUES = (
 )
 
 
-def _reader(spark: SparkSession, header: bool):
+#: Column of a stored CSV table with the text of a row that could not be read as the schema says.
+RECORD = "_record"
+
+
+def _reader(spark: SparkSession, header: bool, mode: str = "PERMISSIVE"):
     return (
         spark.read.option("header", header)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("mode", "PERMISSIVE")
+        .option("mode", mode)
     )
 
 
@@ -88,6 +93,74 @@ def store_labelled_csv(
         row_col, F.col(row_col) - F.col("_first") + F.col("_off")).drop("_file", "_first", "_off")
 
 
+@dataclass
+class CheckedCsv:
+    """The rows of a CSV input that fit its schema, and those that do not."""
+
+    good: DataFrame  # row id and the schema's columns
+    rejected: DataFrame  # row id, file, record: the row's text (values of the wrong type: its fields again)
+    row_col: str = "row_id"
+
+    def report(self) -> DataFrame:
+        """One row: ``n_rows, n_good, n_rejected`` and, of the good rows, ``null_<column>`` for each."""
+        names = [c for c in self.good.columns if c != self.row_col]
+        both = self.good.withColumn("_good", F.lit(True)).unionByName(
+            self.rejected.select(self.row_col, F.lit(False).alias("_good")), allowMissingColumns=True)
+        return both.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if("_good").alias("n_good"),
+            F.count_if(~F.col("_good")).alias("n_rejected"),
+            *[F.count_if(F.col("_good") & F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in names])
+
+
+def read_checked_csv(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    out: str,
+    schema: str = ARTICLE_SCHEMA,
+    header: bool = False,
+    mode: str = "PERMISSIVE",
+    na_values: Sequence[str] | None = DEFAULT_NA_VALUES,
+    row_col: str = "row_id",
+) -> CheckedCsv:
+    """Read CSV once, write it to ``out`` as parquet, and tell good rows from rejected ones.
+
+    A row is rejected when it has more or fewer fields than the file has columns or a value that is not of
+    its column's type; an open quote makes one rejected row of all that it swallows.  NA strings are
+    missing values, not bad ones.  With a header, the schema's columns are taken by name.  ``mode``
+    ``FAILFAST`` raises at the first bad row instead; ``DROPMALFORMED`` is refused, as it loses rows
+    without a word.
+    """
+    if mode not in ("PERMISSIVE", "FAILFAST"):
+        raise ValueError(f"mode is PERMISSIVE or FAILFAST, not {mode}")
+    paths = [path] if isinstance(path, str) else list(path)
+    wanted = StructType.fromDDL(schema)
+    names = _reader(spark, True).csv(paths).columns if header else [f.name for f in wanted]
+    if missing := [f.name for f in wanted if f.name not in names]:
+        raise ValueError(f"columns not in the header: {missing}; it has {names}")
+    # All fields as text first: a missing value is then told from one of the wrong type.
+    text = StructType([StructField(c, StringType()) for c in names] + [StructField(RECORD, StringType())])
+    raw = _reader(spark, header, mode).option("columnNameOfCorruptRecord", RECORD).option(
+        "enforceSchema", not header).schema(text).csv(paths)
+    raw = raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                     F.monotonically_increasing_id().alias(row_col))
+    raw = _null_na(raw, na_values, skip=(RECORD, "_file"))
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in wanted}
+    wrong = F.lit(False)
+    for f in wanted:
+        wrong = wrong | (F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull())
+    whole = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names]), {"quoteAll": "true", "escape": '"'})
+    if mode == "FAILFAST":
+        wrong = F.when(wrong, F.raise_error(F.concat(F.lit("malformed CSV row: "), whole)).cast("boolean")).otherwise(
+            F.lit(False))
+    record = F.coalesce(F.regexp_replace(RECORD, "\r?\n$", ""), F.when(wrong, whole))
+    raw.select(row_col, "_file", record.alias(RECORD), *[v.alias(k) for k, v in typed.items()]).write.parquet(out)
+    stored = spark.read.parquet(out)
+    good = stored.where(F.col(RECORD).isNull()).select(row_col, *[f"`{f.name}`" for f in wanted])
+    rejected = stored.where(F.col(RECORD).isNotNull()).select(
+        row_col, F.col("_file").alias("file"), F.col(RECORD).alias("record"))
+    return CheckedCsv(good, rejected, row_col)
+
+
 def read_headered_csv(
     spark: SparkSession,
     path: str | Sequence[str],

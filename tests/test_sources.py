@@ -1,9 +1,12 @@
 import os
 import tempfile
 
+import pytest
+
 from seqframe.functions.labels import with_label_names
 from seqframe.operators.vocab import build_vocab
 from seqframe.sources import (
+    csv,
     read_frame,
     read_headered_csv,
     read_labelled_csv,
@@ -78,3 +81,48 @@ def test_stored_csv_rows_are_numbered_in_file_order(spark):
     got = [(r["row_id"], r["title"]) for r in df.orderBy("row_id").collect()]
     assert got == list(enumerate(["a0"] + [f"b{i}" for i in range(50)] + ["c0", "c1"]))
     assert {r["description"] for r in df.collect()} == {"  two\nlines "}
+
+
+BAD_CSV = '''1,"a","fine"
+x,"b","wrong code"
+2,"c","extra","field"
+3,"d"
+,"e","no code"
+4,"f",NA
+2,"g","line one
+line two, ""quoted"""
+'''
+
+
+def test_checked_csv_keeps_and_counts_bad_rows(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(BAD_CSV + '1,"h","open quote\n3,"i","swallowed"\n')
+    got = csv.read_checked_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"))
+    assert [tuple(r)[1:] for r in got.good.orderBy("row_id").collect()] == [
+        (1, "a", "fine"), (None, "e", "no code"), (4, "f", None), (2, "g", 'line one\nline two, "quoted"')]
+    bad = [r["record"] for r in got.rejected.orderBy("row_id").collect()]
+    assert bad[:3] == ['"x","b","wrong code"', '2,"c","extra","field"', '3,"d"']
+    assert len(bad) == 4 and bad[3].startswith('1,"h","open quote') and "swallowed" in bad[3]
+    assert got.report().first().asDict() == {
+        "n_rows": 8, "n_good": 4, "n_rejected": 4, "null_indexed_label": 1, "null_title": 0,
+        "null_description": 1}
+    ids = [r["row_id"] for r in got.good.collect()] + [r["row_id"] for r in got.rejected.collect()]
+    assert len(set(ids)) == 8
+
+
+@pytest.mark.parametrize("line", ['x,"b","c"', '1,"b"', '1,"b","c","d"'])
+def test_checked_csv_failfast(spark, tmp_path, line):
+    (tmp_path / "in.csv").write_text('1,"a","fine"\n' + line + "\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv.read_checked_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), mode="FAILFAST")
+    with pytest.raises(ValueError, match="DROPMALFORMED"):
+        csv.read_checked_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "out2"), mode="DROPMALFORMED")
+
+
+def test_checked_csv_with_header(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('k,text,n\n"a","t one",1\n"b","t two",many\n"c","t three"\n"d",,NA\n')
+    got = csv.read_checked_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), "n INT, text STRING",
+                               header=True)
+    assert [tuple(r)[1:] for r in got.good.orderBy("row_id").collect()] == [(1, "t one"), (None, None)]
+    assert sorted(r["record"] for r in got.rejected.collect()) == ['"b","t two","many"', '"c","t three"']
+    with pytest.raises(ValueError, match="other"):
+        csv.read_checked_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "o2"), "other INT", header=True)
