@@ -233,22 +233,35 @@ def q_bucket_counts_test(spark, sf_dir):
     return bucket_counts(_lengths(spark, sf_dir, "test"), DEFAULT_BUCKETS)
 
 
+def _both_splits(of: Callable[[str], DataFrame]) -> DataFrame:
+    """Rows of ``of("train")`` and ``of("test")`` with a ``split`` column."""
+    train, test = (of(s).withColumn("split", F.lit(s)) for s in ("train", "test"))
+    return train.unionByName(test)
+
+
 def q_sliced_count(spark, sf_dir):
-    return sliced_count(_lengths(spark, sf_dir))
+    return _both_splits(lambda split: sliced_count(_lengths(spark, sf_dir, split)))
 
 
 def q_batch_rows(spark, sf_dir):
-    b = materialize(_lengths(spark, sf_dir).select("row_id", "bucket"))
-    r = B.batch_rows(b, BATCH, SEED, EPOCH, sizes=B.bucket_sizes(b))
-    return r.select("epoch", "bucket", "batch", F.col("row_id").alias("doc_id"), "rank")
+    def rows(split):
+        b = materialize(_lengths(spark, sf_dir, split).select("row_id", "bucket"))
+        return B.batch_rows(b, BATCH, SEED, EPOCH, sizes=B.bucket_sizes(b))
 
+    return _both_splits(rows).select("split", "epoch", "bucket", "batch", F.col("row_id").alias("doc_id"), "rank")
 
-def _order(spark, sf_dir):
-    return B.batch_order(spark, B.bucket_sizes(_lengths(spark, sf_dir)), BATCH, SEED, EPOCH)
+
+def _order(spark, sf_dir, split):
+    return B.batch_order(spark, B.bucket_sizes(_lengths(spark, sf_dir, split)), BATCH, SEED, EPOCH)
 
 
 def q_batch_order(spark, sf_dir):
-    return _order(spark, sf_dir)
+    return _both_splits(lambda split: _order(spark, sf_dir, split))
+
+
+def q_bucket_counts_split(spark, sf_dir):
+    """Rows per bucket of both splits: the flagship query."""
+    return _both_splits(lambda split: bucket_counts(_lengths(spark, sf_dir, split), DEFAULT_BUCKETS))
 
 
 def _batches(spark, sf_dir, split="train", first_only=False):
@@ -298,19 +311,20 @@ def q_left_out_rows(spark, sf_dir):
 
 
 def q_batch_layout(spark, sf_dir):
-    lay = B.batch_layout(_order(spark, sf_dir), BATCH, DEFAULT_BUCKETS)
-    return lay.select("epoch", "batch_seq", "bucket",
+    lay = _both_splits(lambda split: B.batch_layout(_order(spark, sf_dir, split), BATCH, DEFAULT_BUCKETS))
+    return lay.select("split", "epoch", "batch_seq", "bucket",
                       F.array_join("data_shape", ",").alias("data_shape"),
                       F.array_join("label_shape", ",").alias("label_shape"),
                       "default_bucket_key")
 
 
 def q_first_batch(spark, sf_dir):
-    return _batch_report(_batches(spark, sf_dir, first_only=True))
+    return _both_splits(lambda split: _batch_report(_batches(spark, sf_dir, split, first_only=True)))
 
 
 def q_batches_per_epoch(spark, sf_dir):
-    return B.batches_per_epoch(_lengths(spark, sf_dir), BATCH, DEFAULT_BUCKETS)
+    return _both_splits(
+        lambda split: B.batches_per_epoch(_lengths(spark, sf_dir, split), BATCH, DEFAULT_BUCKETS))
 
 
 def q_fixed_batches_train(spark, sf_dir):
@@ -606,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bucket_assign": q_bucket_assign,
     "bucket_counts": q_bucket_counts,
     "bucket_counts_test": q_bucket_counts_test,
+    "bucket_counts_split": q_bucket_counts_split,
     "sliced_count": q_sliced_count,
     "batch_rows": q_batch_rows,
     "batch_order": q_batch_order,
@@ -816,6 +831,10 @@ def _key_sql(col: str) -> str:
     return f"md5(concat_ws('|', '{SEED}', CAST({col} AS VARCHAR)))"
 
 
+def _both_splits_sql(of: Callable[[str], str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{s}' AS split, * FROM ({of(s)})" for s in ("train", "test"))
+
+
 def _epochs_cte(split: str = "train") -> str:
     """Ranks and batch orders of all ``EPOCHS`` at once (names as in ``_batch_rows_cte``)."""
     return f"""{_bucketed_cte(split)},
@@ -952,11 +971,16 @@ FROM sizes s LEFT JOIN bucketed b ON s.bucket = b.bucket GROUP BY s.bucket""",
 sizes AS (SELECT CAST(unnest({list(DEFAULT_BUCKETS)}) AS INTEGER) AS bucket)
 SELECT s.bucket, CAST(count(b.row_id) AS BIGINT) AS n
 FROM sizes s LEFT JOIN bucketed b ON s.bucket = b.bucket GROUP BY s.bucket""",
-    "sliced_count": f"""WITH {_bucketed_cte()}
-SELECT CAST(coalesce(sum(CAST(sliced AS BIGINT)), 0) AS BIGINT) AS n_sliced FROM bucketed""",
-    "batch_rows": f"""WITH {_batch_rows_cte()}
-SELECT epoch, bucket, batch, row_id AS doc_id, rank FROM brows""",
-    "batch_order": f"WITH {_batch_rows_cte()} SELECT epoch, bucket, batch, batch_seq FROM border",
+    "bucket_counts_split": _both_splits_sql(lambda split: f"""WITH {_bucketed_cte(split)},
+sizes AS (SELECT CAST(unnest({list(DEFAULT_BUCKETS)}) AS INTEGER) AS bucket)
+SELECT s.bucket, CAST(count(b.row_id) AS BIGINT) AS n
+FROM sizes s LEFT JOIN bucketed b ON s.bucket = b.bucket GROUP BY s.bucket"""),
+    "sliced_count": _both_splits_sql(lambda split: f"""WITH {_bucketed_cte(split)}
+SELECT CAST(coalesce(sum(CAST(sliced AS BIGINT)), 0) AS BIGINT) AS n_sliced FROM bucketed"""),
+    "batch_rows": _both_splits_sql(lambda split: f"""WITH {_batch_rows_cte(split)}
+SELECT epoch, bucket, batch, row_id AS doc_id, rank FROM brows"""),
+    "batch_order": _both_splits_sql(
+        lambda split: f"WITH {_batch_rows_cte(split)} SELECT epoch, bucket, batch, batch_seq FROM border"),
     "batches": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
     "batches_test": f"""WITH {_batch_rows_cte('test')}, {_BATCH_REPORT}
@@ -966,16 +990,16 @@ SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
     "left_out_rows": f"""WITH {_epochs_cte()}
 SELECT CAST(epoch AS INTEGER) AS epoch, bucket, row_id AS doc_id, CAST(rnk AS BIGINT) AS rank
 FROM ranked WHERE rnk // {BATCH} >= bn // {BATCH}""",
-    "first_batch": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
-SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt WHERE batch_seq = 0""",
-    "batch_layout": f"""WITH {_batch_rows_cte()}, {_BATCH_REPORT}
+    "first_batch": _both_splits_sql(lambda split: f"""WITH {_batch_rows_cte(split)}, {_BATCH_REPORT}
+SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt WHERE batch_seq = 0"""),
+    "batch_layout": _both_splits_sql(lambda split: f"""WITH {_batch_rows_cte(split)}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, CAST(n_rows AS VARCHAR) || ',' || CAST(seq_len AS VARCHAR) AS data_shape,
        CAST(n_rows AS VARCHAR) AS label_shape, CAST({max(DEFAULT_BUCKETS)} AS INTEGER) AS default_bucket_key
-FROM bt""",
-    "batches_per_epoch": f"""WITH {_bucketed_cte()},
+FROM bt"""),
+    "batches_per_epoch": _both_splits_sql(lambda split: f"""WITH {_bucketed_cte(split)},
 pb AS (SELECT bucket, count(*) AS n FROM bucketed GROUP BY bucket)
 SELECT CAST(coalesce(sum(n), 0) // {BATCH} AS BIGINT) AS naive,
-       CAST(coalesce(sum(n // {BATCH}), 0) AS BIGINT) AS actual FROM pb""",
+       CAST(coalesce(sum(n // {BATCH}), 0) AS BIGINT) AS actual FROM pb"""),
     "fixed_batches_train": _fixed_sql("train", True, True),
     "fixed_batches_train_discard": _fixed_sql("train", True, False),
     "fixed_batches_test": _fixed_sql("test", False, True),
