@@ -33,6 +33,7 @@ from seqframe.operators.vocab import (
     hot_entry,
     small_terms,
 )
+from seqframe.session import materialize
 
 # Largest vocabulary looked up by array scan (per element cost is linear).
 ARRAY_MAX_TERMS = 256
@@ -71,11 +72,13 @@ def _look_up(df: DataFrame, term_col: str, vocab: DataFrame, broadcast_max_terms
         return df.join(F.broadcast(kv), term == F.col("_term"), "left").drop("_term")
     is_hot = hot_entry(F.col("_idx"), F.col("_term"), hot_terms)
     hot = kv.where(is_hot)
-    # Null terms skip every join; a term held by many rows is answered by broadcast.
-    nulls = df.where(term.isNull()).withColumn("_idx", F.lit(None).cast("int"))
-    first = df.where(term.isNotNull()).join(F.broadcast(hot), term == F.col("_term"), "left").drop("_term")
-    hits = first.where(F.col("_idx").isNotNull())
-    misses = first.where(F.col("_idx").isNull()).drop("_idx")
+    # A term held by many rows is answered by broadcast; null terms match nothing and skip the other
+    # joins.  What follows reads this frame several times, so it is written once: the input, with the
+    # splitting of its texts, is evaluated a single time.
+    first = materialize(df.join(F.broadcast(hot), term == F.col("_term"), "left").drop("_term"))
+    open_ = F.col("_idx").isNull() & term.isNotNull()
+    hits = first.where(~open_)
+    misses = first.where(open_).drop("_idx")
     tail = kv.where(~is_hot)
     heavy = misses.groupBy(term_col).count().select(
         F.sha2(term.cast("binary"), 256).alias("_key"), "count"
@@ -88,7 +91,7 @@ def _look_up(df: DataFrame, term_col: str, vocab: DataFrame, broadcast_max_terms
         "_idx", F.when(F.col("_a") >= 0, F.col("_a"))).drop("_a")
     rest = second.where(F.col("_a").isNull()).drop("_a").join(
         tail, term == F.col("_term"), "left").drop("_term")
-    return hits.unionByName(nulls).unionByName(answered).unionByName(rest)
+    return hits.unionByName(answered).unionByName(rest)
 
 
 def index_labels(

@@ -157,3 +157,21 @@ def test_one_unseen_term_in_half_of_the_rows_is_answered_by_broadcast(spark):
     assert _by_row(out) == {i: [-1 if i % 2 == 0 or i % 60 >= 50 else i % 60] for i in range(400)}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 2
+
+
+def test_split_join_evaluates_its_input_once(spark):
+    """Past the broadcast bounds the later steps read the stored first answers, not the exploded texts."""
+    import contextlib
+    import io
+
+    df = spark.range(40).select(F.col("id").alias("row_id"), F.split(
+        F.concat(F.lit("a b hot hot "), (F.col("id") % 7).cast("string")), " ").alias("T"))
+    vocab = spark.createDataFrame([(i, t, 1) for i, t in enumerate(["hot", "a", "3", "4"])],
+                                  "idx int, term string, n long")
+    out = index_sequences(df, "T", vocab, method="join", broadcast_max_terms=1, hot_terms=1)
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        out.explain("extended")
+    assert "split(" not in text.getvalue() and "Generate" not in text.getvalue()
+    plain = index_sequences(df, "T", vocab, method="join")
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
