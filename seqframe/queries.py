@@ -42,6 +42,7 @@ from seqframe.operators.vocab import build_label_vocab, term_of, vocab_head
 from seqframe.plans import character as C
 from seqframe.plans import token as T
 from seqframe.session import materialize, scratch_dir
+from seqframe.sources.batch_store import read_batch, read_batches, write_batch_store
 from seqframe.sources.csv import read_checked_csv, read_headered_csv
 from seqframe.sources.parquet import read_frame, read_vocab
 from seqframe.sources.sinks import write_csv, write_frame, write_vocab
@@ -64,6 +65,8 @@ TOKEN_BATCH = 120
 SEED = 42
 EPOCH = 0
 EPOCHS = [0, 1, 2]
+STORE_FILE = 16  # batches to a file
+RESTART = 5
 GRAM_MIN_DF = 2
 STEPS = 3
 RATE = 4.0
@@ -303,6 +306,24 @@ def q_batches_epochs(spark, sf_dir):
                                             SEED))
 
 
+def _batch_store(spark, sf_dir):
+    indexed = _indexed_split(spark, sf_dir)
+    batches = C.character_epochs(indexed, EPOCHS, BATCH, DEFAULT_BUCKETS, SEED)
+    sizes = B.bucket_sizes(bucket_lengths(indexed.select("row_id", "length"), DEFAULT_BUCKETS))
+    n = len(EPOCHS) * sum(x // BATCH for x in sizes.values())
+    return write_batch_store(batches, scratch_dir(spark, "batches"), n, STORE_FILE)
+
+
+def q_batch_restart(spark, sf_dir):
+    """A stored epoch from one of its batches to the end."""
+    return _batch_report(read_batches(spark, _batch_store(spark, sf_dir), EPOCHS[1], RESTART))
+
+
+def q_batch_at(spark, sf_dir):
+    """One stored batch of an epoch."""
+    return _batch_report(read_batch(spark, _batch_store(spark, sf_dir), EPOCHS[2], RESTART))
+
+
 def q_left_out_rows(spark, sf_dir):
     """Rows that fill no whole batch, per epoch: others in each."""
     b = materialize(_lengths(spark, sf_dir).select("row_id", "bucket"))
@@ -628,6 +649,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batches_test": q_batches_test,
     "first_batch": q_first_batch,
     "batches_epochs": q_batches_epochs,
+    "batch_restart": q_batch_restart,
+    "batch_at": q_batch_at,
     "left_out_rows": q_left_out_rows,
     "batch_layout": q_batch_layout,
     "batches_per_epoch": q_batches_per_epoch,
@@ -987,6 +1010,12 @@ SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
     "batches_epochs": f"""WITH {_epochs_cte()}, {_BATCH_REPORT}
 SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt""",
+    "batch_restart": f"""WITH {_epochs_cte()}, {_BATCH_REPORT}
+SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt
+WHERE epoch = {EPOCHS[1]} AND batch_seq >= {RESTART}""",
+    "batch_at": f"""WITH {_epochs_cte()}, {_BATCH_REPORT}
+SELECT epoch, batch_seq, bucket, n_rows, seq_len, row_ids, Y, X_md5 FROM bt
+WHERE epoch = {EPOCHS[2]} AND batch_seq = {RESTART}""",
     "left_out_rows": f"""WITH {_epochs_cte()}
 SELECT CAST(epoch AS INTEGER) AS epoch, bucket, row_id AS doc_id, CAST(rnk AS BIGINT) AS rank
 FROM ranked WHERE rnk // {BATCH} >= bn // {BATCH}""",
