@@ -47,7 +47,8 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     out = entry.entry(spark)
     rows = out.collect()
-    assert [r["bucket"] for r in sorted(rows)] == [32, 64, 128, 256, 512, 1024]
+    assert sorted((r["split"], r["bucket"]) for r in rows) == [
+        (s, b) for s in ("test", "train") for b in (32, 64, 128, 256, 512, 1024)]
     assert sum(r["n"] for r in rows) > 0
 
 
