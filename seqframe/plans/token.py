@@ -103,7 +103,8 @@ def train_and_score(train: DataFrame, test: DataFrame, label_vocab: DataFrame,
     names = label_names_of(label_vocab)
     # A null text has no tokens, hence no n-grams; it is scored by the class priors.
     no_null = F.coalesce("T", F.array().cast("array<string>"))
-    tr, te = (index_labels(with_tokens(df, text_col, max_tokens).withColumn("T", no_null),
-                           label_vocab, label_col, "Y") for df in (train, test))
+    # The fit reads its rows once per iteration and the rules cost most: tokens are written once.
+    tr, te = (index_labels(tokenized(df.select(row_col, text_col, label_col), text_col, max_tokens).withColumn(
+        "T", no_null), label_vocab, label_col, "Y") for df in (train, test))
     model = fit_classifier(tr.select(row_col, "T", "Y"), "T", "Y", **fit_args)
     return model, predict_proba(model, te.select(row_col, "T", "Y"), names, row_col, keep=["Y"])
