@@ -134,3 +134,71 @@ def test_notices_of_every_family(docs):
     assert {f.label for f in licenses.FAMILIES} == {
         f.label for f in licenses.FAMILIES for k in NOTICES
         if k == f.label or k in [f"{f.label}-{v}" for v in f.versions]}
+
+
+AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"'
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+       "provided that the following conditions are met:\n1. Redistributions of source code must retain the "
+       "above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions "
+       "in binary form must reproduce the above copyright notice, this list of conditions and the following "
+       "disclaimer in the documentation and/or other materials provided with the distribution.\n")
+ADVERT = ("3. All advertising materials mentioning features or use of this software must display the "
+          "following acknowledgement: This product includes software developed by the organization.\n4. ")
+NEITHER = ("Neither the name of the copyright holder nor the names of its contributors may be used to "
+           "endorse or promote products derived from this software without specific prior written "
+           "permission.\n")
+FSF = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+       "General Public License as published by the Free Software Foundation; ")
+BODY_TEXTS = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+           'and associated documentation files (the "Software"), to deal in the Software without '
+           "restriction, including without limitation the rights to use, copy, modify",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+           "without fee is hereby granted, provided that the above copyright notice and this permission "
+           "notice appear in all copies.",
+    "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+            'without fee is hereby granted.\n\nTHE SOFTWARE IS PROVIDED "AS IS"',
+    "bsd-2-clause": BSD + AS_IS,
+    "bsd-3-clause": f"{BSD}3. {NEITHER}{AS_IS}",
+    "bsd-4-clause": BSD + ADVERT + NEITHER + AS_IS,
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will "
+            "the authors be held liable for any damages arising from the use of this software.",
+    "boost-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a "
+                 "copy of the software and accompanying documentation covered by this license",
+    "sil-ofl-1.1": "Permission is hereby granted, free of charge, to any person obtaining a copy of the "
+                   "Font Software, to use, study, copy",
+    "apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
+                  "file except in compliance with the License.",
+    "gpl-2.0": FSF + "either version 2 of the License, or (at your option) any later version.",
+    "gpl-3.0": FSF + "either version 3 of the License, or (at your option) any later version.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or "
+               "neighboring rights to this work.",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "beerware": "As long as you retain this notice you can do whatever you want with this stuff.",
+}
+
+
+def test_bodies_without_a_name(docs):
+    for (label, t), r in zip(BODY_TEXTS.items(), scanned(docs, list(BODY_TEXTS.values())), strict=True):
+        labels = set(r["labels"].split(","))
+        assert labels - set(r["base_labels"].split(",")) - {"unknown-license", "public-domain"} == {label}, (
+            label, labels)
+        assert r["score"] >= 0.95, label
+
+
+def test_both_of_two_versions(docs):
+    cases = {
+        "Licensed under GPL version 2 or version 3": {"gpl-2.0", "gpl-3.0"},
+        "the GNU General Public License, version 2 or 3": {"gpl", "gpl-2.0", "gpl-3.0"},
+        "GNU LGPL v2.1 or v3": {"lgpl-2.1", "lgpl-3.0"},
+        "GPL version 2 or later": {"gpl-2.0"},
+    }
+    for want, r in zip(cases.values(), scanned(docs, list(cases)), strict=True):
+        assert set(r["labels"].split(",")) == want, r["labels"]
+
+
+def test_license_rows_repeated_and_null(docs):
+    rows = [(1, "MIT License"), (1, "MIT License"), (None, "MIT License"), (None, None)]
+    got = sorted((r["doc_id"] or 0, r["labels"], r["n_words"]) for r in licenses.scan(docs(rows)).collect())
+    assert got == [(0, "", 0), (0, "mit", 2), (1, "mit", 2), (1, "mit", 2)]
