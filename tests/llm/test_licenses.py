@@ -202,3 +202,11 @@ def test_license_rows_repeated_and_null(docs):
     rows = [(1, "MIT License"), (1, "MIT License"), (None, "MIT License"), (None, None)]
     got = sorted((r["doc_id"] or 0, r["labels"], r["n_words"]) for r in licenses.scan(docs(rows)).collect())
     assert got == [(0, "", 0), (0, "mit", 2), (1, "mit", 2), (1, "mit", 2)]
+
+
+def test_bodies_in_very_long_texts(docs):
+    texts = [BSD * 2_000, BSD + "x" * 1_000_000 + f" {NEITHER}", "the name of " * 50_000 + BSD + AS_IS]
+    first, second, third = scanned(docs, texts)
+    assert first["labels"] == "bsd" and len(first["detections"]) >= 2_000
+    assert second["labels"] == "bsd-3-clause"
+    assert third["labels"] == "bsd-2-clause"
