@@ -15,10 +15,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 from seqframe.functions.text import DEFAULT_BUCKETS, pad_to_bucket, validated_buckets
 from seqframe.operators.buckets import bucket_counts
-from seqframe.operators.numbering import dense_index, rank_within, salt_chars_for
+from seqframe.operators.numbering import (
+    TARGET_GROUP_BYTES,
+    dense_index,
+    group_bounds,
+    rank_within,
+    salt_chars_for,
+)
 
 
 def shuffle_key(seed: int, epoch: int, *cols: str | Column) -> Column:
@@ -35,6 +42,25 @@ def bucket_sizes(df: DataFrame, bucket_col: str = "bucket") -> dict[int, int]:
     return {int(r[bucket_col]): int(r["count"]) for r in rows if r[bucket_col] is not None}
 
 
+def carried_bytes(df: DataFrame, cols: Sequence[str]) -> Column:
+    """About the bytes of a row's ``cols``: text and binary by their length, arrays by their elements."""
+    def size(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.octet_length(c)
+        if isinstance(kind, ArrayType):
+            if isinstance(kind.elementType, (StringType, BinaryType)):
+                return F.aggregate(c, F.lit(0).cast("long"),
+                                   lambda a, x: a + 8 + F.coalesce(F.octet_length(x), F.lit(0)))
+            return F.size(c) * 8
+        return F.lit(8)
+
+    total = F.lit(0).cast("long")
+    for c in cols:
+        total = total + F.when(F.col(c).isNull(), F.lit(0)).otherwise(size(c))
+    return total
+
+
 def _bucket_case(bucket: Column, values: dict[int, int], default: int = 0) -> Column:
     expr = None
     for b, v in sorted(values.items()):
@@ -52,8 +78,13 @@ def batch_rows(
     row_col: str = "row_id",
     keep: Sequence[str] = (),
     sizes: dict[int, int] | None = None,
+    target_group_bytes: int = TARGET_GROUP_BYTES,
 ) -> DataFrame:
-    """``(epoch, bucket, batch, row_id, rank, *keep)`` for rows that land in a full batch."""
+    """``(epoch, bucket, batch, row_id, rank, *keep)`` for rows that land in a full batch.
+
+    The columns of ``keep`` travel through the ranking, so their bytes are summed per bucket
+    and a bucket of few long rows is cut as finely as one of many short rows.
+    """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     # Rows without a bucket are dropped by the `kept` lookup after ranking, not
@@ -61,7 +92,9 @@ def batch_rows(
     frame = df.select(row_col, bucket_col, *keep, shuffle_key(seed, epoch, row_col).alias("_key"))
     if sizes is None:
         sizes = bucket_sizes(frame, bucket_col)
-    salt = salt_chars_for(max(sizes.values(), default=0))
+    heaviest = group_bounds(frame, [bucket_col], carried_bytes(frame, keep))[1] if keep else 0
+    salt = salt_chars_for(max(sizes.values(), default=0), max_group_bytes=heaviest,
+                          target_bytes=target_group_bytes)
     ranked = rank_within(frame, "_key", [bucket_col], out="rank", tiebreak=[row_col],
                          salt_chars=salt)
     # Rows of a bucket that fill whole batches; the rest of the bucket is left out.
@@ -247,8 +280,8 @@ def fixed_batches(
     base = df.select(row_col, *keep)
     if shuffle:
         keyed = base.withColumn("_key", shuffle_key(seed, epoch, row_col))
-        ranked = rank_within(keyed, "_key", (), out="rank", tiebreak=[row_col],
-                             total_col="_total").drop("_key")
+        ranked = rank_within(keyed, "_key", (), out="rank", tiebreak=[row_col], total_col="_total",
+                             row_bytes=carried_bytes(base, keep) if keep else None).drop("_key")
     else:
         ranked = dense_index(base, [F.col(row_col).asc()], out="rank")
         total = ranked.count()

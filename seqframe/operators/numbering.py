@@ -10,7 +10,8 @@ the work spread out and only bring a small, bounded table of offsets together:
   the key, so ``row_number`` runs per sub-group and a running sum of the
   sub-group sizes gives each sub-group's offset.  The salt width follows the
   size of the largest group, so a group holding a third of all rows is still
-  cut into task-sized pieces.
+  cut into task-sized pieces.  Where rows carry data of any length, the width
+  follows the largest group's bytes as well.
 * ``dense_index`` numbers rows in any total order (for example "count
   descending, first seen ascending").  It range-partitions on the order,
   numbers rows inside each range partition with ``monotonically_increasing_id``
@@ -30,14 +31,49 @@ from seqframe.session import ensure_checkpoint_dir
 
 # Rows per (group, salt) sub-group that one task sorts for its row_number.
 TARGET_GROUP_ROWS = 2_000_000
+TARGET_GROUP_BYTES = 256 << 20
 MAX_SALT_CHARS = 6
+# Digits that one running sum goes over: at most 16**3 rows a group in a task.
+WINDOW_CHARS = 3
 
 
-def salt_chars_for(max_group_rows: int, target_rows: int = TARGET_GROUP_ROWS) -> int:
-    """Hex digits of salt so that max_group_rows / 16**d <= target_rows."""
-    if max_group_rows <= target_rows:
+def salt_chars_for(max_group_rows: int, target_rows: int = TARGET_GROUP_ROWS,
+                   max_group_bytes: int = 0, target_bytes: int = TARGET_GROUP_BYTES) -> int:
+    """Hex digits of salt so that max_group_rows / 16**d <= target_rows, and likewise the bytes."""
+    share = max(max_group_rows / target_rows, max_group_bytes / target_bytes)
+    if share <= 1:
         return 1
-    return min(MAX_SALT_CHARS, max(1, math.ceil(math.log(max_group_rows / target_rows, 16))))
+    return min(MAX_SALT_CHARS, max(1, math.ceil(math.log(share, 16))))
+
+
+def group_bounds(df: DataFrame, parts: Sequence[str], row_bytes: Column | None = None) -> tuple[int, int]:
+    """Rows of the largest group and bytes (sum of ``row_bytes``) of the heaviest, in one aggregate."""
+    size = F.lit(0) if row_bytes is None else F.coalesce(row_bytes, F.lit(0))
+    sums = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"), F.sum(size.cast("long")).alias("_b"))
+    r = sums.agg(F.max("_n"), F.max("_b")).first()
+    return int(r[0] or 0), int(r[1] or 0)
+
+
+def _offsets(sizes: DataFrame, parts: Sequence[str], salt_chars: int, total_col: str | None) -> DataFrame:
+    """``(*parts, _salt, _off)``: rows of the group before each sub-group of ``sizes``.
+
+    Past ``WINDOW_CHARS`` digits the running sum is taken in two levels, within the sub-groups of a
+    common head and over the heads, so that no task orders more than 16**WINDOW_CHARS rows of a group.
+    """
+    def before(order: str, *groups: str) -> Column:
+        w = Window.partitionBy(*groups).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        return F.sum("_n").over(w) - F.col("_n")
+
+    whole = [F.sum("_n").over(Window.partitionBy(*parts)).alias(total_col)] if total_col else []
+    if salt_chars <= WINDOW_CHARS:
+        return sizes.select(*parts, "_salt", before("_salt", *parts).alias("_off"), *whole)
+    headed = sizes.withColumn("_head", F.substring("_salt", 1, salt_chars - WINDOW_CHARS))
+    heads = headed.groupBy(*parts, "_head").agg(F.sum("_n").alias("_n")).select(
+        *parts, "_head", before("_head", *parts).alias("_base"), *whole)
+    inside = headed.withColumn("_off", before("_salt", *parts, "_head"))
+    return inside.join(heads, [*parts, "_head"]).select(
+        *parts, "_salt", (F.col("_base") + F.col("_off")).alias("_off"), *([total_col] if total_col else []))
 
 
 def rank_within(
@@ -49,6 +85,8 @@ def rank_within(
     salt_chars: int | None = None,
     target_group_rows: int = TARGET_GROUP_ROWS,
     total_col: str | None = None,
+    row_bytes: Column | None = None,
+    target_group_bytes: int = TARGET_GROUP_BYTES,
 ) -> DataFrame:
     """0-based rank by ``key_col`` (a lower-case hex string) within ``partition_cols``.
 
@@ -56,6 +94,8 @@ def rank_within(
     may be arbitrarily skewed.  Equal to
     ``row_number() over (partition by partition_cols order by key, tiebreak) - 1``.
     With ``total_col``, also adds the number of rows of the row's group.
+    ``row_bytes`` is the size of what a row carries through the sort; a group of few
+    long rows is then cut as finely as its bytes ask for.
 
     ``partition_cols`` should be stored values (a written or checkpointed
     table): the join with the offsets implies ``IS NOT NULL`` on them, and
@@ -64,25 +104,13 @@ def rank_within(
     """
     parts = list(partition_cols)
     if salt_chars is None:
-        if parts:
-            biggest = df.groupBy(*parts).count().agg(F.max("count")).first()[0]
-        else:
-            biggest = df.count()
-        salt_chars = salt_chars_for(int(biggest or 0), target_group_rows)
+        rows, size = group_bounds(df, parts, row_bytes)
+        salt_chars = salt_chars_for(rows, target_group_rows, size, target_group_bytes)
     salt = "_salt"
     salted = df.withColumn(salt, F.substring(F.col(key_col), 1, salt_chars))
     groups = parts + [salt]
     sizes = salted.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*parts).orderBy(salt).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    extra = []
-    if total_col:
-        whole = Window.partitionBy(*parts)
-        extra = [F.sum("_n").over(whole).alias(total_col)]
-    offsets = sizes.select(
-        *groups, (F.sum("_n").over(running) - F.col("_n")).alias("_off"), *extra
-    )
+    offsets = _offsets(sizes, parts, salt_chars, total_col)
     # Same keys as the window below, so the big side is shuffled once.
     joined = salted.join(offsets, on=groups, how="inner")
     order = [F.col(key_col)] + [F.col(c) for c in tiebreak]
