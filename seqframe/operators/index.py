@@ -10,8 +10,10 @@ Two physical strategies, picked by the vocabulary's (checked) size:
   needs unique row ids.  The vocabulary is broadcast when its counted terms and
   bytes allow.  Past those bounds its most frequent terms of bounded length are
   broadcast, then the answers for the most frequent terms still open (unseen
-  or long ones, by the SHA-256 of the term), and only the rest goes through a
-  shuffle join, where no term holds more than one part in ``hot_terms``.
+  or long ones, by the SHA-256 of the term).  A broadcast Bloom filter of the
+  other entries answers nearly all unseen terms among the rest without a
+  shuffle; what may be known goes through a shuffle join, where no term holds
+  more than one part in ``hot_terms``.
 
 Both give the same result.  A null element is no term: it is not counted by
 ``vocab.term_counts`` and its index is ``unseen``.
@@ -38,6 +40,12 @@ from seqframe.session import materialize
 # Largest vocabulary looked up by array scan (per element cost is linear).
 ARRAY_MAX_TERMS = 256
 
+# Bloom filter of the entries that are not broadcast: 64-bit words of about 6 terms with 5 bits each
+# (about 1 % of unseen terms pass); 4M words of two numbers are a broadcast of some 100 MB.
+BLOOM_BITS = 5
+BLOOM_TERMS_PER_WORD = 6
+BLOOM_MAX_WORDS = 4_000_000
+
 
 def _terms_array(terms: Sequence[str]) -> Column:
     return F.array(*[F.lit(t) for t in terms]).cast("array<string>")
@@ -63,6 +71,42 @@ def index_label_with_terms(label: Column | str, terms: Sequence[str], unseen: in
     return F.when(pos.isNull() | (pos == 0), F.lit(unseen)).otherwise(pos - 1).cast("int")
 
 
+def _bloom_word(term: Column, words: int) -> Column:
+    """The word of the filter that a term belongs to."""
+    return F.pmod(F.xxhash64(term), F.lit(words)).cast("int")
+
+
+def _bloom_mask(term: Column) -> Column:
+    """``BLOOM_BITS`` bits of a 64-bit word, from a second hash of the term."""
+    h = F.xxhash64(F.lit(1), term)
+    mask = F.lit(0).cast("long")
+    for i in range(BLOOM_BITS):
+        place = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    return mask
+
+
+def bloom_filter(vocab: DataFrame, n_terms: int, max_words: int = BLOOM_MAX_WORDS) -> tuple[DataFrame, int]:
+    """Blocked Bloom filter of the terms of ``vocab``: ``(_word, _bits)`` and the number of words.
+
+    Built by one aggregation with map-side combine.  Words grow with the terms up to
+    ``max_words``, the bound of the broadcast; past it the filter only lets more unseen terms through.
+    """
+    words = max(1, min(max_words, -(-n_terms // BLOOM_TERMS_PER_WORD)))
+    term = F.col("term")
+    return vocab.where(term.isNotNull()).groupBy(_bloom_word(term, words).alias("_word")).agg(
+        F.bit_or(_bloom_mask(term)).alias("_bits")), words
+
+
+def may_hold(df: DataFrame, term_col: str, bloom: DataFrame, words: int, out: str = "_maybe") -> DataFrame:
+    """``df`` with ``out``: false where the filter's vocabulary surely lacks the term (null: false)."""
+    term = F.col(term_col)
+    mask = _bloom_mask(term)
+    joined = df.withColumn("_word", _bloom_word(term, words)).join(F.broadcast(bloom), "_word", "left")
+    held = F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(mask) == mask
+    return joined.withColumn(out, held & term.isNotNull()).drop("_word", "_bits")
+
+
 def _look_up(df: DataFrame, term_col: str, vocab: DataFrame, broadcast_max_terms: int,
              broadcast_max_bytes: int, hot_terms: int) -> DataFrame:
     """``df`` with ``_idx``, the index of ``term_col`` (null if unseen or null)."""
@@ -87,11 +131,13 @@ def _look_up(df: DataFrame, term_col: str, vocab: DataFrame, broadcast_max_terms
     answers = heavy.join(known, "_key", "left").select("_key", F.coalesce("_idx", F.lit(-1)).alias("_a"))
     second = misses.withColumn("_key", F.sha2(term.cast("binary"), 256)).join(
         F.broadcast(answers), "_key", "left").drop("_key")
-    answered = second.where(F.col("_a").isNotNull()).withColumn(
-        "_idx", F.when(F.col("_a") >= 0, F.col("_a"))).drop("_a")
-    rest = second.where(F.col("_a").isNull()).drop("_a").join(
-        tail, term == F.col("_term"), "left").drop("_term")
-    return hits.unionByName(answered).unionByName(rest)
+    bloom, words = bloom_filter(tail.select(F.col("_term").alias("term")), tail.count())
+    checked = may_hold(second, term_col, bloom, words)
+    asked = F.col("_a").isNull() & F.col("_maybe")
+    settled = checked.where(~asked).withColumn("_idx", F.when(F.col("_a") >= 0, F.col("_a"))).drop(
+        "_a", "_maybe")
+    rest = checked.where(asked).drop("_a", "_maybe").join(tail, term == F.col("_term"), "left").drop("_term")
+    return hits.unionByName(settled).unionByName(rest)
 
 
 def index_labels(

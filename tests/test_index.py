@@ -175,3 +175,31 @@ def test_split_join_evaluates_its_input_once(spark):
     assert "split(" not in text.getvalue() and "Generate" not in text.getvalue()
     plain = index_sequences(df, "T", vocab, method="join")
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_bloom_filter_holds_every_term_and_few_others(spark):
+    from seqframe.operators.index import bloom_filter, may_hold
+
+    vocab = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("term")).unionByName(
+        spark.createDataFrame([(None,), ("",)], "term string"))
+    asked = vocab.unionByName(spark.range(5000).select(F.concat(F.lit("u"), "id").alias("term")))
+    bloom, words = bloom_filter(vocab, 5000)
+    out = may_hold(asked, "term", bloom, words)
+    got = {r["term"]: r["_maybe"] for r in out.collect()}
+    assert out.count() == asked.count() and got[None] is False and got[""] is True
+    assert all(got[f"t{i}"] for i in range(5000))
+    assert sum(got[f"u{i}"] for i in range(5000)) < 250
+    # A bound on the words lets more through, and loses nothing.
+    small, words = bloom_filter(vocab, 5000, max_words=3)
+    assert words == 3 and small.count() <= 3
+    assert all(r["_maybe"] for r in may_hold(vocab.where("term is not null"), "term", small, words).collect())
+
+
+def test_unseen_terms_do_not_reach_the_shuffle_join(spark):
+    vocab = spark.createDataFrame([(i, f"t{i}", 1) for i in range(200)], "idx int, term string, n long")
+    df = spark.range(3000).select(F.col("id").alias("row_id"), F.array(
+        F.concat(F.when(F.col("id") % 3 == 0, "t").otherwise("u"), F.col("id"))).alias("s"))
+    out = index_sequences(df, "s", vocab, method="join", broadcast_max_terms=0, hot_terms=3)
+    assert _by_row(out) == {i: [i if i % 3 == 0 and i < 200 else -1] for i in range(3000)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan
