@@ -7,19 +7,21 @@ file system; only files named in the task's committed output count, so a failed
 attempt leaves nothing that is read.
 
 Index: captures are range-sorted by reversed-host URL key (SURT) and written as shards of compressed
-blocks of ``BLOCK`` lines.  Level one is the sparse directory, one row per block with its first key; it
-stays a table, split by shard.  Level two are the blocks.  A lookup sends each key to the
-shards whose key range holds it (by binary search over one bound per shard), finds its first
-block by binary search in the shard's directory, range-reads that block and the following ones
-as long as they can hold the key, and yields record addresses.  Records are then range-read in file
-order.
+blocks of ``BLOCK`` lines, at most about ``SHARD_ROWS`` captures a shard.  Level one is the sparse
+directory, one row per block with its first key; it stays a table, split by shard.  Level two are the
+blocks.  A lookup sends each key to the shards whose key range holds it (by binary search over one bound
+per shard) and sorts it behind the shard's directory; a task holds one shard's directory and one block
+while keys stream past in order: it finds a key's first block by binary search, range-reads that block
+and the following ones as long as they can hold the key, and yields record addresses.  Records are then
+range-read in file order.
 
 The html is shuffled once, by page id.  Keys with any number of captures spread over shards, since
 captures are sorted by key and id.
 
 A null html is an empty payload, a null url an empty key.  Null page ids are never
-referred to while another page has the payload.  Repeated page ids are separate records.  An
-empty table gives no files and an empty result; extra columns are ignored.
+referred to while another page has the payload.  Repeated page ids are separate records.  Tabs and line
+ends in keys count as spaces, a scheme's own port as none.  An empty table gives no files and an empty
+result; extra columns are ignored.  Folders are those that ``pyarrow.fs`` opens (local, HDFS, S3, GCS).
 """
 
 from __future__ import annotations
@@ -41,18 +43,26 @@ from seqframe.llm.common import read, store
 from seqframe.session import scratch_dir
 
 BLOCK = 512
+SHARD_ROWS = 1 << 19
+ANSWERS = 1 << 14
 FILE_BYTES = 1 << 30
 DATE = "2024-06-01T00:00:00Z"
 _CRLF = b"\r\n"
 
 
 def surt(url: str | None) -> str:
-    """Reversed-host key: ``https://Blog.Example.org/a?b`` -> ``org,example,blog)/a?b``."""
+    """Reversed-host key: ``https://Blog.Example.org:8443/a?b`` -> ``org,example,blog:8443)/a?b``."""
     rest = (url or "").split("#", 1)[0]
-    rest = rest.split("://", 1)[-1]
+    scheme, mark, after = rest.partition("://")
+    scheme, rest = (scheme, after) if mark else ("", rest)
     cut = min([rest.find(c) for c in "/?" if c in rest], default=len(rest))
-    host = rest[:cut].rpartition("@")[2].lower().rstrip(".")
-    return ",".join(reversed(host.split("."))) + ")" + (rest[cut:] or "/")
+    host, colon, port = rest[:cut].rpartition("@")[2].lower().rpartition(":")
+    if not colon or (port and not port.isdigit()):  # no port, or part of an address in brackets
+        host, port = host + colon + port, ""
+    if port == {"http": "80", "https": "443"}.get(scheme.lower()):
+        port = ""
+    name = ",".join(reversed(host.rstrip(".").split(".")))
+    return name + (f":{port}" if port else "") + ")" + (rest[cut:] or "/")
 
 
 def digest(payload: bytes) -> str:
@@ -138,10 +148,9 @@ def write_archive(pages: DataFrame, folder: str) -> DataFrame:
     revisits = prints.join(best.where("n > 1"), "print").where(
         ~F.col("page_id").eqNullSafe(F.col("best"))).select("page_id", "print", "best")
     # Joined on id and payload, so an id that repeats with several payloads is told apart.
-    joined = rows.withColumn("_p", F.coalesce("page_id", F.lit(-1))).withColumn(
-        "print", F.sha2("html", 256)).join(
-        revisits.select(F.coalesce("page_id", F.lit(-1)).alias("_p"), "print", "best"),
-        ["_p", "print"], "left").select("page_id", "url", "html", "best")
+    name = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("_p")
+    joined = rows.select("*", name, F.sha2("html", 256).alias("print")).join(
+        revisits.select(name, "print", "best"), ["_p", "print"], "left").select("page_id", "url", "html", "best")
     _make_folder(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,10 +186,17 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
+def _plain(key: str):
+    """Tabs and line ends separate the fields of an index line; keys hold neither."""
+    return F.regexp_replace(key, r"[\t\r\n]", " ")
+
+
 def write_index(captures: DataFrame, folder: str) -> DataFrame:
     """Write sorted, compressed blocks; the directory ``shard, first, last, file, offset, length``."""
-    n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = captures.repartitionByRange(n, "key", "page_id", "file", "offset").sortWithinPartitions(
+    n = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            -(-captures.count() // SHARD_ROWS))
+    ranged = captures.withColumn("key", _plain("key")).repartitionByRange(
+        n, "key", "page_id", "file", "offset").sortWithinPartitions(
         "key", "page_id", "file", "offset").withColumn("shard", F.spark_partition_id().cast("long"))
     _make_folder(folder)
 
@@ -206,14 +222,12 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
         finally:
             files.close()
 
-    # Tabs and line ends separate fields; keys hold neither.
-    clean = ranged.withColumn("key", F.regexp_replace("key", r"[\t\r\n]", " "))
-    return store(clean.mapInArrow(run, _spark(DIRECTORY)), "directory")
+    return store(ranged.mapInArrow(run, _spark(DIRECTORY)), "directory")
 
 
 def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     """All captures of the keys (column ``key``): ``key, page_id, file, offset, length``."""
-    # One row per index shard, as many as the range sort has partitions.
+    # One row per index shard.
     bounds = directory.groupBy("shard").agg(F.min("first"), F.max("last")).orderBy("shard").collect()
     firsts, lasts, shards = [b[1] for b in bounds], [b[2] for b in bounds], [b[0] for b in bounds]
 
@@ -223,33 +237,53 @@ def lookup(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
                    for i in range(bisect_left(lasts, k), bisect_right(firsts, k))]
             yield _batch(out, pa.schema([("shard", pa.int64()), ("key", pa.string())]))
 
-    def search(wanted: pa.Table, blocks: pa.Table) -> pa.Table:
-        wanted = sorted(wanted.column("key").to_pylist())
-        rows = sorted(zip(*(blocks.column(c).to_pylist() for c in
-                            ("first", "offset", "last", "file", "length")), strict=True))
-        starts, ends = [r[0] for r in rows], [r[2] for r in rows]
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per shard its directory rows, then the keys asked of it, both in order."""
         where, root = fs.FileSystem.from_uri(folder)
-        opened, at, entries, out = {}, -1, {}, []
-        for key in wanted:
-            for i in range(bisect_left(ends, key), bisect_right(starts, key)):
-                if i != at:  # keys come sorted, so a block is read once
-                    _, offset, _, name, length = rows[i]
-                    if name not in opened:
-                        opened[name] = where.open_input_file(f"{root}/{name}")
-                    data = zlib.decompress(opened[name].read_at(length, offset), 31).decode()
-                    at, entries = i, {}
-                    for line in data.split("\n")[:-1]:
-                        k, p, f, o, z = line.split("\t")
-                        entries.setdefault(k, []).append((k, int(p) if p else None, f, int(o), int(z)))
-                out += entries.get(key, ())
-        for f in opened.values():
-            f.close()
-        return pa.Table.from_batches([_batch(out, CAPTURE)])
-
-    clean = keys.select(F.regexp_replace("key", r"[\t\r\n]", " ").alias("key")).distinct()
-    routed = clean.mapInArrow(route, "shard long, key string")
-    return routed.groupBy("shard").cogroup(directory.groupBy("shard")).applyInArrow(
-        search, _spark(CAPTURE))
+        shard, name, handle = None, None, None
+        starts, ends, places, at, entries = [], [], [], -1, {}
+        for b in batches:
+            out = []
+            for s, key, last, file, offset, length in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if s != shard:
+                    shard, starts, ends, places, at = s, [], [], [], -1
+                if file is not None:
+                    starts.append(key)
+                    ends.append(last)
+                    places.append((file, offset, length))
+                    continue
+                for i in range(bisect_left(ends, key), bisect_right(starts, key)):
+                    if i != at:  # keys come sorted, so a block is read once
+                        f, o, n = places[i]
+                        if f != name:
+                            if handle is not None:
+                                handle.close()
+                            name, handle = f, where.open_input_file(f"{root}/{f}")
+                        at, entries = i, _entries(zlib.decompress(handle.read_at(n, o), 31))
+                    out += entries.get(key, ())
+                    if len(out) >= ANSWERS:
+                        yield _batch(out, CAPTURE)
+                        out = []
+            yield _batch(out, CAPTURE)
+        if handle is not None:
+            handle.close()
+
+    asked = keys.select(_plain("key").alias("key")).distinct().mapInArrow(route, "shard long, key string")
+    blocks = directory.select("shard", F.col("first").alias("key"), "last", "file", "offset", "length")
+    both = blocks.unionByName(asked, allowMissingColumns=True)
+    n = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(shards))
+    return both.repartition(n, "shard").sortWithinPartitions(
+        "shard", F.col("file").isNull(), "key", "last", "file", "offset").select(
+        "shard", "key", "last", "file", "offset", "length").mapInArrow(search, _spark(CAPTURE))
+
+
+def _entries(block: bytes) -> dict[str, list[tuple]]:
+    """The captures of an index block by key."""
+    out: dict[str, list[tuple]] = {}
+    for line in block.decode().split("\n")[:-1]:
+        k, p, f, o, z = line.split("\t")
+        out.setdefault(k, []).append((k, int(p) if p else None, f, int(o), int(z)))
+    return out
 
 
 def read_records(captures: DataFrame, folder: str) -> DataFrame:
