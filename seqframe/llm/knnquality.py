@@ -88,7 +88,8 @@ def features(text: bytes) -> np.ndarray:
 
 
 def is_held_out(doc_id="doc_id"):
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0
+    """Whether the id's checksum falls into fold 0; a null id is in no fold, hence false."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE):
