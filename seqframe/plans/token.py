@@ -95,6 +95,21 @@ def label_names_of(label_vocab: DataFrame) -> list[str]:
     return [r["term"] for r in sorted(rows, key=lambda r: r["idx"])]
 
 
+def row_report(df: DataFrame, label_vocab: DataFrame, text_col: str = "description",
+               label_col: str = "label", by: str = "split") -> DataFrame:
+    """``(by, n, n_null_text, n_no_class, n_used)``: what ``train_and_score`` makes of the rows.
+
+    Rows whose label is null or unknown in training are not learned from and not counted in the
+    accuracy; rows of null text are used, without n-grams.
+    """
+    y = index_labels(df.select(by, label_col, F.col(text_col).isNull().alias("_null")), label_vocab,
+                     label_col, "Y")
+    known = F.col("Y") >= 0
+    return y.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_null").alias("n_null_text"),
+        F.count_if(~known).alias("n_no_class"), F.count_if(known).alias("n_used"))
+
+
 def train_and_score(train: DataFrame, test: DataFrame, label_vocab: DataFrame,
                     text_col: str = "description", label_col: str = "label",
                     row_col: str = "row_id", max_tokens: int = MAX_TOKENS,

@@ -534,6 +534,13 @@ def q_accuracy(spark, sf_dir):
     return _accuracy_report(pred)
 
 
+def q_excluded_rows(spark, sf_dir):
+    """Per split the rows that the classifier uses, and those it leaves out."""
+    a = _labelled(spark, sf_dir)
+    label_vocab = C.fit_label_vocab(a.where(F.col("split") == "train"), None)
+    return T.row_report(a, label_vocab)
+
+
 def q_char_accuracy(spark, sf_dir):
     """Character training job: classifier on the prepared character rows, scored on test."""
     idx, _, label_vocab = _char_prepared(spark, sf_dir, CHAR_CAP)
@@ -594,8 +601,11 @@ def _turns(spark, sf_dir):
     index, as a reader would number rows in file order.
     """
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    numbered = dense_index(c, [F.col("conv_id").asc(), F.col("turn").asc()], out="row_id")
-    return numbered.withColumn("split", split_of("row_id"))
+    keys = c.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"))
+    numbered = dense_index(keys, [F.col("_c").asc(), F.col("_t").asc()], out="row_id")
+    # The texts are joined to their numbers: only keys are range-sorted and frozen.
+    same = F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t"))
+    return c.join(numbered, same).drop("_c", "_t").withColumn("split", split_of("row_id"))
 
 
 def q_conv_role_vocab(spark, sf_dir):
@@ -676,6 +686,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_texts": q_predict_texts,
     "predict_top": q_predict_top,
     "accuracy": q_accuracy,
+    "excluded_rows": q_excluded_rows,
     "char_accuracy": q_char_accuracy,
     "conv_role_vocab": q_conv_role_vocab,
     "conv_token_vocab": q_conv_token_vocab,
@@ -1098,5 +1109,9 @@ SELECT row_id AS doc_id, prediction, cls, round(p, 9) AS p FROM m_p JOIN m_top U
 SELECT row_id AS doc_id, CAST(coalesce(v.idx, -1) AS INTEGER) AS Y, TRUE AS is_argmax
 FROM labelled LEFT JOIN lvocab v ON label = v.term WHERE split = 'test'""",
     "accuracy": _ACCURACY_SQL,
+    "excluded_rows": f"""WITH {LABELLED}, {_label_vocab_sql(None)}
+SELECT split, count(*) AS n, count(*) FILTER (WHERE description IS NULL) AS n_null_text,
+       count(*) - count(v.idx) AS n_no_class, count(v.idx) AS n_used
+FROM labelled LEFT JOIN lvocab v ON label = v.term GROUP BY split""",
     "char_accuracy": _ACCURACY_SQL,
 }

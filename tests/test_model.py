@@ -92,3 +92,18 @@ def test_raw_texts_null_and_empty_are_scored(spark):
     rows = predict_texts(model, df, T.label_names_of(lv), text_col="description").collect()
     assert len(rows) == 6
     assert all(abs(sum(c["p"] for c in r["probs"]) - 1) < 1e-9 for r in rows)
+
+
+def test_rows_left_out_are_counted(spark):
+    from seqframe.operators.model import trainable
+    from seqframe.operators.index import index_labels
+
+    rows = [(0, "a b", "x", "train"), (1, None, "x", "train"), (2, "c", None, "train"), (3, None, None, "train"),
+            (4, "d", "y", "train"), (5, "e", "new", "test"), (6, None, "new", "test"), (7, "f", "x", "test")]
+    df = spark.createDataFrame(rows, "row_id long, description string, label string, split string")
+    lv = fit_label_vocab(df.where("split = 'train'"), None)
+    got = {r["split"]: tuple(r)[1:] for r in T.row_report(df, lv).collect()}
+    assert got == {"train": (5, 2, 2, 3), "test": (3, 1, 2, 1)}
+    y = index_labels(df.where("split = 'train'"), lv, "label", "Y")
+    assert trainable(y).count() == got["train"][3]
+    assert T.row_report(df.limit(0), lv).count() == 0
