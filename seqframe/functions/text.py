@@ -149,4 +149,5 @@ def pad_to_bucket(seq: Column | str, bucket: Column | str, value: int = UNSEEN)
 
 def ints_to_string(seq: Column | str, sep: str = ",") -> Column:
     """Render an integer array as text (for reports and order-insensitive checks)."""
-    return F.array_join(F.transform(_col(seq), lambda x: x.cast("string")), sep)
+    # A cast of the whole array runs in generated code, a lambda per element does not.
+    return F.array_join(_col(seq).cast("array<string>"), sep)

@@ -39,6 +39,8 @@ from seqframe.session import materialize
 
 # Largest vocabulary looked up by array scan (per element cost is linear).
 ARRAY_MAX_TERMS = 256
+# Code points below this are indexed by their place in an array of indices, others by a scan.
+DENSE_CODES = 0x250
 
 # Bloom filter of the entries that are not broadcast: 64-bit words of about 6 terms with 5 bits each
 # (about 1 % of unseen terms pass); 4M words of two numbers are a broadcast of some 100 MB.
@@ -64,6 +66,33 @@ def index_with_terms(seq: Column | str, terms: Sequence[str], unseen: int = UNSE
     return F.transform(found, lambda i: F.when(i < 0, F.lit(unseen)).otherwise(i))
 
 
+def index_characters_with_terms(seq: Column | str, terms: Sequence[str], unseen: int = UNSEEN) -> Column:
+    """``index_with_terms`` for elements of exactly one character each, as ``text.chars`` gives them.
+
+    A character's code point is its place in an array of indices, so an element costs one access however
+    many the terms; only terms past ``DENSE_CODES`` are scanned.
+    """
+    s = F.col(seq) if isinstance(seq, str) else seq
+    codes, wide = [unseen] * DENSE_CODES, {}
+    for i, t in enumerate(terms):
+        if len(t) == 1 and ord(t) < DENSE_CODES:
+            codes[ord(t)] = i
+        elif len(t) == 1:
+            wide[t] = i
+    # One literal, parsed when the plan is optimized.
+    table = F.split(F.lit(",".join(map(str, codes))), ",").cast("array<int>")
+
+    def index(x: Column) -> Column:
+        near = F.get(table, F.ascii(x))
+        if not wide:
+            return F.coalesce(near, F.lit(unseen))
+        far = F.array_position(_terms_array(list(wide)), x).cast("int")
+        places = F.array(*[F.lit(i) for i in wide.values()])
+        return F.coalesce(near, F.get(places, far - 1), F.lit(unseen))
+
+    return F.transform(s, index)
+
+
 def index_label_with_terms(label: Column | str, terms: Sequence[str], unseen: int = UNSEEN) -> Column:
     """Label -> index; unseen or null -> ``unseen``."""
     c = F.col(label) if isinstance(label, str) else label

@@ -203,3 +203,19 @@ def test_unseen_terms_do_not_reach_the_shuffle_join(spark):
     assert _by_row(out) == {i: [i if i % 3 == 0 and i < 200 else -1] for i in range(3000)}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "bit_or" in plan
+
+
+def test_characters_are_indexed_by_code_point_like_any_term(spark):
+    from seqframe.functions.text import chars, ints_to_string
+    from seqframe.operators.index import index_characters_with_terms
+
+    texts = ["abc é", "", None, "œ☃😀a", "\u0000zA", "ßɏɐ☃", "-1"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").withColumn("c", chars("t"))
+    for terms in (["a", " ", "é", "☃", "ɐ", "ɏ", "😀"], ["b"], []):
+        for unseen in (-1, 7):
+            rows = df.select(index_with_terms("c", terms, unseen).alias("a"),
+                             index_characters_with_terms("c", terms, unseen).alias("b"))
+            assert all(r["a"] == r["b"] for r in rows.collect())
+    # Rendering runs in generated code: no lambda in the plan.
+    assert "lambda" not in df.select(ints_to_string(F.array(F.lit(1), F.col("id")))
+                                     )._jdf.queryExecution().analyzed().toString()
