@@ -17,6 +17,27 @@ def trainable(df: DataFrame, label_col: str = "Y") -> DataFrame:
     return df.where(F.col(label_col) >= 0)
 
 
+def _classifier(reg_param: float, max_iter: int, features_col: str = "features") -> LogisticRegression:
+    return LogisticRegression(
+        featuresCol=features_col,
+        labelCol="_label",
+        family="multinomial",
+        regParam=reg_param,
+        maxIter=max_iter,
+    )
+
+
+def _labelled(train: DataFrame, label_col: str) -> DataFrame:
+    return trainable(train, label_col).withColumn("_label", F.col(label_col).cast("double"))
+
+
+def fit_features(train: DataFrame, features_col: str = "features", label_col: str = "Y",
+                 reg_param: float = 0.01, max_iter: int = 20) -> PipelineModel:
+    """``fit_classifier`` on rows that have their vectors; the model has the classifier alone."""
+    lr = _classifier(reg_param, max_iter, features_col)
+    return Pipeline(stages=[lr]).fit(_labelled(train, label_col))
+
+
 def fit_classifier(
     train: DataFrame,
     tokens_col: str = "T",
@@ -26,13 +47,5 @@ def fit_classifier(
     reg_param: float = 0.01,
     max_iter: int = 20,
 ) -> PipelineModel:
-    lr = LogisticRegression(
-        featuresCol="features",
-        labelCol="_label",
-        family="multinomial",
-        regParam=reg_param,
-        maxIter=max_iter,
-    )
-    stages = ngram_stages(tokens_col, ns, num_features, "features") + [lr]
-    data = trainable(train, label_col).withColumn("_label", F.col(label_col).cast("double"))
-    return Pipeline(stages=stages).fit(data)
+    stages = ngram_stages(tokens_col, ns, num_features, "features") + [_classifier(reg_param, max_iter)]
+    return Pipeline(stages=stages).fit(_labelled(train, label_col))

@@ -10,11 +10,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqframe.functions.labels import with_label_names
-from seqframe.functions.text import DEFAULT_BUCKETS, chars
+from seqframe.functions.text import DEFAULT_BUCKETS, chars, validated_buckets
 from seqframe.operators.batches import (
     assemble_batches,
     batch_order,
@@ -26,11 +27,13 @@ from seqframe.operators.batches import (
 from seqframe.operators.buckets import bucket_lengths
 from seqframe.operators.index import (
     ARRAY_MAX_TERMS,
+    index_characters_with_terms,
     index_labels,
     index_sequences,
     index_with_terms,
 )
-from seqframe.operators.model import fit_classifier
+from seqframe.operators.features import DEFAULT_HASH_SLOTS, ngram_featurizer, ngram_stages
+from seqframe.operators.model import fit_features
 from seqframe.operators.predict import predict_proba
 from seqframe.operators.vocab import (
     build_label_vocab,
@@ -94,7 +97,8 @@ def index_characters(df: DataFrame, vocab: DataFrame, label_vocab: DataFrame,
     length = F.when(F.col("_c").isNotNull(), F.size("_c")).alias("length")
     terms = small_terms(vocab, ARRAY_MAX_TERMS)
     if terms is not None:
-        x = with_chars.select(*df.columns, index_with_terms("_c", terms).alias("X"), length)
+        index = index_characters_with_terms if splitter is chars else index_with_terms
+        x = with_chars.select(*df.columns, index("_c", terms).alias("X"), length)
     else:  # the text does not travel through the lookup
         x = df.join(index_sequences(with_chars.select(row_col, "_c", length), "_c", vocab, out="X",
                                     row_col=row_col, method="join"), row_col).select(
@@ -154,8 +158,7 @@ def character_batches(indexed: DataFrame, batch_size: int = 12,
         order = order.where(F.col("batch_seq") == 0)
         rows = rows.join(F.broadcast(order.drop("batch_seq")), ["epoch", "bucket", "batch"],
                          "left_semi")  # one batch
-    return assemble_batches(rows.join(indexed.select(row_col, "X", "Y"), row_col), order,
-                            row_col=row_col)
+    return assemble_batches(rows.join(_cut(indexed, buckets, row_col), row_col), order, row_col=row_col)
 
 
 def character_epochs(indexed: DataFrame, epochs: Sequence[int], batch_size: int = 12,
@@ -167,7 +170,12 @@ def character_epochs(indexed: DataFrame, epochs: Sequence[int], batch_size: int
     sizes = bucket_sizes(narrow)
     rows = epoch_rows(narrow, batch_size, epochs, seed, row_col=row_col, sizes=sizes)
     order = epoch_orders(indexed.sparkSession, sizes, batch_size, epochs, seed)
-    return assemble_batches(rows.join(indexed.select(row_col, "X", "Y"), row_col), order, row_col=row_col)
+    return assemble_batches(rows.join(_cut(indexed, buckets, row_col), row_col), order, row_col=row_col)
+
+
+def _cut(indexed: DataFrame, buckets: Sequence[int], row_col: str) -> DataFrame:
+    """``(row_col, X, Y)`` with ``X`` cut to the largest bucket: no batch holds more of it, so no more is shuffled."""
+    return indexed.select(row_col, F.slice("X", 1, validated_buckets(buckets)[-1]).alias("X"), "Y")
 
 
 def _index_strings(df: DataFrame, row_col: str, x_col: str = "X") -> DataFrame:
@@ -176,14 +184,62 @@ def _index_strings(df: DataFrame, row_col: str, x_col: str = "X") -> DataFrame:
     return df.select(row_col, "Y", s.alias("S"))
 
 
+def distinct_grams(x: Column, n: int) -> Column:
+    """Distinct ``n``-grams (``n`` 1 or 2) of an index array as ``pyspark.ml``'s NGram writes them; [] for null.
+
+    Grams are told apart as numbers (a pair is one long), so only the distinct ones become text.
+    """
+    if n == 1:
+        out = F.array_distinct(x).cast("array<string>")
+    elif n == 2:
+        last = F.greatest(F.size(x) - 1, F.lit(0))
+        pairs = F.array_distinct(F.zip_with(
+            F.slice(x, 1, last), F.slice(x, 2, last),
+            lambda a, b: F.shiftleft(a.cast("long"), 32) + (b.cast("long") + F.lit(1 << 31))))
+        out = F.transform(pairs, lambda p: F.concat_ws(
+            " ", F.shiftright(p, 32).cast("string"),
+            (p.bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)).cast("string")))
+    else:
+        raise ValueError(f"n is 1 or 2, not {n}")
+    return F.coalesce(out, F.array().cast("array<string>"))
+
+
+def character_features(df: DataFrame, row_col: str = "row_id", ns: Sequence[int] = CHAR_NGRAMS,
+                       num_features: int = DEFAULT_HASH_SLOTS) -> DataFrame:
+    """``(row_col, Y, features)`` of prepared rows: the vectors of ``ngram_stages`` on the index strings.
+
+    The features are binary, so the distinct n-grams of a row give the same vector as all of them.
+    """
+    if not set(ns) <= {1, 2}:  # longer n-grams do not fit a number
+        stages = ngram_featurizer("S", ns, num_features)
+        strings = _index_strings(df, row_col)
+        return stages.fit(strings).transform(strings).select(row_col, "Y", "features")
+    grams = df.select(row_col, "Y", *[distinct_grams(F.col("X"), n).alias(f"_grams{n}") for n in ns])
+    for n in ns:
+        grams = HashingTF(inputCol=f"_grams{n}", outputCol=f"_hashed{n}", numFeatures=num_features,
+                          binary=True).transform(grams)
+    return VectorAssembler(inputCols=[f"_hashed{n}" for n in ns], outputCol="features").transform(
+        grams).select(row_col, "Y", "features")
+
+
 def train_and_score_characters(train: DataFrame, test: DataFrame, label_names: Sequence[str],
                                row_col: str = "row_id", ns: Sequence[int] = CHAR_NGRAMS,
+                               num_features: int = DEFAULT_HASH_SLOTS,
                                **fit_args) -> tuple[PipelineModel, DataFrame]:
     """The character training job on prepared rows (``X``, ``Y``): fit the n-gram
-    classifier on ``train``, probabilities and top class for ``test``."""
-    model = fit_classifier(_index_strings(train, row_col), "S", "Y", ns=ns, **fit_args)
-    pred = predict_proba(model, _index_strings(test, row_col), label_names, row_col, keep=["Y"])
-    return model, pred
+    classifier on ``train``, probabilities and top class for ``test``.
+
+    The vectors of both are written once: fitting reads them several times, the texts once.  The model
+    returned takes index strings in a column ``S``.
+    """
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        feats = character_features(df, row_col, ns, num_features)
+        path = write_frame(feats, scratch_dir(df.sparkSession, name))
+        return df.sparkSession.read.schema(feats.schema).parquet(path)
+
+    fitted = fit_features(stored(train, "train-features"), "features", "Y", **fit_args)
+    pred = predict_proba(fitted, stored(test, "test-features"), label_names, row_col, keep=["Y"])
+    return PipelineModel([*ngram_stages("S", ns, num_features), *fitted.stages]), pred
 
 
 __all__ = [
@@ -192,6 +248,8 @@ __all__ = [
     "Prepared",
     "character_batches",
     "character_epochs",
+    "character_features",
+    "distinct_grams",
     "fit_character_vocab",
     "fit_label_vocab",
     "index_characters",

@@ -1,6 +1,7 @@
 """Assembled batches on disk with random access by (epoch, batch number).
 
-Batches are range-partitioned by (epoch, ``batch_seq``), so every file holds a run of consecutive batches,
+Every task gets a run of consecutive batches in the order of (epoch, ``batch_seq``) and cuts it into files, so the
+number of tasks does not follow the number of files, every file holds a run of consecutive batches,
 and a directory tells the run of each file.  Batch ``k``, or a restart from it, reads the
 directory and then only the files that hold what is asked for; nothing is listed or scanned besides.
 
@@ -15,19 +16,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCHES_PER_FILE = 4096
+#: A task sorts and writes at most so many batches, however few go to a file.
+BATCHES_PER_TASK = 4096
 
 
 def write_batch_store(batches: DataFrame, path: str, n_batches: int,
                       batches_per_file: int = BATCHES_PER_FILE) -> str:
-    """Write ``batches`` (``epoch, batch_seq, ...``), about ``batches_per_file`` to a file; return ``path``."""
+    """Write ``batches`` (``epoch, batch_seq, ...``), about ``batches_per_file`` to a file; return ``path``.
+
+    A batch's place follows from its epoch's first number and the sizes of the epochs before, so the
+    batches are neither sampled nor assembled twice.
+    """
     if batches_per_file <= 0:
         raise ValueError("batches_per_file must be positive")
     base = path.rstrip("/")
-    files = max(1, -(-n_batches // batches_per_file))
-    batches.repartitionByRange(files, "epoch", "batch_seq").sortWithinPartitions(
-        "epoch", "batch_seq").write.parquet(f"{base}/batches")
     spark = batches.sparkSession
-    stored = spark.read.parquet(f"{base}/batches")
+    files = max(1, -(-n_batches // batches_per_file))
+    tasks = min(files, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_batches // BATCHES_PER_TASK)))
+    run = -(-files // tasks) * batches_per_file  # a task's batches fill whole files
+    # One row an epoch, from the keys alone.
+    epochs = batches.groupBy("epoch").agg(
+        F.min("batch_seq").alias("first"), F.max("batch_seq").alias("last")).sort("epoch").collect()
+    start, place = 0, F.lit(0).cast("long")
+    for e in epochs:
+        place = F.when(F.col("epoch").eqNullSafe(F.lit(e["epoch"])), F.col("batch_seq") - e["first"] + start).otherwise(place)
+        start += e["last"] - e["first"] + 1
+    task = F.least(F.floor(place / F.lit(run)), F.lit(tasks - 1)).cast("int")
+    batches.repartitionById(tasks, task).sortWithinPartitions("epoch", "batch_seq").write.option(
+        "maxRecordsPerFile", batches_per_file).parquet(f"{base}/batches")
+    stored = spark.read.schema(batches.schema).parquet(f"{base}/batches")
     stored.select("epoch", "batch_seq", F.col("_metadata.file_name").alias("file")).groupBy("epoch", "file").agg(
         F.min("batch_seq").alias("first"), F.max("batch_seq").alias("last"),
         F.count(F.lit(1)).alias("n")).sort("epoch", "first").write.parquet(f"{base}/directory")
@@ -53,10 +70,10 @@ def read_batches(spark: SparkSession, path: str, epoch: int, first: int = 0,
 
     A restart from batch ``k`` is ``first=k``.  Batches that do not exist give no rows.
     """
-    schema = spark.read.parquet(f"{path.rstrip('/')}/batches").schema
     files = _files(spark, path, epoch, first, last)
     if not files:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], spark.read.parquet(f"{path.rstrip('/')}/batches").schema)
+    schema = spark.read.parquet(files[0]).schema
     wanted = (F.col("epoch") == epoch) & (F.col("batch_seq") >= first)
     if last is not None:
         wanted = wanted & (F.col("batch_seq") <= last)

@@ -46,3 +46,14 @@ def test_empty_store(spark, tmp_path):
     assert S.read_batches(spark, path, 0).count() == 0
     with pytest.raises(ValueError):
         S.write_batch_store(empty, str(tmp_path / "other"), 0, 0)
+
+
+def test_tasks_do_not_follow_the_number_of_files(spark, tmp_path):
+    batches = spark.range(90).select((F.col("id") % 3).cast("int").alias("epoch"),
+                                     F.floor(F.col("id") / 3).alias("batch_seq"), F.col("id").alias("x")).repartition(7)
+    path = S.write_batch_store(batches, str(tmp_path / "store"), 90, 1)
+    files = [r["file"] for r in S.directory(spark, path).collect()]
+    assert len(set(files)) == 90  # one batch a file, as asked for
+    assert len({f.split("-")[1] for f in files}) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(tuple(r) for e in range(3) for r in S.read_batches(spark, path, e).collect()) == sorted(
+        tuple(r) for r in batches.collect())

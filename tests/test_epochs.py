@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from seqframe.operators import batches as B
+from seqframe.plans import character as C
 
 
 def rows_of(df):
@@ -31,3 +32,13 @@ def test_orders_of_several_epochs(spark):
     assert many == sorted(x for e in (1, 3) for x in rows_of(B.batch_order(spark, sizes, 5, 8, e)))
     assert sorted(seq for e, _, _, seq in many if e == 1) == list(range(16))
     assert rows_of(B.epoch_orders(spark, {}, 5, [0, 1])) == rows_of(B.epoch_orders(spark, {32: 3}, 5, [])) == []
+
+
+def test_sequences_are_cut_to_the_largest_bucket_before_the_join(spark):
+    df = spark.createDataFrame([(i, [i] * 9 if i else None, 0, 9) for i in range(12)],
+                               "row_id long, X array<int>, Y int, length int")
+    batches = C.character_epochs(df, [0, 1], 3, [2, 4])
+    plan = batches._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(X" in plan[plan.index("Join"):]
+    for r in batches.collect():
+        assert [x for x in r["X"]] == [None if i == 0 else [i] * 4 for i in r["row_ids"]]

@@ -107,3 +107,31 @@ def test_rows_left_out_are_counted(spark):
     y = index_labels(df.where("split = 'train'"), lv, "label", "Y")
     assert trainable(y).count() == got["train"][3]
     assert T.row_report(df.limit(0), lv).count() == 0
+
+
+def test_character_features_equal_the_ngram_stages(spark):
+    from seqframe.operators.features import ngram_featurizer
+    from seqframe.plans.character import _index_strings, character_features
+
+    rows = [(0, 0, [1, 2, 1, 2, -1, 3]), (1, 1, []), (2, 0, None), (3, 1, [5]), (4, -1, [-1, -1, -1]),
+            (5, 0, [2147483647, 0, 199, 0])]
+    df = spark.createDataFrame(rows, "row_id long, Y int, X array<int>")
+    strings = _index_strings(df, "row_id")
+    for ns in ((1, 2), (2,), (1, 3)):
+        want = ngram_featurizer("S", ns).fit(strings).transform(strings)
+        got = character_features(df, ns=ns)
+        assert {r["row_id"]: (r["Y"], r["features"]) for r in got.collect()} == {
+            r["row_id"]: (r["Y"], r["features"]) for r in want.select("row_id", "Y", "features").collect()}
+
+
+def test_character_model_reads_stored_vectors_and_takes_index_strings(spark):
+    from seqframe.plans.character import _index_strings, train_and_score_characters
+
+    rows = [(i, i % 2, [i % 2, 3, 4 + i % 3]) for i in range(20)]
+    df = spark.createDataFrame(rows, "row_id long, Y int, X array<int>")
+    model, pred = train_and_score_characters(df, df, ["a", "b"])
+    plan = pred._jdf.queryExecution().optimizedPlan().toString()
+    assert "features" in plan and "zip_with" not in plan and "UDF(S" not in plan  # vectors are not made again
+    again = model.transform(_index_strings(df, "row_id"))
+    assert {r["row_id"]: r["prediction"] for r in again.collect()} == {
+        r["row_id"]: r["prediction"] for r in pred.collect()}
