@@ -23,7 +23,7 @@ from pyspark.sql.types import StructField, StructType
 
 from seqframe.operators.features import DEFAULT_HASH_SLOTS, DEFAULT_NGRAMS
 from seqframe.operators.numbering import dense_index
-from seqframe.session import materialize, scratch_dir
+from seqframe.session import scratch_dir, store_table
 
 #: A table is broadcast whole up to so many rows and bytes of keys, else its heaviest rows are.
 BROADCAST_ROWS = 1_000_000
@@ -65,7 +65,7 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
     short = table.where(width <= 1024)  # bounds the broadcast's bytes as well
     heavy = short.orderBy(F.col(weight).desc(), *keys).limit(heavy_rows).drop(weight).withColumn(
         "_hit", F.lit(True))
-    first = materialize(rows.join(F.broadcast(heavy), keys, "left"))
+    first = store_table(rows.join(F.broadcast(heavy), keys, "left"), "looked-up")
     rest = first.where("_hit is null").drop("_hit", *answers).join(table.drop(weight), keys)
     return first.where("_hit").drop("_hit").select(*rest.columns).unionByName(rest)
 

@@ -66,6 +66,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"scratch-{name}-{uuid.uuid4().hex}")
 
 
+def store_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the checkpoint folder and read it back.
+
+    Cuts the lineage as ``materialize`` does, but columns are compressed and read one by one: for tables
+    with a row per element, which a checkpoint would keep at their full width.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the checkpoint folder and cut its lineage.
 

@@ -156,3 +156,17 @@ def test_steps_equal_plain_descent_and_restart(spark, made, tmp_path):
     # The last row equals that of one uninterrupted run.
     whole = L.train_steps(df, features, 3, 4, scratch_dir(spark, "steps"), 2.0, 0.01).collect()
     assert sorted(map(tuple, whole)) == want
+
+
+def test_scoring_moves_one_row_a_feature_and_stores_columns(spark):
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "row_id long")
+    features = spark.createDataFrame([(1, 10), (1, 11), (2, 11), (2, 12)], "row_id long, term long")
+    weights = spark.createDataFrame([(10, 0, 1.0), (11, 0, 2.0), (11, 1, 3.0), (12, 2, 4.0)], "term long, cls int, w double")
+    bias = spark.createDataFrame([(0, 0.5), (1, 0.25)], "cls int, w double")
+    want = {1: [(0, 3.5), (1, 3.25)], 2: [(0, 2.5), (1, 3.25), (2, 4.0)], 3: [(0, 0.5), (1, 0.25)]}
+    for bounds in ({}, {"max_rows": 1, "heavy_rows": 1}):
+        got = L.scores(rows, features, weights, bias, **bounds)
+        assert {r["row_id"]: [tuple(e) for e in r["s"]] for r in got.collect()} == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan  # no row per class
+    assert "parquet" in plan  # the first answers past the broadcast bound are a columnar table
